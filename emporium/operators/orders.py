@@ -54,6 +54,14 @@ def order_seq(person: str = "customer_unique_id", ts: str = "purchase_ts",
     return Window.partitionBy(person).orderBy(F.col(ts), F.col(tie))
 
 
+def add_order_seq(df: DataFrame, person: str = "customer_unique_id", ts: str = "purchase_ts",
+                  tie: str = "order_id") -> DataFrame:
+    """V2: 1-based order sequence per person by (ts, tie); NULL person → NULL."""
+    w = Window.partitionBy(person).orderBy(F.col(ts), F.col(tie))
+    return df.withColumn("order_seq", F.when(F.col(person).isNotNull(),
+                                             F.row_number().over(w).cast("long")))
+
+
 def enrich(orders_df: DataFrame, person: str = "customer_unique_id") -> DataFrame:
     """V2–V4 + flags + buckets, computed on the *full* history.
 
