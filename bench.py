@@ -29,7 +29,7 @@ def main() -> None:
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus),
                           app="emporium-bench")
     qs = catalog.all_queries()
     names = [n for n in HEADLINE if n in qs]

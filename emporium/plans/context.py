@@ -36,3 +36,23 @@ class Ctx:
     @cached_property
     def review_texts(self) -> DataFrame:
         return binding.review_texts(self.spark, self.sf_dir)
+
+
+def materialize_gold(c: Ctx, base: str) -> Ctx:
+    """Write the gold tables and order grain once and re-point the context at them.
+
+    This is the nightly shape: checks and marts read written tables, which
+    also cuts the lineage (a lost executor re-reads parquet instead of
+    recomputing the whole build).
+    """
+    from emporium.sources.io import materialize
+    g = c.gold
+    tables = {"fact": c.fact, "cust": g.dim_customers, "sell": g.dim_sellers,
+              "prod": g.dim_products, "rev": g.dim_reviews, "geo": g.dim_geolocation}
+    written = {k: materialize(v, k, "gold", base) for k, v in tables.items()}
+    c.__dict__["fact"] = written.pop("fact")
+    g._cache["fact"] = c.fact
+    g._cache.update(written)
+    c.__dict__["orders"] = materialize(c.orders, "orders", "mart", base)
+    c.__dict__["enriched"] = materialize(c.enriched, "orders_enriched", "mart", base)
+    return c
