@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from emporium.functions import expr as X
 from emporium.operators import gold as G
+from emporium.operators.windows import seq_number
 
 
 def orders(fact: DataFrame, dim_customers: DataFrame, dim_reviews: DataFrame) -> DataFrame:
@@ -54,12 +55,21 @@ def order_seq(person: str = "customer_unique_id", ts: str = "purchase_ts",
     return Window.partitionBy(person).orderBy(F.col(ts), F.col(tie))
 
 
+def _skew_safe(df: DataFrame) -> bool:
+    return df.sparkSession.conf.get("emporium.skewSafeSequence", "true").lower() == "true"
+
+
 def add_order_seq(df: DataFrame, person: str = "customer_unique_id", ts: str = "purchase_ts",
                   tie: str = "order_id") -> DataFrame:
     """V2: 1-based order sequence per person by (ts, tie); NULL person → NULL."""
-    w = Window.partitionBy(person).orderBy(F.col(ts), F.col(tie))
-    return df.withColumn("order_seq", F.when(F.col(person).isNotNull(),
-                                             F.row_number().over(w).cast("long")))
+    keyed = df.filter(F.col(person).isNotNull())
+    none = df.filter(F.col(person).isNull()).withColumn("order_seq", F.lit(None).cast("long"))
+    if _skew_safe(df):
+        seq = seq_number(keyed, person, [ts, tie], "order_seq")
+    else:
+        w = Window.partitionBy(person).orderBy(F.col(ts), F.col(tie))
+        seq = keyed.withColumn("order_seq", F.row_number().over(w).cast("long"))
+    return seq.unionByName(none)
 
 
 def enrich(orders_df: DataFrame, person: str = "customer_unique_id") -> DataFrame:
@@ -74,8 +84,13 @@ def enrich(orders_df: DataFrame, person: str = "customer_unique_id") -> DataFram
     unkeyed = orders_df.filter(F.col(person).isNull())
     stats = keyed.groupBy(person).agg(F.count(F.lit(1)).alias("cust_total_orders"),
                                       F.min("order_month").alias("cohort_month"))
-    seq = (keyed.withColumn("order_seq", F.row_number().over(order_seq(person)).cast("long"))
-           .join(stats, person, "inner"))
+    if _skew_safe(orders_df):
+        # range-partitioned numbering: a person with a third of all orders is split
+        numbered = seq_number(keyed, person, ["purchase_ts", "order_id"], "order_seq")
+    else:
+        numbered = keyed.withColumn("order_seq",
+                                    F.row_number().over(order_seq(person)).cast("long"))
+    seq = numbered.join(stats, person, "inner")
     none = (unkeyed.withColumn("order_seq", F.lit(None).cast("long"))
             .withColumn("cust_total_orders", F.lit(None).cast("long"))
             .withColumn("cohort_month", F.lit(None).cast("date")))

@@ -279,3 +279,15 @@ def test_volume_anomaly_and_top_jobs(spark):
         "creation_time timestamp_ntz")
     top = MO.top_jobs(log, "2024-01-30 12:00:00", 20).collect()
     assert [r.job_id for r in top] == list(range(24, 4, -1))
+
+
+def test_seq_number_matches_row_number_with_hot_key(spark):
+    from pyspark.sql import Window
+    from emporium.operators.windows import seq_number
+    # one key holds a third of the rows
+    rows = [("hot" if i % 3 == 0 else f"k{i % 17}", i * 7 % 101, str(i)) for i in range(600)]
+    df = spark.createDataFrame(rows, "p string, t int, id string")
+    got = seq_number(df, "p", ["t", "id"], "s", n_parts=8)
+    w = Window.partitionBy("p").orderBy("t", "id")
+    exp = df.withColumn("s", F.row_number().over(w).cast("long"))
+    assert sorted(got.select("p", "t", "id", "s").collect()) == sorted(exp.collect())
