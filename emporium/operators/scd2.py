@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from emporium.operators.windows import neighbour, skew_safe_enabled
+
 SEP = "␟"  # unit-separator glyph: never appears in keys
 
 
@@ -117,9 +119,13 @@ def version_ranges(log: DataFrame, key: Sequence[str], attrs: Sequence[str],
     key, attrs = list(key), list(attrs)
     versions = log.groupBy(*key, *attrs).agg(F.min(ts).alias("start_at"),
                                              F.max(ts).alias("last_seen_at"))
-    w = Window.partitionBy(*key).orderBy(F.col("start_at"), *[F.col(a) for a in attrs])
-    return (versions.withColumn("end_at", F.lead("start_at").over(w))
-            .withColumn("is_current", F.col("end_at").isNull()))
+    if len(key) == 1 and skew_safe_enabled(log):
+        nxt = neighbour(versions, key[0], ["start_at", *attrs], ["start_at"], +1, "_next_")
+        out = nxt.withColumnRenamed("_next_start_at", "end_at").drop("_seq")
+    else:
+        w = Window.partitionBy(*key).orderBy(F.col("start_at"), *[F.col(a) for a in attrs])
+        out = versions.withColumn("end_at", F.lead("start_at").over(w))
+    return out.withColumn("is_current", F.col("end_at").isNull())
 
 
 def scd2_from_log(log: DataFrame, key: Sequence[str], ts: str,
@@ -128,17 +134,33 @@ def scd2_from_log(log: DataFrame, key: Sequence[str], ts: str,
 
     Rows equal (NULL-safe) to the key's previous row on ``check_cols`` are not
     new versions; ``valid_to`` is the next kept version's ``valid_from``.
-    Both windows share one partitioning (key) and one sort (key, ts), so
-    Spark plans a single exchange.
+    With the skew-safe switch on (default), LAG and LEAD are joins on
+    (key, sequence ± 1) over a range-partitioned numbering, so a key with a
+    third of all log rows is spread over many tasks; with it off, both
+    windows share one partitioning and sort (a single exchange).
     """
     key, check_cols = list(key), list(check_cols)
-    order = [F.col(ts)] + [F.col(c) for c in log.columns if c not in key and c != ts]
-    w = Window.partitionBy(*key).orderBy(*order)
-    same = reduce(lambda a, b: a & b,
-                  [F.col(c).eqNullSafe(F.lag(c).over(w)) for c in check_cols], F.lit(True))
-    first = F.lag(F.lit(1)).over(w).isNull()
-    kept = log.withColumn("_keep", first | ~same).filter("_keep").drop("_keep")
-    out = (kept.withColumn("valid_from", F.col(ts))
-           .withColumn("valid_to", F.lead(ts).over(w)))
+    rest = [c for c in log.columns if c not in key and c != ts]
+    if len(key) == 1 and skew_safe_enabled(log):
+        k = key[0]
+        prev = neighbour(log, k, [ts, *rest], check_cols, -1, "_prev_")
+        same = reduce(lambda a, b: a & b,
+                      [F.col(c).eqNullSafe(F.col(f"_prev_{c}")) for c in check_cols], F.lit(True))
+        first = F.col("_seq") == 1
+        kept = (prev.filter(first | ~same)
+                .drop("_seq", *[f"_prev_{c}" for c in check_cols]))
+        nxt = neighbour(kept, k, [ts, *rest], [ts], +1, "_next_")
+        out = (nxt.withColumn("valid_from", F.col(ts))
+               .withColumnRenamed(f"_next_{ts}", "valid_to").drop("_seq"))
+    else:
+        order = [F.col(ts)] + [F.col(c) for c in rest]
+        w = Window.partitionBy(*key).orderBy(*order)
+        same = reduce(lambda a, b: a & b,
+                      [F.col(c).eqNullSafe(F.lag(c).over(w)) for c in check_cols], F.lit(True))
+        first = F.lag(F.lit(1)).over(w).isNull()
+        kept = log.withColumn("_keep", first | ~same).filter("_keep").drop("_keep")
+        out = (kept.withColumn("valid_from", F.col(ts))
+               .withColumn("valid_to", F.lead(ts).over(w)))
+    out = out.select(*log.columns, "valid_from", "valid_to")
     out = out.withColumn("scd_id", surrogate_key(out, key + ["valid_from"]))
     return with_validity(out)

@@ -24,9 +24,10 @@ def stop_table(spark: SparkSession) -> DataFrame:
 
 def review_texts(dim_reviews: DataFrame) -> DataFrame:
     """Latest version per review, blank texts → NULL, answer month."""
-    w = Window.partitionBy("review_id").orderBy(F.col("review_answer_timestamp").desc_nulls_last(),
-                                                F.col("id").desc())
-    latest = dim_reviews.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
+    # latest version per review as an aggregate (map-side combined), not a window
+    from emporium.operators.staging import dedupe_latest
+    latest = dedupe_latest(dim_reviews, ["review_id"],
+                           [("review_answer_timestamp", True), ("id", True)], descending=True)
     return latest.select(
         "review_id", "review_score",
         T.blank_to_null("review_comment_title").alias("title"),

@@ -31,3 +31,24 @@ def seq_number(df: DataFrame, key: str, order: Sequence[str], out: str = "seq",
     return (r.join(offsets, ["_pid", key])
             .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
             .drop("_pid", "_local", "_off"))
+
+
+def skew_safe_enabled(df: DataFrame) -> bool:
+    """Session switch (default on) between split-hot-key plans and plain windows."""
+    return df.sparkSession.conf.get("emporium.skewSafeSequence", "true").lower() == "true"
+
+
+def neighbour(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
+              offset: int, prefix: str) -> DataFrame:
+    """LAG (offset = -1) / LEAD (offset = +1) of ``cols`` within ``key`` by ``order``.
+
+    Rows are numbered with ``seq_number`` and joined to their neighbour on
+    (key, seq ± 1): that join key is unique per row, so hash partitioning
+    spreads a hot key evenly instead of sending it to one task.
+    """
+    numbered = seq_number(df, key, order, "_seq")
+    other = numbered.select(F.col(key).alias("_nk"), (F.col("_seq") - offset).alias("_nseq"),
+                            *[F.col(c).alias(f"{prefix}{c}") for c in cols])
+    j = numbered.join(other, (F.col(key).eqNullSafe(F.col("_nk")))
+                      & (F.col("_seq") == F.col("_nseq")), "left")
+    return j.drop("_nk", "_nseq")
