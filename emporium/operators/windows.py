@@ -1,36 +1,78 @@
 """Skew-tolerant sequence numbers (V2 without a hot-key window).
 
 ``row_number().over(partitionBy(key).orderBy(...))`` sends every row of a key
-to one task.  ``seq_number`` instead range-partitions by (key, order): the
-sampled range bounds cut a key that holds a third of all rows into many
-partitions.  Each task numbers its own slice of a key, and the slice offsets
-come from a small (partition, key) → count table whose rows per key are at
-most the number of partitions.
+to one task.  ``seq_number`` instead cuts the (key, order) space into ranges
+whose bounds come from a small sample (like a range partitioner), so a key
+that holds a third of all rows spans many ranges.  Each (range, key) slice is
+numbered in its own task and shifted by the sizes of the key's earlier
+slices, taken from a small (range, key) → count table.
+
+The range of a row is a deterministic function of its values (the bounds are
+frozen as literals), so every branch that recomputes it agrees — unlike
+``spark_partition_id()`` after a range repartition, whose sampled bounds can
+differ between two evaluations of the same plan.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SAMPLE_PER_RANGE = 20
+
+
+def _range_bounds(df: DataFrame, cols: Sequence[str], n: int) -> list[tuple]:
+    """Up to n-1 sorted bound tuples from a seeded sample (bounded size on the driver)."""
+    total = df.count()
+    if total == 0 or n <= 1:
+        return []
+    frac = min(1.0, SAMPLE_PER_RANGE * n / total)
+    sample = df.select(*cols).sample(False, frac, seed=17).orderBy(*cols).collect()
+    if not sample:
+        return []
+    step = len(sample) / n
+    bounds = []
+    for i in range(1, n):
+        b = tuple(sample[min(int(i * step), len(sample) - 1)])
+        if not bounds or b != bounds[-1]:
+            bounds.append(b)
+    return bounds
+
+
+def _range_id(df: DataFrame, cols: Sequence[str], bounds: list[tuple]) -> Column:
+    """Index of the first bound ≥ the row's tuple (binary CASE tree over literals)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    row = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(cols)])
+
+    def lit(b):
+        return F.struct(*[F.lit(v).cast(types[c]).alias(f"_{i}")
+                          for i, (c, v) in enumerate(zip(cols, b))])
+
+    def tree(lo, hi):  # ranges lo..hi (inclusive); bound j separates range j and j+1
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(row <= lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
+    return tree(0, len(bounds)) if bounds else F.lit(0)
+
 
 def seq_number(df: DataFrame, key: str, order: Sequence[str], out: str = "seq",
                n_parts: int | None = None) -> DataFrame:
     """1-based position of each row within its key by ``order`` (a total order)."""
     spark = df.sparkSession
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    r = (df.repartitionByRange(n, F.col(key), *[F.col(c) for c in order])
-         .withColumn("_pid", F.spark_partition_id()))
-    local_w = Window.partitionBy("_pid", key).orderBy(*order)
+    cols = [key, *order]
+    r = df.withColumn("_rg", _range_id(df, cols, _range_bounds(df, cols, n)))
+    local_w = Window.partitionBy("_rg", key).orderBy(*order)
     r = r.withColumn("_local", F.row_number().over(local_w))
-    counts = r.groupBy("_pid", key).agg(F.count(F.lit(1)).alias("_n"))
-    off_w = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    counts = r.groupBy("_rg", key).agg(F.count(F.lit(1)).alias("_n"))
+    off_w = Window.partitionBy(key).orderBy("_rg").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(off_w), F.lit(0))) \
-        .select("_pid", key, "_off")
-    return (r.join(offsets, ["_pid", key])
+        .select("_rg", key, "_off")
+    return (r.join(offsets, ["_rg", key])
             .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
-            .drop("_pid", "_local", "_off"))
+            .drop("_rg", "_local", "_off"))
 
 
 def skew_safe_enabled(df: DataFrame) -> bool:
