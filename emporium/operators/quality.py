@@ -52,6 +52,23 @@ class Check:
         return df.filter(self.bad)
 
 
+def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
+    """Several predicate checks over one table in a single scan and aggregation."""
+    aggs = [F.count(F.lit(1)).alias("n_rows")] + [
+        F.count(F.when(ch.bad, 1)).alias(f"_f{i}") for i, ch in enumerate(checks)]
+    row = df.agg(*aggs)
+    recs = F.array(*[F.struct(F.lit(ch.name).alias("check"), F.lit(table).alias("table"),
+                              F.lit(ch.column).alias("column"),
+                              F.lit(ch.severity).alias("severity"),
+                              F.col("n_rows").cast("long").alias("n_rows"),
+                              F.col(f"_f{i}").cast("long").alias("n_failed"))
+                     for i, ch in enumerate(checks)])
+    out = row.select(F.explode(recs).alias("r")).select("r.*")
+    status = (F.when(F.col("n_failed") == 0, "pass")
+              .when(F.col("severity") == "warn", "warn").otherwise("fail"))
+    return out.withColumn("status", status).select(*RESULT_COLUMNS)
+
+
 # ------------------------------------------------------------ C1 – C11 ----
 def not_null(df: DataFrame, table: str, col: str, severity: str = "error") -> DataFrame:
     """C1."""

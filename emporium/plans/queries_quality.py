@@ -49,13 +49,20 @@ def _pred_sql(check, table, column, sev, bad):
 SPECS = []
 
 
-def spec(name, spark_fn, sql):
+def spec(name, spark_fn, sql, pred=None):
+    """``pred`` = (table, factory of a predicate Check) lets the suite fold it per table."""
     SPECS.append((name, spark_fn, sql))
+    if pred is not None:
+        PRED.append((name, pred[0], pred[1]))
+
+
+PRED = []
 
 
 def _nn(table, col, sev="error"):
     spec(f"c1_not_null_{table}_{col}", lambda c: Q.not_null(_frame(c, table), table, col, sev),
-         _pred_sql("not_null", table, col, sev, f"{col} IS NULL"))
+         _pred_sql("not_null", table, col, sev, f"{col} IS NULL"),
+         (table, lambda: Q.Check("not_null", table, col, F.col(col).isNull(), sev)))
 
 
 def _uq(table, cols, sev="error"):
@@ -73,7 +80,9 @@ def _uq(table, cols, sev="error"):
 def _acc(table, col, values, sev="error"):
     vals = ", ".join(f"'{v}'" for v in values)
     spec(f"c4_accepted_{table}_{col}", lambda c: Q.accepted(_frame(c, table), table, col, values, sev),
-         _pred_sql("accepted_values", table, col, sev, f"{col} IS NOT NULL AND {col} NOT IN ({vals})"))
+         _pred_sql("accepted_values", table, col, sev, f"{col} IS NOT NULL AND {col} NOT IN ({vals})"),
+         (table, lambda: Q.Check("accepted_values", table, col,
+                                 F.col(col).isNotNull() & ~F.col(col).isin(list(values)), sev)))
 
 
 def _rel(table, col, parent, pcol, sev="error"):
@@ -117,41 +126,61 @@ for t, col, ty in [("fact_orders", "id", "string"), ("fact_orders", "price", "do
     _type(t, col, ty)
 
 spec("c7_between_fact_price", lambda c: Q.between(c.fact, "fact_orders", "price", lo=0, severity="warn"),
-     _pred_sql("between", "fact_orders", "price", "warn", "coalesce(price < 0, false)"))
+     _pred_sql("between", "fact_orders", "price", "warn", "coalesce(price < 0, false)"),
+     ("fact_orders", lambda: Q.Check("between", "fact_orders", "price",
+                                     F.coalesce(F.col("price") < 0, F.lit(False)), "warn")))
 spec("c7_between_review_score",
      lambda c: Q.between(c.gold.dim_reviews, "dim_reviews", "review_score", 1, 5),
      _pred_sql("between", "dim_reviews", "review_score", "error",
-               "coalesce(review_score < 1 OR review_score > 5, false)"))
+               "coalesce(review_score < 1 OR review_score > 5, false)"),
+     ("dim_reviews", lambda: Q.Check("between", "dim_reviews", "review_score", F.coalesce(
+         (F.col("review_score") < 1) | (F.col("review_score") > 5), F.lit(False)))))
 spec("c7_between_payment_value",
      lambda c: Q.between(c.fact, "fact_orders", "payment_value", lo=0,
                          where=F.col("payment_value").isNotNull(), severity="warn"),
      _pred_sql("between", "fact_orders", "payment_value", "warn",
-               "coalesce(payment_value < 0, false) AND coalesce(payment_value IS NOT NULL, false)"))
+               "coalesce(payment_value < 0, false) AND coalesce(payment_value IS NOT NULL, false)"),
+     ("fact_orders", lambda: Q.Check("between", "fact_orders", "payment_value",
+                                     F.coalesce(F.col("payment_value") < 0, F.lit(False))
+                                     & F.col("payment_value").isNotNull(), "warn")))
 spec("c8_pair_delivered_after_purchase",
      lambda c: Q.pair_greater(c.fact, "fact_orders", "order_delivered_customer_date",
                               "order_purchase_timestamp", False,
                               F.col("order_delivered_customer_date").isNotNull(), "warn"),
      _pred_sql("pair_greater", "fact_orders", "order_delivered_customer_date,order_purchase_timestamp",
                "warn", "NOT coalesce(order_delivered_customer_date > order_purchase_timestamp, false) "
-                       "AND coalesce(order_delivered_customer_date IS NOT NULL, false)"))
+                       "AND coalesce(order_delivered_customer_date IS NOT NULL, false)"),
+     ("fact_orders", lambda: Q.Check(
+         "pair_greater", "fact_orders", "order_delivered_customer_date,order_purchase_timestamp",
+         ~F.coalesce(F.col("order_delivered_customer_date") > F.col("order_purchase_timestamp"),
+                     F.lit(False)) & F.col("order_delivered_customer_date").isNotNull(), "warn")))
 spec("c9_delivered_have_date",
      lambda c: Q.assert_empty(c.fact, "delivered_have_delivery_date", "fact_orders",
                               (F.col("order_status") == "delivered")
                               & F.col("order_delivered_customer_date").isNull()),
      _pred_sql("delivered_have_delivery_date", "fact_orders", "", "error",
-               "order_status = 'delivered' AND order_delivered_customer_date IS NULL"))
+               "order_status = 'delivered' AND order_delivered_customer_date IS NULL"),
+     ("fact_orders", lambda: Q.Check("delivered_have_delivery_date", "fact_orders", "",
+                                     (F.col("order_status") == "delivered")
+                                     & F.col("order_delivered_customer_date").isNull())))
 spec("c10_no_future_purchase",
      lambda c: Q.assert_empty(c.fact, "no_future_purchase", "fact_orders",
                               F.col("order_purchase_timestamp")
                               > F.lit(binding.AS_OF_ORDERS).cast("timestamp_ntz")),
      _pred_sql("no_future_purchase", "fact_orders", "", "error",
-               f"order_purchase_timestamp > TIMESTAMP '{binding.AS_OF_ORDERS}'"))
+               f"order_purchase_timestamp > TIMESTAMP '{binding.AS_OF_ORDERS}'"),
+     ("fact_orders", lambda: Q.Check("no_future_purchase", "fact_orders", "",
+                                     F.col("order_purchase_timestamp")
+                                     > F.lit(binding.AS_OF_ORDERS).cast("timestamp_ntz"))))
 spec("c11_high_value_has_payment",
      lambda c: Q.assert_empty(c.fact, "high_value_has_payment", "fact_orders",
                               (F.col("price") > HIGH_VALUE_PAYMENT)
                               & F.col("has_missing_payment_info")),
      _pred_sql("high_value_has_payment", "fact_orders", "", "error",
-               f"price > {HIGH_VALUE_PAYMENT} AND has_missing_payment_info"))
+               f"price > {HIGH_VALUE_PAYMENT} AND has_missing_payment_info"),
+     ("fact_orders", lambda: Q.Check("high_value_has_payment", "fact_orders", "",
+                                     (F.col("price") > HIGH_VALUE_PAYMENT)
+                                     & F.col("has_missing_payment_info"))))
 spec("c12_reconcile_gmv",
      lambda c: Q.reconcile(c.orders, "gmv", c.fact.filter(F.col("order_purchase_timestamp").isNotNull()),
                            "price", "orders_vs_fact"),
@@ -162,7 +191,9 @@ spec("c12_reconcile_gmv",
 spec("c13_non_negative_lead_time",
      lambda c: Q.assert_empty(c.enriched, "non_negative_lead_time", "orders",
                               F.col("delivery_days") < 0, "warn"),
-     _pred_sql("non_negative_lead_time", "orders", "", "warn", "delivery_days < 0"))
+     _pred_sql("non_negative_lead_time", "orders", "", "warn", "delivery_days < 0"),
+     ("orders", lambda: Q.Check("non_negative_lead_time", "orders", "",
+                                F.col("delivery_days") < 0, "warn")))
 spec("c13_one_segment_per_customer",
      lambda c: Q.unique(M.rfm_people(c.enriched), "v_customers", "customer_unique_id"),
      _wrap("unique", "v_customers", "customer_unique_id", "error",
@@ -198,11 +229,19 @@ for _name, _fn, _sql in SPECS:
     query(_name, _GEO_Q + _sql if "dim_geolocation_q" in _sql else _sql)(_fn)
 
 def _c15(c):
-    """C15 over written gold tables (each check then scans parquet, not the build)."""
+    """C15 over written gold tables; predicate checks folded into one scan per table."""
+    from collections import defaultdict
+
     from emporium.plans.context import materialize_gold
     from emporium.session import scratch_path
     c = materialize_gold(c, scratch_path(c.spark, "gold"))
-    return Q.run_suite([fn(c) for _, fn, _ in SPECS])
+    by_table, folded = defaultdict(list), set()
+    for name, table, make in PRED:
+        by_table[table].append(make())
+        folded.add(name)
+    parts = [Q.run_checks(_frame(c, t), t, checks) for t, checks in by_table.items()]
+    parts += [fn(c) for name, fn, _ in SPECS if name not in folded]
+    return Q.run_suite(parts)
 
 
 query("c15_run_suite", _GEO_Q + " UNION ALL ".join(f"({s})" for _, _, s in SPECS))(_c15)
