@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from emporium.functions import expr as X
 from emporium.operators import gold as G
-from emporium.operators.windows import seq_number
+from emporium.operators.windows import hour_bucket, seq_number
 
 
 def orders(fact: DataFrame, dim_customers: DataFrame, dim_reviews: DataFrame) -> DataFrame:
@@ -65,7 +65,7 @@ def add_order_seq(df: DataFrame, person: str = "customer_unique_id", ts: str = "
     keyed = df.filter(F.col(person).isNotNull())
     none = df.filter(F.col(person).isNull()).withColumn("order_seq", F.lit(None).cast("long"))
     if _skew_safe(df):
-        seq = seq_number(keyed, person, [ts, tie], "order_seq")
+        seq = seq_number(keyed, person, [ts, tie], "order_seq", bucket=hour_bucket(ts))
     else:
         w = Window.partitionBy(person).orderBy(F.col(ts), F.col(tie))
         seq = keyed.withColumn("order_seq", F.row_number().over(w).cast("long"))
@@ -86,7 +86,8 @@ def enrich(orders_df: DataFrame, person: str = "customer_unique_id") -> DataFram
                                       F.min("order_month").alias("cohort_month"))
     if _skew_safe(orders_df):
         # range-partitioned numbering: a person with a third of all orders is split
-        numbered = seq_number(keyed, person, ["purchase_ts", "order_id"], "order_seq")
+        numbered = seq_number(keyed, person, ["purchase_ts", "order_id"], "order_seq",
+                              bucket=hour_bucket("purchase_ts"))
     else:
         numbered = keyed.withColumn("order_seq",
                                     F.row_number().over(order_seq(person)).cast("long"))

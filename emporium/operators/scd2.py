@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporium.operators.windows import neighbour, skew_safe_enabled
+from emporium.operators.windows import hour_bucket, neighbour, skew_safe_enabled
 
 SEP = "␟"  # unit-separator glyph: never appears in keys
 
@@ -102,6 +102,12 @@ def scd2_check(history: DataFrame | None, current: DataFrame, key: Sequence[str]
                      F.lit(as_of).cast("timestamp_ntz"), current.columns)
 
 
+def _bucket_of(df: DataFrame, ts: str) -> Column | None:
+    """Hour bucket when the leading order column is a timestamp (lazy slicing)."""
+    t = df.schema[ts].dataType
+    return hour_bucket(ts) if isinstance(t, (T.TimestampType, T.TimestampNTZType)) else None
+
+
 def with_validity(df: DataFrame) -> DataFrame:
     """H3: ``is_current`` flag over ``valid_to``."""
     return df.withColumn("is_current", F.col("valid_to").isNull())
@@ -120,7 +126,8 @@ def version_ranges(log: DataFrame, key: Sequence[str], attrs: Sequence[str],
     versions = log.groupBy(*key, *attrs).agg(F.min(ts).alias("start_at"),
                                              F.max(ts).alias("last_seen_at"))
     if len(key) == 1 and skew_safe_enabled(log):
-        nxt = neighbour(versions, key[0], ["start_at", *attrs], ["start_at"], +1, "_next_")
+        nxt = neighbour(versions, key[0], ["start_at", *attrs], ["start_at"], +1, "_next_",
+                        bucket=_bucket_of(versions, "start_at"))
         out = nxt.withColumnRenamed("_next_start_at", "end_at").drop("_seq")
     else:
         w = Window.partitionBy(*key).orderBy(F.col("start_at"), *[F.col(a) for a in attrs])
@@ -143,13 +150,14 @@ def scd2_from_log(log: DataFrame, key: Sequence[str], ts: str,
     rest = [c for c in log.columns if c not in key and c != ts]
     if len(key) == 1 and skew_safe_enabled(log):
         k = key[0]
-        prev = neighbour(log, k, [ts, *rest], check_cols, -1, "_prev_")
+        prev = neighbour(log, k, [ts, *rest], check_cols, -1, "_prev_",
+                         bucket=_bucket_of(log, ts))
         same = reduce(lambda a, b: a & b,
                       [F.col(c).eqNullSafe(F.col(f"_prev_{c}")) for c in check_cols], F.lit(True))
         first = F.col("_seq") == 1
         kept = (prev.filter(first | ~same)
                 .drop("_seq", *[f"_prev_{c}" for c in check_cols]))
-        nxt = neighbour(kept, k, [ts, *rest], [ts], +1, "_next_")
+        nxt = neighbour(kept, k, [ts, *rest], [ts], +1, "_next_", bucket=_bucket_of(kept, ts))
         out = (nxt.withColumn("valid_from", F.col(ts))
                .withColumnRenamed(f"_next_{ts}", "valid_to").drop("_seq"))
     else:

@@ -57,13 +57,29 @@ def _range_id(df: DataFrame, cols: Sequence[str], bounds: list[tuple]) -> Column
     return tree(0, len(bounds)) if bounds else F.lit(0)
 
 
+def hour_bucket(ts: str) -> Column:
+    """A monotone bucket of a timestamp: hours since the epoch (NULL → -1)."""
+    return F.coalesce(F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(3_600_000_000)),
+                      F.lit(-1)).cast("long")
+
+
 def seq_number(df: DataFrame, key: str, order: Sequence[str], out: str = "seq",
-               n_parts: int | None = None) -> DataFrame:
-    """1-based position of each row within its key by ``order`` (a total order)."""
+               n_parts: int | None = None, bucket: Column | None = None) -> DataFrame:
+    """1-based position of each row within its key by ``order`` (a total order).
+
+    ``bucket`` — a column that never decreases along ``order`` (e.g.
+    ``hour_bucket`` of a leading timestamp) — names the slices directly, so
+    the plan stays lazy and the (slice, key) count table is bounded by the
+    time span, not the data.  Without it, slice bounds are sampled once and
+    frozen as literals (two small driver jobs).
+    """
     spark = df.sparkSession
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     cols = [key, *order]
-    r = df.withColumn("_rg", _range_id(df, cols, _range_bounds(df, cols, n)))
+    if bucket is not None:
+        r = df.withColumn("_rg", bucket)
+    else:
+        r = df.withColumn("_rg", _range_id(df, cols, _range_bounds(df, cols, n)))
     local_w = Window.partitionBy("_rg", key).orderBy(*order)
     r = r.withColumn("_local", F.row_number().over(local_w))
     counts = r.groupBy("_rg", key).agg(F.count(F.lit(1)).alias("_n"))
@@ -81,14 +97,14 @@ def skew_safe_enabled(df: DataFrame) -> bool:
 
 
 def neighbour(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
-              offset: int, prefix: str) -> DataFrame:
+              offset: int, prefix: str, bucket: Column | None = None) -> DataFrame:
     """LAG (offset = -1) / LEAD (offset = +1) of ``cols`` within ``key`` by ``order``.
 
     Rows are numbered with ``seq_number`` and joined to their neighbour on
     (key, seq ± 1): that join key is unique per row, so hash partitioning
     spreads a hot key evenly instead of sending it to one task.
     """
-    numbered = seq_number(df, key, order, "_seq")
+    numbered = seq_number(df, key, order, "_seq", bucket=bucket)
     other = numbered.select(F.col(key).alias("_nk"), (F.col("_seq") - offset).alias("_nseq"),
                             *[F.col(c).alias(f"{prefix}{c}") for c in cols])
     j = numbered.join(other, (F.col(key).eqNullSafe(F.col("_nk")))

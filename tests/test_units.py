@@ -291,3 +291,15 @@ def test_seq_number_matches_row_number_with_hot_key(spark):
     w = Window.partitionBy("p").orderBy("t", "id")
     exp = df.withColumn("s", F.row_number().over(w).cast("long"))
     assert sorted(got.select("p", "t", "id", "s").collect()) == sorted(exp.collect())
+
+
+def test_seq_number_with_time_bucket_matches_row_number(spark):
+    from pyspark.sql import Window
+    from emporium.operators.windows import hour_bucket, seq_number
+    rows = [("hot" if i % 3 == 0 else f"k{i % 17}",
+             dt.datetime(2024, 1, 1) + dt.timedelta(minutes=(i * 37) % 5000), str(i))
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "p string, t timestamp_ntz, id string")
+    got = seq_number(df, "p", ["t", "id"], "s", bucket=hour_bucket("t"))
+    exp = df.withColumn("s", F.row_number().over(Window.partitionBy("p").orderBy("t", "id")).cast("long"))
+    assert sorted(got.select("p", "t", "id", "s").collect()) == sorted(exp.collect())
