@@ -226,7 +226,20 @@ FROM (SELECT CAST(least(floor((greatest(least(CAST(delivery_days AS DOUBLE), 60.
       FROM orders_e WHERE delivery_days IS NOT NULL) GROUP BY 1
 """)(lambda c: B.histogram(c.enriched, "delivery_days", 20, 0.0, 60.0))
 
-query("a41_kde", None)(lambda c: B.kde(c.enriched, "delivery_days", 2.0, 0.0, 60.0, 61, 60))
+_SQRT2PI = repr((2 * 3.141592653589793) ** 0.5)
+query("a41_kde", f"""
+, h AS (SELECT bin, count(*) AS cnt FROM (
+          SELECT CAST(least(floor((greatest(least(CAST(delivery_days AS DOUBLE), 60.0), 0.0) - 0.0)
+                                  * 60.0 / 60.0), 59) AS BIGINT) AS bin
+          FROM orders_e WHERE delivery_days IS NOT NULL) GROUP BY 1),
+hc AS (SELECT cnt, ((0.0 + bin * 1.0) + (0.0 + (bin + 1) * 1.0)) / 2 AS center FROM h),
+n AS (SELECT sum(cnt) AS n FROM h),
+g AS (SELECT range AS gi, 0.0 + range * 1.0 AS x FROM range(0, 61)),
+s AS (SELECT g.gi, g.x, sum(hc.cnt * exp(-0.5 * ((g.x - hc.center) / 2.0) * ((g.x - hc.center) / 2.0))
+                            / {_SQRT2PI}) AS s
+      FROM g, hc GROUP BY 1, 2)
+SELECT s.x, round(s.s / (n.n * 2.0), 9) AS density FROM s, n
+""")(lambda c: B.kde(c.enriched, "delivery_days", 2.0, 0.0, 60.0, 61, 60))
 
 query("a42_box_stats", """
 , q AS (SELECT customer_state, quantile_cont(CAST(delivery_days AS DOUBLE), 0.25) AS q1,
@@ -245,7 +258,34 @@ GROUP BY ALL
     "AS whisker_hi", "AS DOUBLE) AS whisker_hi"))(
     lambda c: B.box_stats(c.enriched, "customer_state", "delivery_days"))
 
-query("a43_review_delay_curve", None)(lambda c: B.review_delay_curve(c.enriched))
+query("a43_review_delay_curve", """
+, pts AS (SELECT days_vs_estimate AS day, avg(review_score) AS avg_review, count(*) AS orders
+          FROM orders_e WHERE review_score IS NOT NULL AND days_vs_estimate BETWEEN -30 AND 30
+          GROUP BY 1),
+s AS (SELECT CAST(count(*) AS DOUBLE) AS s0, sum(CAST(day AS DOUBLE)) AS s1,
+             sum(CAST(day AS DOUBLE) * day) AS s2, sum(CAST(day AS DOUBLE) * day * day) AS s3,
+             sum(CAST(day AS DOUBLE) * day * day * day) AS s4, sum(avg_review) AS t0,
+             sum(CAST(day AS DOUBLE) * avg_review) AS t1,
+             sum(CAST(day AS DOUBLE) * day * avg_review) AS t2 FROM pts),
+co AS (SELECT CASE WHEN ((s0)*((s2)*(s4)-(s3)*(s3)) - (s1)*((s1)*(s4)-(s3)*(s2)) + (s2)*((s1)*(s3)-(s2)*(s2))) <> 0 THEN ((t0)*((s2)*(s4)-(s3)*(s3)) - (s1)*((t1)*(s4)-(s3)*(t2)) + (s2)*((t1)*(s3)-(s2)*(t2))) / ((s0)*((s2)*(s4)-(s3)*(s3)) - (s1)*((s1)*(s4)-(s3)*(s2)) + (s2)*((s1)*(s3)-(s2)*(s2))) END AS c0,
+              CASE WHEN ((s0)*((s2)*(s4)-(s3)*(s3)) - (s1)*((s1)*(s4)-(s3)*(s2)) + (s2)*((s1)*(s3)-(s2)*(s2))) <> 0 THEN ((s0)*((t1)*(s4)-(s3)*(t2)) - (t0)*((s1)*(s4)-(s3)*(s2)) + (s2)*((s1)*(t2)-(t1)*(s2))) / ((s0)*((s2)*(s4)-(s3)*(s3)) - (s1)*((s1)*(s4)-(s3)*(s2)) + (s2)*((s1)*(s3)-(s2)*(s2))) END AS c1,
+              CASE WHEN ((s0)*((s2)*(s4)-(s3)*(s3)) - (s1)*((s1)*(s4)-(s3)*(s2)) + (s2)*((s1)*(s3)-(s2)*(s2))) <> 0 THEN ((s0)*((s2)*(t2)-(t1)*(s3)) - (s1)*((s1)*(t2)-(t1)*(s2)) + (t0)*((s1)*(s3)-(s2)*(s2))) / ((s0)*((s2)*(s4)-(s3)*(s3)) - (s1)*((s1)*(s4)-(s3)*(s2)) + (s2)*((s1)*(s3)-(s2)*(s2))) END AS c2 FROM s)
+SELECT day, avg_review, orders,
+       round(c0 + c1 * CAST(day AS DOUBLE) + c2 * CAST(day AS DOUBLE) * CAST(day AS DOUBLE), 6) AS fitted
+FROM pts, co
+""")(lambda c: B.review_delay_curve(c.enriched))
+
+query("k1_ordered_report", """
+SELECT CAST(date_trunc('month', CAST(order_purchase_timestamp AS DATE)) AS DATE) AS month,
+       count(DISTINCT id) AS total_orders
+FROM fact_orders WHERE order_status = 'delivered' AND order_purchase_timestamp IS NOT NULL
+GROUP BY 1 ORDER BY 1
+""")(lambda c: B.biz_monthly_revenue(c.fact).select("month", "total_orders").orderBy("month"))
+
+query("k4_head_sample", """
+SELECT review_id, review_score, title FROM b_review_texts ORDER BY review_id LIMIT 10
+""")(lambda c: c.review_texts.select("review_id", "review_score", "title")
+     .orderBy("review_id").limit(10))
 
 
 def _base(c):
