@@ -84,7 +84,10 @@ def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str],
     older ``order_by`` value are replaced because the delta wins.
     """
     d = dedupe_latest(delta, keys, order_by, descending=descending)
-    return target.join(d.select(*keys), list(keys), "left_anti").unionByName(d)
+    dk = d.select(*[F.col(k).alias(f"_dk_{k}") for k in keys])
+    # NULL-safe key match, so a NULL key is replaced like any other key
+    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_dk_{k}")) for k in keys])
+    return target.join(dk, cond, "left_anti").unionByName(d)
 
 
 def append_history(df: DataFrame, batch_ts: str, col: str = "batched_at") -> DataFrame:
