@@ -23,7 +23,7 @@ class Ctx:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return O.orders(self.fact, self.gold.dim_customers, self.gold.dim_reviews)
+        return O.orders(self.fact, self.gold.dim_customers, self.gold.dim_reviews_current)
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -48,7 +48,7 @@ def materialize_gold(c: Ctx, base: str) -> Ctx:
     from emporium.sources.io import materialize
     g = c.gold
     tables = {"fact": c.fact, "cust": g.dim_customers, "sell": g.dim_sellers,
-              "prod": g.dim_products, "rev": g.dim_reviews, "geo": g.dim_geolocation}
+              "prod": g.dim_products, "rev": g.dim_reviews, "rev_cur": g.dim_reviews_current, "geo": g.dim_geolocation}
     written = {k: materialize(v, k, "gold", base) for k, v in tables.items()}
     c.__dict__["fact"] = written.pop("fact")
     g._cache["fact"] = c.fact

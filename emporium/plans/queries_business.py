@@ -42,7 +42,7 @@ SELECT f.seller_id, s.seller_state, s.seller_city, count(DISTINCT f.id) AS total
 FROM {DELIV} f LEFT JOIN dim_sellers s ON f.seller_id = s.id
 LEFT JOIN cur_review r ON f.id = r.order_id
 GROUP BY 1, 2, 3
-""")(lambda c: B.biz_sellers(c.fact, c.gold.dim_sellers, c.gold.dim_reviews))
+""")(lambda c: B.biz_sellers(c.fact, c.gold.dim_sellers, c.gold.dim_reviews_current))
 
 query("a23_biz_categories", f"""
 SELECT p.product_category, count(DISTINCT f.id) AS total_orders,
@@ -53,7 +53,7 @@ SELECT p.product_category, count(DISTINCT f.id) AS total_orders,
 FROM {DELIV} f LEFT JOIN {CUR_PROD} p ON f.product_id = p.product_id
 LEFT JOIN cur_review r ON f.id = r.order_id
 GROUP BY 1
-""")(lambda c: B.biz_categories(c.fact, c.gold.dim_products, c.gold.dim_reviews))
+""")(lambda c: B.biz_categories(c.fact, c.gold.dim_products, c.gold.dim_reviews_current))
 
 query("a24_biz_payments", f"""
 SELECT payment_type, payment_installments, count(DISTINCT id) AS total_orders,
@@ -82,9 +82,9 @@ FROM {DELIV} f LEFT JOIN dim_customers c ON f.customer_id = c.id
 LEFT JOIN cur_review r ON f.id = r.order_id GROUP BY 1
 """
 query("a26_biz_geo", _GEO.format(who="c.customer_unique_id"))(
-    lambda c: B.biz_geo(c.fact, c.gold.dim_customers, c.gold.dim_reviews))
+    lambda c: B.biz_geo(c.fact, c.gold.dim_customers, c.gold.dim_reviews_current))
 query("a26_biz_geo_parity", _GEO.format(who="c.id"))(
-    lambda c: B.biz_geo(c.fact, c.gold.dim_customers, c.gold.dim_reviews, "customer_id"))
+    lambda c: B.biz_geo(c.fact, c.gold.dim_customers, c.gold.dim_reviews_current, "customer_id"))
 
 query("a27_biz_reviews_by_category", f"""
 SELECT p.product_category, r.review_score, count(DISTINCT f.id) AS total_orders,
@@ -93,7 +93,7 @@ SELECT p.product_category, r.review_score, count(DISTINCT f.id) AS total_orders,
   {_avg_money('f.freight_value')} AS avg_freight
 FROM fact_orders f LEFT JOIN {CUR_PROD} p ON f.product_id = p.product_id
 JOIN cur_review r ON f.id = r.order_id GROUP BY 1, 2
-""")(lambda c: B.biz_reviews_by_category(c.fact, c.gold.dim_products, c.gold.dim_reviews))
+""")(lambda c: B.biz_reviews_by_category(c.fact, c.gold.dim_products, c.gold.dim_reviews_current))
 
 query("a28_repeat_customer_rate", """
 , per AS (SELECT c.customer_unique_id, count(DISTINCT f.id) AS n
@@ -125,7 +125,7 @@ SELECT review_score, reviews, reviews / sum(reviews) OVER () AS share,
   sum(review_score * reviews) OVER () / sum(reviews) OVER () AS avg_score,
   sum(reviews) FILTER (WHERE review_score <= 2) OVER () / sum(reviews) OVER () AS low_share
 FROM g
-""")(lambda c: B.review_scores(c.gold.dim_reviews))
+""")(lambda c: B.review_scores(c.gold.dim_reviews_current))
 
 query("a31_revenue_by_purchase_type", f"""
 , ranked AS (
@@ -428,7 +428,7 @@ def j4_star_join(c):
     g = c.gold
     cust = g.dim_customers.select(F.col("id").alias("customer_id"), "customer_unique_id",
                                   "customer_state")
-    rev = G.current_review_per_order(g.dim_reviews).withColumnRenamed("order_id", "id")
+    rev = G.current_review_per_order(g.dim_reviews_current).withColumnRenamed("order_id", "id")
     prod = G.current(g.dim_products).select("product_id", "product_category")
     return (c.fact.join(cust, "customer_id", "left").join(rev, "id", "left")
             .join(prod, "product_id", "left")

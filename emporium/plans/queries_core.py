@@ -195,7 +195,7 @@ query("a17_category", "SELECT * FROM category")(lambda c: c.category)
 
 @query("j6_current_review_per_order", "SELECT * FROM cur_review")
 def j6_current_review_per_order(c):
-    return G.current_review_per_order(c.gold.dim_reviews)
+    return G.current_review_per_order(c.gold.dim_reviews_current)
 
 
 @query("j11_current_products", "SELECT * FROM dim_products WHERE is_current")
@@ -244,5 +244,5 @@ QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY review_score DESC NULL
                            review_id DESC NULLS LAST) = 1
 """)
 def v5_best_review(c):
-    cur = G.current(c.gold.dim_reviews).select("order_id", "review_score", "review_id")
+    cur = G.current(c.gold.dim_reviews_current).select("order_id", "review_score", "review_id")
     return O.best_review(cur)

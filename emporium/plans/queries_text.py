@@ -43,10 +43,10 @@ _X1 = f"""
   QUALIFY row_number() OVER (PARTITION BY review_id
                              ORDER BY review_answer_timestamp DESC NULLS LAST, id DESC) = 1)
 """
-query("x1_review_texts", _X1 + "SELECT * FROM x1")(lambda c: TX.review_texts(c.gold.dim_reviews))
+query("x1_review_texts", _X1 + "SELECT * FROM x1")(lambda c: TX.review_texts(c.gold.dim_reviews_current))
 query("x1_top_title_words", _X1 + ", tk AS (" + _tokens_sql("x1", "title") + """)
 SELECT term, count(*) AS count FROM tk GROUP BY 1 ORDER BY count DESC, term LIMIT 20
-""")(lambda c: TX.top_words(TX.review_texts(c.gold.dim_reviews), "title", 20))
+""")(lambda c: TX.top_words(TX.review_texts(c.gold.dim_reviews_current), "title", 20))
 
 query("x2_text_field", f"""
 SELECT review_id, {_blank("coalesce(title, '') || ' ' || coalesce(message, '')")} AS text,
