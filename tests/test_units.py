@@ -303,3 +303,41 @@ def test_seq_number_with_time_bucket_matches_row_number(spark):
     got = seq_number(df, "p", ["t", "id"], "s", bucket=hour_bucket("t"))
     exp = df.withColumn("s", F.row_number().over(Window.partitionBy("p").orderBy("t", "id")).cast("long"))
     assert sorted(got.select("p", "t", "id", "s").collect()) == sorted(exp.collect())
+
+
+def test_more_check_fixtures(spark):
+    combo_ok = spark.createDataFrame([(1, 1), (1, 2)], "a int, b int")
+    combo_bad = spark.createDataFrame([(1, 1), (1, 1)], "a int, b int")
+    assert Q.unique(combo_ok, "t", ["a", "b"]).first().status == "pass"
+    assert Q.unique(combo_bad, "t", ["a", "b"]).first().n_failed == 1
+    assert Q.has_type(combo_ok, "t", "a", "int").first().status == "pass"
+    assert Q.has_type(combo_ok, "t", "a", "string").first().status == "fail"
+    a = spark.createDataFrame([(1.10,), (2.20,)], "x double")
+    b = spark.createDataFrame([(1.10,), (2.30,)], "x double")
+    assert Q.reconcile(a, "x", b, "x", "diff").first().status == "fail"
+    prof = Q.profile(spark.createDataFrame([(1.0,), (None,), (3.0,)], "v double"), ["v"])
+    r = prof.first()
+    assert abs(r.null_rate - 1 / 3) < 1e-12 and r.min == 1.0 and r.max == 3.0 and r.mean == 2.0
+    assert Q.envelope(prof, "t", 0.5).first().status == "pass"
+    assert Q.envelope(prof, "t", 0.1).first().status == "warn"
+    folded = Q.run_checks(combo_bad, "t", [Q.Check("a_pos", "t", "a", F.col("a") < 0),
+                                           Q.Check("b_small", "t", "b", F.col("b") < 2, "warn")])
+    got = {r.check: (r.n_failed, r.status) for r in folded.collect()}
+    assert got == {"a_pos": (0, "pass"), "b_small": (2, "warn")}
+
+
+def test_stream_upsert_resumes_and_is_idempotent(spark):
+    from emporium.streaming.upsert_stream import stream_upsert
+    schema = "k string, v int, u timestamp_ntz"
+    src, tgt, ck = (scratch_path(spark, n) for n in ("s-src", "s-tgt", "s-ck"))
+    st = spark.createDataFrame([], schema).schema
+    spark.createDataFrame([("a", 1, ts("2024-01-01")), ("b", 1, ts("2024-01-01"))], schema) \
+        .write.parquet(f"{src}/f1")
+    first = stream_upsert(spark, f"{src}/*", tgt, ck, st, ["k"], [("u", True)])
+    assert {r.k: r.v for r in first.collect()} == {"a": 1, "b": 1}
+    again = stream_upsert(spark, f"{src}/*", tgt, ck, st, ["k"], [("u", True)])  # nothing new
+    assert sorted(again.collect()) == sorted(first.collect())
+    spark.createDataFrame([("b", 2, ts("2024-01-02")), ("c", 1, ts("2024-01-02"))], schema) \
+        .write.parquet(f"{src}/f2")
+    third = stream_upsert(spark, f"{src}/*", tgt, ck, st, ["k"], [("u", True)])
+    assert {r.k: r.v for r in third.collect()} == {"a": 1, "b": 2, "c": 1}
