@@ -220,7 +220,8 @@ def _corr_sql() -> str:
 query("a39_corr_matrix", _corr_sql())(lambda c: B.corr_matrix(c.enriched, CORR_COLS))
 
 query("a40_histogram", """
-SELECT bin, count(*) AS count, 0.0 + bin * 3.0 AS bin_lo, 0.0 + (bin + 1) * 3.0 AS bin_hi
+SELECT bin, count(*) AS count, CAST(0.0 + bin * 3.0 AS DOUBLE) AS bin_lo,
+       CAST(0.0 + (bin + 1) * 3.0 AS DOUBLE) AS bin_hi
 FROM (SELECT CAST(least(floor((greatest(least(CAST(delivery_days AS DOUBLE), 60.0), 0.0) - 0.0)
                               * 20.0 / 60.0), 19) AS BIGINT) AS bin
       FROM orders_e WHERE delivery_days IS NOT NULL) GROUP BY 1
@@ -232,9 +233,9 @@ query("a41_kde", f"""
           SELECT CAST(least(floor((greatest(least(CAST(delivery_days AS DOUBLE), 60.0), 0.0) - 0.0)
                                   * 60.0 / 60.0), 59) AS BIGINT) AS bin
           FROM orders_e WHERE delivery_days IS NOT NULL) GROUP BY 1),
-hc AS (SELECT cnt, ((0.0 + bin * 1.0) + (0.0 + (bin + 1) * 1.0)) / 2 AS center FROM h),
+hc AS (SELECT cnt, CAST(((0.0 + bin * 1.0) + (0.0 + (bin + 1) * 1.0)) / 2 AS DOUBLE) AS center FROM h),
 n AS (SELECT sum(cnt) AS n FROM h),
-g AS (SELECT range AS gi, 0.0 + range * 1.0 AS x FROM range(0, 61)),
+g AS (SELECT range AS gi, CAST(0.0 + range * 1.0 AS DOUBLE) AS x FROM range(0, 61)),
 s AS (SELECT g.gi, g.x, sum(hc.cnt * exp(-0.5 * ((g.x - hc.center) / 2.0) * ((g.x - hc.center) / 2.0))
                             / {_SQRT2PI}) AS s
       FROM g, hc GROUP BY 1, 2)

@@ -199,7 +199,7 @@ GROUP BY 1, 2
 
 query("a20_cac_scenario", """
 , k AS (""" + _kpis_sql("orders_e") + """)
-SELECT 50000.0 * greatest(coalesce(n_months, 1), 1) AS total_spend,
+SELECT CAST(50000.0 AS DOUBLE) * greatest(coalesce(n_months, 1), 1) AS total_spend,
        50000.0 * greatest(coalesce(n_months, 1), 1) / nullif(customers, 0) AS blended_cac,
        50000.0 * greatest(coalesce(n_months, 1), 1) / nullif(gmv, 0) AS pct_gmv_on_marketing,
        repeat_rate, customers * (2.0 / 100.0) * aov AS incremental_gmv,

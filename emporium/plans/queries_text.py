@@ -121,7 +121,8 @@ _LEN = f"""
    SELECT review_score, {_blank("coalesce(title, '') || ' ' || coalesce(message, '')")} AS txt FROM {RT}))
 """
 query("x10_comment_lengths", _LEN + """
-SELECT bin, count(*) AS count, 0.0 + bin * 12.5 AS bin_lo, 0.0 + (bin + 1) * 12.5 AS bin_hi
+SELECT bin, count(*) AS count, CAST(0.0 + bin * 12.5 AS DOUBLE) AS bin_lo,
+       CAST(0.0 + (bin + 1) * 12.5 AS DOUBLE) AS bin_hi
 FROM (SELECT CAST(least(floor((greatest(least(CAST(length AS DOUBLE), 500.0), 0.0) - 0.0) * 40.0 / 500.0), 39) AS BIGINT) AS bin
       FROM ln WHERE length > 0) GROUP BY 1
 """)(lambda c: TX.comment_lengths(c.review_texts))

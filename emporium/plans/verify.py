@@ -42,6 +42,23 @@ def _rows(cols, rows):
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+                 "array<string>": "VARCHAR[]"}
+
+
+def type_diffs(sdf, con, sql: str) -> list[str]:
+    """Columns whose Spark type and DuckDB type differ (schema only, no job)."""
+    res = con.execute(f"SELECT * FROM ({sql}) LIMIT 0")
+    duck = {d[0]: str(d[1]) for d in res.description}
+    out = []
+    for f in sdf.schema.fields:
+        want = SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+        if duck.get(f.name) != want:
+            out.append(f"{f.name}: spark {f.dataType.simpleString()} duck {duck.get(f.name)}")
+    return out
+
+
 def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> tuple[bool, str]:
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -66,6 +83,8 @@ def compare(spark, con, name: str, fn, sql: str, sf_dir: str) -> tuple[bool, str
 def main(argv):
     from emporium.plans import catalog
     from emporium.session import build_session
+    types_only = "--types" in argv
+    argv = [a for a in argv if a != "--types"]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.001"
     names = argv[1:]
     spark = build_session()
@@ -73,6 +92,12 @@ def main(argv):
     qs, orc = catalog.all_queries(), catalog.all_oracles()
     bad = 0
     for name in (names or sorted(qs)):
+        if types_only:
+            if name in orc:
+                diffs = type_diffs(qs[name](spark, sf_dir), con, orc[name])
+                bad += bool(diffs)
+                print(f"{'TYPE' if diffs else 'ok  '} {name}: {'; '.join(diffs)}", flush=True)
+            continue
         if name not in orc:
             n = qs[name](spark, sf_dir).count()
             print(f"-- {name}: no oracle ({n} rows)")
