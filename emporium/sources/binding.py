@@ -6,11 +6,12 @@ lazy scans: Catalyst prunes the columns and pushes filters to parquet.
 """
 from __future__ import annotations
 
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporium.session import spread_scan
+
 # Fixed values of the binding (FIXTURES.md §2).
 AS_OF_ORDERS = "2001-08-01 00:00:00"      # clock for order data
 AS_OF_EVENTS = "2024-02-01 00:00:00"      # clock for event data
@@ -29,8 +30,32 @@ CATEGORY_TRANSLATION = [
 ]
 
 
+_READ_CACHE: dict | None = None
+
+
+class _reading_once:
+    """Route ``_read`` through a per-``Sources`` cache while building."""
+
+    def __init__(self, cache: dict):
+        self.cache = cache
+
+    def __enter__(self):
+        global _READ_CACHE
+        self.saved, _READ_CACHE = _READ_CACHE, self.cache
+
+    def __exit__(self, *exc):
+        global _READ_CACHE
+        _READ_CACHE = self.saved
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if _READ_CACHE is not None and path in _READ_CACHE:
+        return _READ_CACHE[path]
+    df = spread_scan(spark.read.parquet(path))
+    if _READ_CACHE is not None:
+        _READ_CACHE[path] = df
+    return df
 
 
 def _ts(value: str) -> Column:
@@ -210,31 +235,38 @@ def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("text").alias("message")))
 
 
-@dataclass
 class Sources:
-    """The nine bronze tables plus the second product load."""
-    orders: DataFrame
-    customers: DataFrame
-    order_items: DataFrame
-    order_payments: DataFrame
-    order_reviews: DataFrame
-    products: DataFrame
-    products_update: DataFrame
-    sellers: DataFrame
-    geolocation: DataFrame
-    category_translation: DataFrame
+    """The nine bronze tables plus the second product load, built lazily.
+
+    Each driver table is read (and its split count checked) once per
+    instance, however many source tables derive from it.
+    """
+
+    _BUILDERS = {
+        "orders": orders, "customers": customers, "order_items": order_items,
+        "order_payments": order_payments, "order_reviews": order_reviews,
+        "products": products, "products_update": products_update, "sellers": sellers,
+        "geolocation": geolocation,
+    }
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._spark, self._sf_dir = spark, sf_dir
+        self._built: dict[str, DataFrame] = {}
+        self._reads: dict[str, DataFrame] = {}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        if name not in self._built:
+            if name == "category_translation":
+                self._built[name] = category_translation(self._spark)
+            elif name in self._BUILDERS:
+                with _reading_once(self._reads):
+                    self._built[name] = self._BUILDERS[name](self._spark, self._sf_dir)
+            else:
+                raise AttributeError(name)
+        return self._built[name]
 
 
 def load_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    return Sources(
-        orders=orders(spark, sf_dir),
-        customers=customers(spark, sf_dir),
-        order_items=order_items(spark, sf_dir),
-        order_payments=order_payments(spark, sf_dir),
-        order_reviews=order_reviews(spark, sf_dir),
-        products=products(spark, sf_dir),
-        products_update=products_update(spark, sf_dir),
-        sellers=sellers(spark, sf_dir),
-        geolocation=geolocation(spark, sf_dir),
-        category_translation=category_translation(spark),
-    )
+    return Sources(spark, sf_dir)
