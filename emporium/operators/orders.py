@@ -82,16 +82,17 @@ def enrich(orders_df: DataFrame, person: str = "customer_unique_id") -> DataFram
     """
     keyed = orders_df.filter(F.col(person).isNotNull())
     unkeyed = orders_df.filter(F.col(person).isNull())
-    stats = keyed.groupBy(person).agg(F.count(F.lit(1)).alias("cust_total_orders"),
-                                      F.min("order_month").alias("cohort_month"))
     if _skew_safe(orders_df):
-        # range-partitioned numbering: a person with a third of all orders is split
-        numbered = seq_number(keyed, person, ["purchase_ts", "order_id"], "order_seq",
-                              bucket=hour_bucket("purchase_ts"))
+        # sliced numbering: a person with a third of all orders is split over
+        # many tasks; totals and cohort come from the same small count table
+        seq = seq_number(keyed, person, ["purchase_ts", "order_id"], "order_seq",
+                         bucket=hour_bucket("purchase_ts"), total="cust_total_orders",
+                         key_mins={"cohort_month": "order_month"})
     else:
-        numbered = keyed.withColumn("order_seq",
-                                    F.row_number().over(order_seq(person)).cast("long"))
-    seq = numbered.join(stats, person, "inner")
+        stats = keyed.groupBy(person).agg(F.count(F.lit(1)).alias("cust_total_orders"),
+                                          F.min("order_month").alias("cohort_month"))
+        seq = (keyed.withColumn("order_seq", F.row_number().over(order_seq(person)).cast("long"))
+               .join(stats, person, "inner"))
     none = (unkeyed.withColumn("order_seq", F.lit(None).cast("long"))
             .withColumn("cust_total_orders", F.lit(None).cast("long"))
             .withColumn("cohort_month", F.lit(None).cast("date")))

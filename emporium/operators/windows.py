@@ -64,7 +64,8 @@ def hour_bucket(ts: str) -> Column:
 
 
 def seq_number(df: DataFrame, key: str, order: Sequence[str], out: str = "seq",
-               n_parts: int | None = None, bucket: Column | None = None) -> DataFrame:
+               n_parts: int | None = None, bucket: Column | None = None,
+               total: str | None = None, key_mins: dict[str, str] | None = None) -> DataFrame:
     """1-based position of each row within its key by ``order`` (a total order).
 
     ``bucket`` — a column that never decreases along ``order`` (e.g.
@@ -72,6 +73,10 @@ def seq_number(df: DataFrame, key: str, order: Sequence[str], out: str = "seq",
     the plan stays lazy and the (slice, key) count table is bounded by the
     time span, not the data.  Without it, slice bounds are sampled once and
     frozen as literals (two small driver jobs).
+
+    ``total`` adds the key's row count and ``key_mins`` ({out: column}) the
+    key's minimum of a column, computed on the same small count table, so
+    callers need no separate per-key aggregate and join.
     """
     spark = df.sparkSession
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -82,10 +87,15 @@ def seq_number(df: DataFrame, key: str, order: Sequence[str], out: str = "seq",
         r = df.withColumn("_rg", _range_id(df, cols, _range_bounds(df, cols, n)))
     local_w = Window.partitionBy("_rg", key).orderBy(*order)
     r = r.withColumn("_local", F.row_number().over(local_w))
-    counts = r.groupBy("_rg", key).agg(F.count(F.lit(1)).alias("_n"))
+    key_mins = key_mins or {}
+    counts = r.groupBy("_rg", key).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(f"_min_{o}") for o, c in key_mins.items()])
     off_w = Window.partitionBy(key).orderBy("_rg").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(off_w), F.lit(0))) \
-        .select("_rg", key, "_off")
+    whole = Window.partitionBy(key)
+    extra = ([F.sum("_n").over(whole).cast("long").alias(total)] if total else []) + \
+        [F.min(f"_min_{o}").over(whole).alias(o) for o in key_mins]
+    offsets = counts.select("_rg", key, F.coalesce(F.sum("_n").over(off_w), F.lit(0)).alias("_off"),
+                            *extra)
     return (r.join(offsets, ["_rg", key])
             .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
             .drop("_rg", "_local", "_off"))
