@@ -3,8 +3,8 @@
 ``of`` is the filtered frame (``apply_filters``), ``full`` the whole history.
 Every metric is a lazy ``DataFrame → DataFrame``; distinct counts are exact.
 Since ``order_id`` is unique after A1, order counts are plain ``count``.
-Scalars that must reach every row (a global max, a total) are attached with
-a one-row broadcast equi-join (size 1 by construction), never a cross join.
+Scalars that must reach every row (a global max, a total) are attached as
+scalar subqueries (computed once, used as constants), never by a join.
 """
 from __future__ import annotations
 
@@ -23,9 +23,16 @@ def _cnt() -> Column:
 
 
 def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Append the columns of a one-row frame to every row (broadcast, no cross join)."""
-    return (df.withColumn("_k", F.lit(1))
-            .join(F.broadcast(one_row.withColumn("_k", F.lit(1))), "_k").drop("_k"))
+    """Append the columns of a one-row frame (a global aggregate) to every row.
+
+    The frame becomes one scalar subquery (``DataFrame.scalar``): Spark runs
+    it once and uses the value as a constant — no join and no shuffle of
+    ``df``.
+    """
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*cols).alias("__scalar_row")).scalar()
+    return (df.withColumn("__scalar_row", packed)
+            .select(*df.columns, *[F.col(f"__scalar_row.{c}").alias(c) for c in cols]))
 
 
 def share(df: DataFrame, col: str, out: str = "share") -> DataFrame:

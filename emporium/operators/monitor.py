@@ -54,9 +54,9 @@ def run_stats(runs: DataFrame, pipeline_col: str = "pipeline") -> DataFrame:
     dur = ((F.unix_micros(F.col("ended").cast("timestamp"))
             - F.unix_micros(F.col("started").cast("timestamp"))) / F.lit(1_000_000))
     per = runs.withColumn("duration_s", dur)
-    summary = per.groupBy(pipeline_col).agg(
-        F.count(F.lit(1)).alias("runs"),
-        (F.count(F.when(F.col("status") == "success", 1)) / F.count(F.lit(1)))
+    w = Window.partitionBy(pipeline_col)   # one row per run: a small partition
+    return per.select(
+        "*", F.count(F.lit(1)).over(w).alias("runs"),
+        (F.count(F.when(F.col("status") == "success", 1)).over(w) / F.count(F.lit(1)).over(w))
         .alias("success_ratio"),
-        F.avg("duration_s").alias("avg_duration_s"))
-    return per.join(summary, pipeline_col)
+        F.avg("duration_s").over(w).alias("avg_duration_s"))

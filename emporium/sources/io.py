@@ -64,9 +64,8 @@ def incremental_read(df: DataFrame, key: str, state: DataFrame | None) -> tuple[
     if state is None:
         delta = df
     else:
-        delta = (df.withColumn("_k", F.lit(1))
-                 .join(F.broadcast(state.withColumn("_k", F.lit(1))), "_k")
-                 .filter(F.col(key) >= F.col("max_key")).drop("_k", "max_key"))
+        # the state is one row: a scalar subquery, pushed into the scan as a filter
+        delta = df.filter(F.col(key) >= state.agg(F.max("max_key")).scalar())
     prev = state.select("max_key") if state is not None else None
     new = delta.agg(F.max(key).alias("max_key"))
     if prev is not None:
