@@ -23,6 +23,20 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+EPOCH = "1970-01-01 00:00:00"
+
+
+def epoch_micros(c: ColumnOrName) -> Column:
+    """Microseconds since 1970-01-01 of a wall-clock timestamp.
+
+    Computed as a TIMESTAMP_NTZ difference, so the result does not depend on
+    the session time zone (a cast to TIMESTAMP would read the wall time in
+    that zone and shift across daylight-saving changes).
+    """
+    return F.timestamp_diff("MICROSECOND", F.lit(EPOCH).cast("timestamp_ntz"),
+                            _c(c).cast("timestamp_ntz"))
+
+
 # ---------------------------------------------------------------- P1, P2 ----
 def select_as(df: DataFrame, mapping: Mapping[str, ColumnOrName]) -> DataFrame:
     """rename/select projection, ``{new_name: old_column}``."""
@@ -118,7 +132,7 @@ def days_between(start: ColumnOrName, end: ColumnOrName, mode: str = "calendar")
     s, e = _c(start), _c(end)
     if mode == "calendar":
         return F.datediff(F.to_date(e), F.to_date(s)).cast("long")
-    secs = F.unix_micros(e.cast("timestamp")) - F.unix_micros(s.cast("timestamp"))
+    secs = epoch_micros(e) - epoch_micros(s)
     if mode == "whole":
         return (secs / F.lit(86400 * 1_000_000)).cast("long")
     if mode == "floor":
@@ -128,8 +142,7 @@ def days_between(start: ColumnOrName, end: ColumnOrName, mode: str = "calendar")
 
 def hours_between(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Elapsed hours as a double."""
-    return ((F.unix_micros(_c(end).cast("timestamp"))
-             - F.unix_micros(_c(start).cast("timestamp"))) / F.lit(3600 * 1_000_000))
+    return (epoch_micros(end) - epoch_micros(start)) / F.lit(3600 * 1_000_000)
 
 
 def months_since(month_col: ColumnOrName, cohort_col: ColumnOrName) -> Column:

@@ -8,13 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from emporium.functions.expr import epoch_micros
+
 
 def freshness(loads: DataFrame, as_of: str, max_hours: float = 26.0,
               table_col: str = "table", loaded_col: str = "loaded_at") -> DataFrame:
     """O1: newest load per table; stale when older than ``max_hours`` at ``as_of``."""
     clock = F.lit(as_of).cast("timestamp_ntz")
-    age = (F.unix_micros(clock.cast("timestamp"))
-           - F.unix_micros(F.col("last_loaded_at").cast("timestamp"))) / F.lit(3600 * 1_000_000)
+    age = (epoch_micros(clock) - epoch_micros("last_loaded_at")) / F.lit(3600 * 1_000_000)
     return (loads.groupBy(table_col).agg(F.max(loaded_col).alias("last_loaded_at"))
             .withColumn("age_hours", age)
             .withColumn("is_stale", F.col("age_hours") > max_hours))
@@ -51,8 +52,7 @@ def top_jobs(log: DataFrame, as_of: str, n: int = 20, hours: int = 24) -> DataFr
 
 def run_stats(runs: DataFrame, pipeline_col: str = "pipeline") -> DataFrame:
     """Duration per run, plus success ratio and mean duration per pipeline."""
-    dur = ((F.unix_micros(F.col("ended").cast("timestamp"))
-            - F.unix_micros(F.col("started").cast("timestamp"))) / F.lit(1_000_000))
+    dur = (epoch_micros("ended") - epoch_micros("started")) / F.lit(1_000_000)
     per = runs.withColumn("duration_s", dur)
     w = Window.partitionBy(pipeline_col)   # one row per run: a small partition
     return per.select(

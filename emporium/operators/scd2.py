@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from emporium.functions.expr import epoch_micros
 from emporium.operators.windows import hour_bucket, neighbour, skew_safe_enabled
 
 SEP = "␟"  # unit-separator glyph: never appears in keys
@@ -30,7 +31,7 @@ def surrogate_key(df: DataFrame, cols: Sequence[str]) -> Column:
     for c in cols:
         col = F.col(c)
         if isinstance(types.get(c), (T.TimestampType, T.TimestampNTZType)):
-            col = F.unix_micros(col.cast("timestamp"))
+            col = epoch_micros(col)
         parts.append(F.coalesce(col.cast("string"), F.lit("")))
     return F.md5(F.concat_ws(SEP, *parts))
 

@@ -19,6 +19,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from emporium.functions.expr import epoch_micros
+
 SAMPLE_PER_RANGE = 20
 
 
@@ -59,7 +61,7 @@ def _range_id(df: DataFrame, cols: Sequence[str], bounds: list[tuple]) -> Column
 
 def hour_bucket(ts: str) -> Column:
     """A monotone bucket of a timestamp: hours since the epoch (NULL → -1)."""
-    return F.coalesce(F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / F.lit(3_600_000_000)),
+    return F.coalesce(F.floor(epoch_micros(ts) / F.lit(3_600_000_000)),
                       F.lit(-1)).cast("long")
 
 
