@@ -3,8 +3,8 @@
 Texts are tokenised on executors with native functions, exploded with their
 positions, stop words removed by a broadcast anti-join (the stop list has a
 fixed size), and counted with a partial + final aggregation.  Bigrams pair
-each kept token with the next kept token of the same text (window within one
-text: bounded by the text's length).
+each kept token with the next kept token of the same text through a numbered
+self-join, so one very long text is still split across tasks.
 """
 from __future__ import annotations
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from emporium.functions import text as T
 from emporium.functions.expr import month
 from emporium.operators.metrics import top_k
+from emporium.operators.windows import neighbour, skew_safe_enabled
 
 
 def stop_table(spark: SparkSession) -> DataFrame:
@@ -62,13 +63,28 @@ def top_words(df: DataFrame, text_col: str, n: int = 20, key: str = "review_id")
     return top_k(term_freq(df, text_col, key), [F.col("count").desc(), F.col("term")], n)
 
 
+POS_SLICE = 4096  # tokens per slice when a text is numbered in parallel
+
+
 def bigram_rows(df: DataFrame, text_col: str, key: str = "review_id",
                 extra: Sequence[str] = ()) -> DataFrame:
-    """Adjacent pairs of *kept* tokens within one text."""
+    """Adjacent pairs of *kept* tokens within one text.
+
+    With the skew-safe switch on (default), the next kept token is found by
+    numbering kept tokens in slices of ``POS_SLICE`` original positions and
+    joining on (text, n + 1), so even a text holding a third of all tokens is
+    spread over many tasks; otherwise a LEAD window per text.
+    """
     t = token_rows(df, text_col, key, extra)
-    w = Window.partitionBy(key).orderBy("pos")
-    return (t.withColumn("_next", F.lead("term").over(w)).filter(F.col("_next").isNotNull())
-            .select(key, *extra, F.concat_ws(" ", "term", "_next").alias("bigram")))
+    if skew_safe_enabled(t):
+        j = neighbour(t, key, ["pos"], ["term"], +1, "_next_",
+                      bucket=F.floor(F.col("pos") / POS_SLICE).cast("long"))
+        nxt = F.col("_next_term")
+    else:
+        w = Window.partitionBy(key).orderBy("pos")
+        j, nxt = t.withColumn("_lead", F.lead("term").over(w)), F.col("_lead")
+    return (j.filter(nxt.isNotNull())
+            .select(key, *extra, F.concat_ws(" ", F.col("term"), nxt).alias("bigram")))
 
 
 def top_bigrams(df: DataFrame, text_col: str, n: int = 20, key: str = "review_id") -> DataFrame:

@@ -148,7 +148,7 @@ def test_tokens_accent_fixture(spark):
     # 'não'→'nao' and 'produto' are stop words; 'à' is outside á–ú and splits;
     # 'É' is lower-cased to 'é', a single letter, dropped by the length test.
     assert toks == ["gostei", "prova", "pessimo"]
-    bi = [r.bigram for r in TX.bigram_rows(df, "message").collect()]
+    bi = sorted(r.bigram for r in TX.bigram_rows(df, "message").collect())
     assert bi == ["gostei prova", "prova pessimo"]
 
 
@@ -341,3 +341,17 @@ def test_stream_upsert_resumes_and_is_idempotent(spark):
         .write.parquet(f"{src}/f2")
     third = stream_upsert(spark, f"{src}/*", tgt, ck, st, ["k"], [("u", True)])
     assert {r.k: r.v for r in third.collect()} == {"a": 1, "b": 2, "c": 1}
+
+
+def test_bigrams_across_slices_match_window(spark):
+    words = ["alpha", "beta", "gamma", "delta", "the", "epsilon", "zeta"]
+    long_text = " ".join(words[(i * 7 + i // 3) % len(words)] for i in range(10_000))
+    df = spark.createDataFrame([("big", long_text), ("small", "beta gamma beta")],
+                               "review_id string, message string")
+    safe = sorted(map(tuple, TX.bigram_rows(df, "message").groupBy("bigram").count().collect()))
+    spark.conf.set("emporium.skewSafeSequence", "false")
+    try:
+        plain = sorted(map(tuple, TX.bigram_rows(df, "message").groupBy("bigram").count().collect()))
+    finally:
+        spark.conf.unset("emporium.skewSafeSequence")
+    assert safe == plain and sum(n for _, n in safe) > 8000
