@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import exact_search, url_filter
+from emporium.llm import exact_search, packing, url_filter
 from emporium.llm.common import read
 
 
@@ -16,6 +16,17 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   url_filter.path_lengths())
 
 
+def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
+    """Where the installed package of public tokenizers keeps a vocabulary."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_file())
+
+
 def op10_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best other vectors of every vector whose id is divisible by 50."""
     return exact_search.top_k(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
@@ -23,6 +34,7 @@ def op10_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
+    "op6_best_fit_packing": op6_best_fit_packing,
     "op10_exact_search": op10_exact_search,
 }
 
