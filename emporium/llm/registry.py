@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import exact_search, packing, url_filter
-from emporium.llm.common import read
+from emporium.llm import exact_search, packing, toxicity, url_filter
+from emporium.llm.common import fold, read
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,13 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity of every document, from labels outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).withColumn("held_out", fold("doc_id", 3) == 1)
+
+
 def op10_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best other vectors of every vector whose id is divisible by 50."""
     return exact_search.top_k(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
@@ -35,6 +42,7 @@ def op10_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op8_toxicity": op8_toxicity,
     "op10_exact_search": op10_exact_search,
 }
 
