@@ -6,10 +6,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import exact_search, packing, toxicity, url_filter
+from emporium.llm import exact_search, packing, quality, toxicity, url_filter
 from emporium.llm.common import fold, read
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, from labels outside the held-out fold."""
+    docs = read(spark, sf_dir, "documents")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    return (quality.score(docs, model)
+            .select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score",
+                    (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page url judged by the five listed rules."""
     return url_filter.filter_urls(read(spark, sf_dir, "pages"), url_filter.rules_frame(spark),
@@ -40,6 +49,7 @@ def op10_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
     "op3_url_filter": op3_url_filter,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_toxicity": op8_toxicity,
