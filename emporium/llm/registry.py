@@ -6,10 +6,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import exact_search, packing, quality, toxicity, url_filter
+from emporium.llm import exact_search, near_dedup, packing, quality, toxicity, url_filter
 from emporium.llm.common import fold, read
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share 80 % of their 4-word shingles."""
+    return near_dedup.groups(read(spark, sf_dir, "documents"), near_dedup.Settings(shingle=4, percent=80))
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document, from labels outside the held-out fold."""
     docs = read(spark, sf_dir, "documents")
@@ -49,6 +54,7 @@ def op10_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_quality": op2_quality,
     "op3_url_filter": op3_url_filter,
     "op6_best_fit_packing": op6_best_fit_packing,
