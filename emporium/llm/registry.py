@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import exact_search, near_dedup, packing, quality, toxicity, url_filter
+from emporium.llm import exact_search, near_dedup, packing, quality, suffix_tree, toxicity, url_filter
 from emporium.llm.common import fold, read
 
 
@@ -48,6 +48,11 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("held_out", fold("doc_id", 3) == 1)
 
 
+def op9_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document, learned outside the held-out fold."""
+    return suffix_tree.score_documents(read(spark, sf_dir, "documents"))
+
+
 def op10_exact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five best other vectors of every vector whose id is divisible by 50."""
     return exact_search.top_k(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_toxicity": op8_toxicity,
+    "op9_suffix_tree": op9_suffix_tree,
     "op10_exact_search": op10_exact_search,
 }
 
