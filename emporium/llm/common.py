@@ -129,6 +129,25 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return span_hashes(low, starts, ends), counts
 
 
+def letter_runs(data: np.ndarray, offsets: np.ndarray,
+                digits: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(lower-cased bytes, starts, ends) of the runs of letters, non-ASCII bytes
+    and, if asked for, digits."""
+    low = _LOWER[data]
+    latin = np.flatnonzero(data[:-1] == 0xC3) + 1  # U+00C0..U+00DE
+    latin = latin[(data[latin] >= 0x80) & (data[latin] <= 0x9E) & (data[latin] != 0x97)]
+    low[latin] += 32
+    solid = np.zeros(len(low) + 2, bool)
+    solid[1:-1] = ((low >= 97) & (low <= 122)) | (low >= 0x80)
+    if digits:
+        solid[1:-1] |= (low >= 48) & (low <= 57)
+    edge = np.zeros(len(low) + 1, bool)
+    edge[offsets] = True
+    starts = np.flatnonzero(solid[1:-1] & (~solid[:-2] | edge[:-1]))
+    ends = np.flatnonzero(solid[1:-1] & (~solid[2:] | edge[1:])) + 1
+    return low, starts, ends
+
+
 def sequence_hashes(h: np.ndarray, counts: np.ndarray,
                     size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``size`` words within each text, in text order.

@@ -6,7 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import exact_search, near_dedup, packing, quality, suffix_tree, toxicity, url_filter
+from emporium.llm import (decontaminate, exact_search, near_dedup, packing, pii, quality, suffix_tree, toxicity,
+                          url_filter)
 from emporium.llm.common import fold, read
 
 
@@ -30,6 +31,17 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   url_filter.path_lengths())
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds within a fifth of its words."""
+    return decontaminate.find(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their personal data replaced by keyed pseudonyms."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, count_col="n_replaced")
+
+
 def tokenizer_file(name: str = "word_bpe_49k.json") -> str:
     """Where the installed package of public tokenizers keeps a vocabulary."""
     import public_tokenizers
@@ -62,6 +74,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op2_quality": op2_quality,
     "op3_url_filter": op3_url_filter,
+    "op4_decontamination": op4_decontamination,
+    "op5_pii_pseudonyms": op5_pii_pseudonyms,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op8_toxicity": op8_toxicity,
     "op9_suffix_tree": op9_suffix_tree,

@@ -35,29 +35,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.common import chunks, distinct_per_text, fold, mix, signed, span_hashes, string_buffers
+from emporium.llm.common import (chunks, distinct_per_text, fold, letter_runs, mix, scratch_table, signed,
+                                 span_hashes, string_buffers)
 
 GRADES = 3
 _PREFIXES = (4, 6)
 
 
-def letter_runs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(lower-cased bytes, starts, ends) of the runs of letters (non-ASCII included)."""
-    low = data.copy()
-    upper = (low >= 65) & (low <= 90)
-    low[upper] += 32
-    latin = np.flatnonzero(data[:-1] == 0xC3) + 1  # U+00C0..U+00DE
-    latin = latin[(data[latin] >= 0x80) & (data[latin] <= 0x9E) & (data[latin] != 0x97)]
-    low[latin] += 32
-    solid = np.zeros(len(low) + 2, bool)
-    solid[1:-1] = ((low >= 97) & (low <= 122)) | (low >= 0x80)
-    edge = np.zeros(len(low) + 1, bool)
-    edge[offsets] = True
-    starts = np.flatnonzero(solid[1:-1] & (~solid[:-2] | edge[:-1]))
-    ends = np.flatnonzero(solid[1:-1] & (~solid[2:] | edge[1:])) + 1
-    return low, starts, ends
-
-
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(feature hash, text number) of every occurrence in a chunk of texts."""
     if len(data) == 0:
@@ -188,7 +172,6 @@ def _fit(rows: list[np.ndarray], y: np.ndarray, size: int, steps: int, l2: float
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, n_features: int = 2048,
         folds: int = 3, held: int = 1, steps: int = 300, l2: float = 1e-5) -> Model:
     """Fit on a bounded sample of the labelled rows outside the held-out fold."""
-    from emporium.llm.common import scratch_table
     sample = scratch_table(labelled_sample(docs, labels, sample_rows, folds, held), "toxic-sample")
     hashes = _select_features(sample, n_features)
     sieve = _sieve(hashes)
