@@ -6,8 +6,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.llm import (decontaminate, exact_search, near_dedup, packing, pii, quality, suffix_tree, toxicity,
-                          url_filter)
+from emporium.llm import (decontaminate, exact_search, html_text, near_dedup, packing, pii, quality, suffix_tree,
+                          toxicity, url_filter)
 from emporium.llm.common import fold, read
 
 
@@ -53,6 +53,11 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_file())
 
 
+def op7_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(read(spark, sf_dir, "pages"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Severity of every document, from labels outside the held-out fold."""
     docs = read(spark, sf_dir, "documents")
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_pii_pseudonyms": op5_pii_pseudonyms,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_html_text": op7_html_text,
     "op8_toxicity": op8_toxicity,
     "op9_suffix_tree": op9_suffix_tree,
     "op10_exact_search": op10_exact_search,
