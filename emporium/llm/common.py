@@ -6,7 +6,10 @@ its partition.  A single text longer than a chunk is handled as one chunk.
 """
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,25 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, 9, 10, 11, 12, 13]] = True
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as a zip that Spark distributes, once a session."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent.parent
+    target = Path(tempfile.mkdtemp(prefix="emporium-")).resolve() / "emporium_package.zip"
+    with zipfile.ZipFile(target, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -34,6 +55,7 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` under the cluster's shared checkpoint folder and read it
     back: cuts the lineage, and a lost executor costs no recomputation."""
     spark = df.sparkSession
+    ship(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
