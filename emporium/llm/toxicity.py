@@ -127,7 +127,7 @@ def _select_features(sample: DataFrame, n_features: int) -> np.ndarray:
     # Log-likelihood ratio of the feature's toxic share against that of all texts.
     ratio = 2 * (F.when(a > 0, a * F.log(a / (n * share))).otherwise(0.0)
                  + F.when(n > a, (n - a) * F.log((n - a) / (n * (1 - share)))).otherwise(0.0))
-    best = (counted.where(F.col("n") >= 3).withColumn("g", ratio).where(F.col("g") > 10.83)
+    best = (counted.where(F.col("n") >= 3).withColumn("g", ratio).where(F.col("g") > 20)
             .orderBy(F.desc("g"), "h").limit(n_features).select("h").collect())
     return np.sort(np.array([r.h for r in best], np.int64).view(np.uint64))
 
@@ -170,7 +170,7 @@ def _fit(rows: list[np.ndarray], y: np.ndarray, size: int, steps: int, l2: float
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, n_features: int = 2048,
-        folds: int = 3, held: int = 1, steps: int = 300, l2: float = 1e-5) -> Model:
+        folds: int = 3, held: int = 1, steps: int = 1500, l2: float = 1e-6) -> Model:
     """Fit on a bounded sample of the labelled rows outside the held-out fold."""
     sample = scratch_table(labelled_sample(docs, labels, sample_rows, folds, held), "toxic-sample")
     hashes = _select_features(sample, n_features)
