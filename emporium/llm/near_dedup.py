@@ -29,21 +29,22 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporium.llm.common import (chunks, distinct_per_text, mix, scratch_table, sequence_hashes, signed,
                                  string_buffers, word_hashes)
 from emporium.llm.components import components
 
-SAMPLES = 1024  # bins of the one-permutation MinHash behind the sketch
-WORDS = 32  # 64-bit words of a sketch
-SIGMAS = 4.0
+SAMPLES = 4096  # bins of the one-permutation MinHash behind the sketch
+WORDS = 64  # 64-bit words of a sketch
+SIGMAS = 3.0
+#: Members of a bucket compared at once.
+BLOCK = 1024
 #: Pairs verified per block; a block's texts are read once, and fit in a task.
 BLOCK_PAIRS = 5_000
 
@@ -63,10 +64,10 @@ def _sets(data: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarr
 def _sketches(h: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     """The odd sketch of every text, ``WORDS`` 64-bit words each.
 
-    ``h`` is sorted within each text, so the least hash of a bin (the top ten
+    ``h`` is sorted within each text, so the least hash of a bin (the top twelve
     bits number the bins) is the first of its run.
     """
-    bin_ = (h >> np.uint64(54)).astype(np.int64) + text * SAMPLES
+    bin_ = (h >> np.uint64(52)).astype(np.int64) + text * SAMPLES
     first = np.ones(len(h), bool)
     first[1:] = bin_[1:] != bin_[:-1]
     bit = mix(h[first]) % np.uint64(64 * WORDS)
@@ -121,30 +122,32 @@ def signatures(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: s
                               "sketch array<long>"))
 
 
-def may_link(a: str, b: str, percent: int) -> Column:
-    """Whether the sketches of two rows (``a``, ``b``) can reach the threshold t.
+def most_ones(na: np.ndarray, nb: np.ndarray, percent: int) -> np.ndarray:
+    """Ones in the XOR of two sketches up to which sets of these sizes may reach t.
 
-    The set sizes alone rule out pairs whose ratio is below t.  Of the B bins
-    that the union of two sets at the threshold fills, a share 1 - t differs,
-    and gives one sample, or two if the other set has one there.  D differing
-    samples set N/2 (1 - exp(-2D/N)) of N bits on average.  The test allows
-    ``SIGMAS`` standard errors of the sampling and of the bitmap.
+    Of the B bins that the union of two sets at the threshold fills, a share 1 - t
+    differs, and gives one sample, or two if the other set has one there.  D
+    differing samples set N/2 (1 - exp(-2D/N)) of N bits on average.  The limit
+    allows ``SIGMAS`` standard errors of the sampling and of the bitmap; sizes
+    whose ratio is below t rule a pair out (-1).
     """
     n_bits, t = 64.0 * WORDS, percent / 100
-    na, nb = F.col(f"{a}.n").cast("double"), F.col(f"{b}.n").cast("double")
+    na, nb = na.astype(np.float64), nb.astype(np.float64)
     union = (na + nb) / (1 + t)
-    bins = SAMPLES * (1 - F.exp(-union / SAMPLES))
-    twice = 1 - F.exp(-F.greatest(na, nb) / SAMPLES)
+    bins = SAMPLES * (1 - np.exp(-union / SAMPLES))
+    twice = 1 - np.exp(-np.maximum(na, nb) / SAMPLES)
     differ = bins * (1 - t) * (1 + twice)
-    spread = (1 + twice) * (1 + twice) * bins * t * (1 - t) * (1 - bins / union) + bins * (1 - t) * twice * (1 - twice)
-    most = differ + SIGMAS * F.sqrt(F.greatest(spread, F.lit(0.0))) + 1
-    mean = n_bits / 2 * (1 - F.exp(-2 / n_bits * most))
-    fade = F.exp(-4 / n_bits * most)
+    spread = (1 + twice) ** 2 * bins * t * (1 - t) * (1 - bins / union) + bins * (1 - t) * twice * (1 - twice)
+    most = differ + SIGMAS * np.sqrt(np.maximum(spread, 0)) + 1
+    fade = np.exp(-4 / n_bits * most)
     spread = n_bits / 4 * (1 - fade) - most * fade
-    limit = mean + SIGMAS * F.sqrt(F.greatest(spread, F.lit(0.0))) + 1
-    x, y = F.col(f"{a}.sketch"), F.col(f"{b}.sketch")
-    ones = reduce(lambda p, q: p + q, [F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(WORDS)])
-    return (F.least(na, nb) * 100 >= F.greatest(na, nb) * percent) & (ones <= limit)
+    limit = n_bits / 2 * (1 - np.exp(-2 / n_bits * most)) + SIGMAS * np.sqrt(np.maximum(spread, 0)) + 1
+    return np.where(np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent, limit, -1)
+
+
+def _lists(col: pa.Array, width: int) -> np.ndarray:
+    """A list column of fixed width as a matrix of unsigned words (whose ones are counted)."""
+    return col.flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(len(col), width)
 
 
 def verify(pairs: DataFrame, texts: DataFrame, s: Settings, name: str) -> DataFrame:
@@ -159,7 +162,7 @@ def verify(pairs: DataFrame, texts: DataFrame, s: Settings, name: str) -> DataFr
     if n == 0:
         return spark.createDataFrame([], "u long, v long")
     blocks = max(-(-n // BLOCK_PAIRS), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    placed = scratch_table(pairs.repartitionByRange(blocks, "near", "v", "u")
+    placed = scratch_table(pairs.repartitionByRange(blocks, "near", "u", "v")
                            .withColumn("block", F.spark_partition_id()), f"{name}-blocks")
     ends = placed.select(F.col("block").alias("part"), F.explode(F.array("u", "v")).alias("doc_id")).distinct()
     own = ends.join(texts.select("doc_id", "text"), "doc_id")
@@ -206,27 +209,87 @@ def _star(band: DataFrame) -> DataFrame:
 
 def _sketched(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
     """The pairs (leader, doc_id) whose sketches may reach the threshold, as (u, v, near)."""
-    a = sketch.select(F.col("doc_id").alias("leader"), F.struct("n", "sketch").alias("a"))
-    b = sketch.select("doc_id", F.struct("n", "sketch").alias("b"))
-    return (pairs.join(b, "doc_id").join(a, "leader").where(may_link("a", "b", percent))
-            .select(F.col("leader").alias("u"), F.col("doc_id").alias("v"), F.col("leader").alias("near")))
+    a = sketch.select(F.col("doc_id").alias("leader"), F.col("n").alias("na"), F.col("sketch").alias("a"))
+    b = sketch.select("doc_id", F.col("n").alias("nb"), F.col("sketch").alias("b"))
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for x in batches:
+            ones = np.bitwise_count(_lists(x.column("a"), WORDS) ^ _lists(x.column("b"), WORDS)).sum(axis=1)
+            good = ones <= most_ones(x.column("na").to_numpy(), x.column("nb").to_numpy(), percent)
+            yield pa.RecordBatch.from_arrays(
+                [x.column("leader"), x.column("doc_id"), x.column("leader")], names=["u", "v", "near"]
+            ).filter(pa.array(good))
 
+    return (pairs.join(b, "doc_id").join(a, "leader").select("leader", "doc_id", "na", "nb", "a", "b")
+            .mapInArrow(keep, "u long, v long, near long"))
 
-def _cross(band: DataFrame, label: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v, near) of one bucket and two components whose sketches may reach it."""
+
+def _cross(band: DataFrame, label: DataFrame, rows: DataFrame, percent: int, bands: int) -> DataFrame:
+    """Pairs (u, v, near) of one bucket and two components whose sketches may reach it.
+
+    The members outside a bucket's largest component meet all its members, in
+    blocks of about ``BLOCK`` by ``BLOCK`` rows, so that a large bucket is many tasks'.
+    A pair counts in the first bucket that the two share.
+    """
     named = (band.select("bucket", "doc_id").join(label.withColumnRenamed("id", "doc_id"), "doc_id", "left")
              .withColumn("component", F.coalesce("component", "doc_id")))
     share = named.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = (share.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("x"), F.count(F.lit(1)).alias("k"))
-            .where("k > 1").select("bucket", F.col("x.component").alias("main")))
-    mixed = scratch_table(named.join(main, "bucket").join(sketch, "doc_id"), "dedup-mixed")
-    few, every = mixed.where("component <> main").alias("a"), mixed.alias("b")
-    return (few.join(every, (F.col("a.bucket") == F.col("b.bucket"))
-                     & (F.col("a.component") != F.col("b.component"))
-                     & ((F.col("b.component") == F.col("b.main")) | (F.col("a.doc_id") < F.col("b.doc_id")))
-                     & may_link("a", "b", percent))
-            .select(F.least("a.doc_id", "b.doc_id").alias("u"), F.greatest("a.doc_id", "b.doc_id").alias("v"),
-                    F.least("a.component", "b.component").alias("near")))
+    main = (share.groupBy("bucket").agg(F.max(F.struct("c", "component")).alias("x"),
+                                        F.count(F.lit(1)).alias("k"), F.sum("c").alias("m")).where("k > 1")
+            .select("bucket", F.col("x.component").alias("main"),
+                    F.ceil(F.col("m") / BLOCK).cast("int").alias("every"),
+                    F.ceil((F.col("m") - F.col("x.c")) / BLOCK).cast("int").alias("few")))
+    mixed = scratch_table(named.join(main, "bucket").join(rows, "doc_id"), "dedup-mixed")
+
+    def side(df: DataFrame, own: str, other: str, i: str, j: str, number: int) -> DataFrame:
+        return (df.withColumn(i, F.pmod(F.xxhash64("doc_id"), F.col(own)).cast("int"))
+                .withColumn(j, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+                .select("bucket", "i", "j", F.lit(number).alias("side"), "doc_id", "component", "main", "n",
+                        "bands", "sketch"))
+
+    both = (side(mixed.where("component <> main"), "few", "every", "i", "j", 0)
+            .unionByName(side(mixed, "every", "few", "j", "i", 1)))
+
+    def compare(rows_: pa.Table) -> pa.RecordBatch:
+        first = rows_.column("side").to_numpy() == 0
+        a, b = np.flatnonzero(first), np.flatnonzero(~first)
+        doc, comp, n = (rows_.column(c).to_numpy() for c in ("doc_id", "component", "n"))
+        main_, bucket = rows_.column("main")[0].as_py(), rows_.column("bucket")[0].as_py()
+        sketch = _lists(rows_.column("sketch").combine_chunks(), WORDS)
+        band_ = _lists(rows_.column("bands").combine_chunks(), bands)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        for x in a:
+            y = b[(comp[b] != comp[x]) & ((comp[b] == main_) | (doc[b] > doc[x]))]
+            limit = most_ones(np.broadcast_to(n[x], y.shape), n[y], percent)
+            y, limit = y[limit >= 0], limit[limit >= 0]
+            y = y[np.bitwise_count(sketch[y] ^ sketch[x]).sum(axis=1) <= limit]
+            same = band_[y] == band_[x]
+            y = y[band_[x][same.argmax(axis=1)] == np.int64(bucket).view(np.uint64)] if len(y) else y
+            found.append((np.full(len(y), x), y))
+        u = np.concatenate([p for p, _ in found]) if found else np.zeros(0, np.int64)
+        v = np.concatenate([q for _, q in found]) if found else np.zeros(0, np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(doc[u]), pa.array(doc[v]), pa.array(comp[u])],
+                                          names=["u", "v", "near"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []  # the rows of one block so far
+        key = None
+        for x in batches:
+            ids = np.stack([x.column(c).to_numpy() for c in ("bucket", "i", "j")])
+            cuts = [0, *(np.flatnonzero((ids[:, 1:] != ids[:, :-1]).any(axis=0)) + 1).tolist(), x.num_rows]
+            for s, e in zip(cuts[:-1], cuts[1:]):
+                if s == e:
+                    continue
+                if held and tuple(ids[:, s]) != key:
+                    yield compare(pa.Table.from_batches(held))
+                    held = []
+                key = tuple(ids[:, s])
+                held.append(x.slice(s, e - s))
+        if held:
+            yield compare(pa.Table.from_batches(held))
+
+    return (both.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+            .mapInArrow(meet, "u long, v long, near long"))
 
 
 def groups(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",
@@ -248,7 +311,7 @@ def groups(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",
     near = scratch_table(texts.join(band.select("doc_id").distinct(), "doc_id", "left_semi"), "dedup-texts")
     held = scratch_table(verify(_sketched(_star(band), sketch, s.percent), near, s, "dedup-star"), "dedup-links")
     label = components(held, "dedup-components")
-    more = verify(_cross(band, label, sketch, s.percent), near, s, "dedup-cross")
+    more = verify(_cross(band, label, rows, s.percent, s.bands), near, s, "dedup-cross")
     label = components(held.unionByName(more), "dedup-components")
     linked = (member.join(label.withColumnRenamed("id", "rep"), "rep", "left")
               .select("doc_id", F.coalesce("component", "rep").alias("component_id")))

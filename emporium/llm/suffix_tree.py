@@ -311,7 +311,8 @@ def score(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id"
                 yield pa.RecordBatch.from_arrays(
                     [b.column("row").slice(i, j - i), b.column("doc_id").slice(i, j - i),
                      pa.array(n), pa.array(np.bincount(text[common], minlength=j - i).astype(np.int64)),
-                     pa.array(plain), pa.array(np.bincount(text, weights=gain, minlength=j - i)),
+                     pa.array(plain.astype(np.float64)),
+                     pa.array(np.bincount(text, weights=gain, minlength=j - i).astype(np.float64)),
                      pa.ListArray.from_arrays(cuts, pa.array(signed(rare_h[first]))),
                      pa.ListArray.from_arrays(cuts, pa.array(times))],
                     names=["row", "doc_id", "n_tokens", "known", "base", "gain", "rare", "times"])
