@@ -120,12 +120,9 @@ PRODUCT_ATTRS = ["product_category_name", "product_name_length", "product_descri
 
 
 def build_dim_products(history: DataFrame, translation: DataFrame) -> DataFrame:
-    """Product versions with English category and ``is_current``.
-
-    The translation is a seed table (fixed size), hence the explicit broadcast.
-    """
+    """Product versions with English category and ``is_current``."""
     t = translation.select("product_category_name", "product_category_name_english")
-    return (history.join(F.broadcast(t), "product_category_name", "left")
+    return (history.join(t, "product_category_name", "left")
             .select(F.col("scd_id").alias("surrogate_key"), "product_id",
                     F.col("product_category_name_english").alias("product_category"),
                     *PRODUCT_ATTRS[1:], "valid_from", "valid_to",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from emporium.functions import expr as X
 from emporium.operators import gold as G
-from emporium.operators.windows import hour_bucket, seq_number
+from emporium.operators.windows import seq_number
 
 
 def orders(fact: DataFrame, dim_customers: DataFrame, dim_reviews: DataFrame) -> DataFrame:
@@ -55,48 +55,26 @@ def order_seq(person: str = "customer_unique_id", ts: str = "purchase_ts",
     return Window.partitionBy(person).orderBy(F.col(ts), F.col(tie))
 
 
-def _skew_safe(df: DataFrame) -> bool:
-    return df.sparkSession.conf.get("emporium.skewSafeSequence", "true").lower() == "true"
-
-
 def add_order_seq(df: DataFrame, person: str = "customer_unique_id", ts: str = "purchase_ts",
                   tie: str = "order_id") -> DataFrame:
     """V2: 1-based order sequence per person by (ts, tie); NULL person → NULL."""
-    keyed = df.filter(F.col(person).isNotNull())
-    none = df.filter(F.col(person).isNull()).withColumn("order_seq", F.lit(None).cast("long"))
-    if _skew_safe(df):
-        seq = seq_number(keyed, person, [ts, tie], "order_seq", bucket=hour_bucket(ts))
-    else:
-        w = Window.partitionBy(person).orderBy(F.col(ts), F.col(tie))
-        seq = keyed.withColumn("order_seq", F.row_number().over(w).cast("long"))
-    return seq.unionByName(none)
+    seq = seq_number(df, person, [ts, tie], "order_seq")
+    return seq.withColumn("order_seq", F.when(F.col(person).isNotNull(), F.col("order_seq")))
 
 
 def enrich(orders_df: DataFrame, person: str = "customer_unique_id") -> DataFrame:
     """V2–V4 + flags + buckets, computed on the *full* history.
 
-    Persons with a NULL key get no sequence (as a pandas group-by drops
-    them), so they never form one giant group.  The per-person total and
-    cohort are aggregates joined back (map-side combined); only the
-    sequence number needs the ordered window.
+    The order grain is written once, in slices of (person, time, order id); the
+    sequence, the person's total and the cohort month all come from the slices,
+    so a person with a third of all orders is split over many tasks.  Orders
+    without a person (NULL key) get none of the three, as in a pandas group-by.
     """
-    keyed = orders_df.filter(F.col(person).isNotNull())
-    unkeyed = orders_df.filter(F.col(person).isNull())
-    if _skew_safe(orders_df):
-        # sliced numbering: a person with a third of all orders is split over
-        # many tasks; totals and cohort come from the same small count table
-        seq = seq_number(keyed, person, ["purchase_ts", "order_id"], "order_seq",
-                         bucket=hour_bucket("purchase_ts"), total="cust_total_orders",
-                         key_mins={"cohort_month": "order_month"})
-    else:
-        stats = keyed.groupBy(person).agg(F.count(F.lit(1)).alias("cust_total_orders"),
-                                          F.min("order_month").alias("cohort_month"))
-        seq = (keyed.withColumn("order_seq", F.row_number().over(order_seq(person)).cast("long"))
-               .join(stats, person, "inner"))
-    none = (unkeyed.withColumn("order_seq", F.lit(None).cast("long"))
-            .withColumn("cust_total_orders", F.lit(None).cast("long"))
-            .withColumn("cohort_month", F.lit(None).cast("date")))
-    out = seq.unionByName(none)
+    out = seq_number(orders_df, person, ["purchase_ts", "order_id"], "order_seq",
+                     total="cust_total_orders", key_mins={"cohort_month": "order_month"})
+    known = F.col(person).isNotNull()
+    out = out.withColumns({c: F.when(known, F.col(c))
+                           for c in ("order_seq", "cust_total_orders", "cohort_month")})
     return out.select(
         "*",
         F.coalesce(F.col("order_seq") > 1, F.lit(False)).alias("is_repeat_order"),

@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporium.functions.expr import epoch_micros
-from emporium.operators.windows import hour_bucket, neighbour, skew_safe_enabled
+from emporium.operators.windows import SLICE, neighbour, sliced
 
 SEP = "␟"  # unit-separator glyph: never appears in keys
 
@@ -46,41 +46,42 @@ def _snapshot(history: DataFrame | None, current: DataFrame, key: Sequence[str],
               changed: Column, valid_from: Column, keep_cols: Sequence[str]) -> DataFrame:
     """Shared fold of H1/H2.
 
-    ``changed`` and ``valid_from`` are written over aliases ``h`` (open
-    history row) and ``c`` (current row).
+    ``changed`` and ``valid_from`` are written over aliases ``h`` (open history row)
+    and ``c`` (current row).  Keys match null-safe.  One join: every joined row
+    gives one version (kept or new) or two (ended and new).  A key that ``current``
+    holds twice raises when the result is computed.
     """
-    key = list(key)
-    data_cols = list(keep_cols)
+    key, data_cols = list(key), list(keep_cols)
+    cols = [*data_cols, "valid_from", "valid_to", "scd_id"]
+    # The twin of a key raises: counted map-side, at most one row a key after it.
+    counted = current.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    twins = counted.where(F.col("_n") > 1).agg(F.count(F.lit(1)).alias("n")).scalar()
+    current = current.where(F.when(twins > 0, F.raise_error(F.lit("duplicate keys in the snapshot's input")))
+                            .otherwise(F.lit(True)))
     if history is None:
         new = current.alias("c").select(*[F.col(f"c.{x}") for x in data_cols],
                                         valid_from.alias("valid_from"))
         new = new.withColumn("valid_to", F.lit(None).cast(new.schema["valid_from"].dataType))
-        return new.withColumn("scd_id", surrogate_key(new, key + ["valid_from"]))
+        return new.withColumn("scd_id", surrogate_key(new, key + ["valid_from"])).select(*cols)
     closed = history.filter(F.col("valid_to").isNotNull())
-    open_ = history.filter(F.col("valid_to").isNull())
-    cond = reduce(lambda a, b: a & b, [F.col(f"h.{k}") == F.col(f"c.{k}") for k in key])
-    j = open_.alias("h").join(current.alias("c"), cond, "full_outer")
-    has_h = F.col(f"h.{key[0]}").isNotNull()
-    has_c = F.col(f"c.{key[0]}").isNotNull()
+    open_ = history.filter(F.col("valid_to").isNull()).withColumn("_h", F.lit(True))
+    cond = reduce(lambda a, b: a & b, [F.col(f"h.{k}").eqNullSafe(F.col(f"c.{k}")) for k in key])
+    j = open_.alias("h").join(current.withColumn("_c", F.lit(True)).alias("c"), cond, "full_outer")
+    has_h, has_c = F.col("h._h").isNotNull(), F.col("c._c").isNotNull()
     is_changed = has_h & has_c & F.coalesce(changed, F.lit(False))
     vf_type = history.schema["valid_from"].dataType
-    hist_cols = [F.col(f"h.{x}").alias(x) for x in data_cols]
-    cur_cols = [F.col(f"c.{x}").alias(x) for x in data_cols]
-    # open rows that stay open (unchanged, or key absent from current)
-    kept = j.filter(has_h & ~is_changed).select(
-        *hist_cols, F.col("h.valid_from"), F.col("h.valid_to"), F.col("h.scd_id"))
-    # open rows closed by a newer version
-    ended = j.filter(is_changed).select(
-        *hist_cols, F.col("h.valid_from"), valid_from.cast(vf_type).alias("valid_to"),
-        F.col("h.scd_id"))
-    # new versions: changed keys and keys never seen before
-    opened = j.filter(is_changed | (has_c & ~has_h)).select(
-        *cur_cols, valid_from.cast(vf_type).alias("valid_from"),
-        F.lit(None).cast(vf_type).alias("valid_to"))
-    opened = opened.withColumn("scd_id", surrogate_key(opened, key + ["valid_from"]))
-    cols = data_cols + ["valid_from", "valid_to", "scd_id"]
-    return (closed.select(*cols).unionByName(kept.select(*cols))
-            .unionByName(ended.select(*cols)).unionByName(opened.select(*cols)))
+    types = {f.name: f.dataType for f in history.schema.fields}
+    start = valid_from.cast(vf_type)
+    none = F.lit(None).cast(vf_type)
+    old = F.struct(*[F.col(f"h.{x}").cast(types[x]).alias(x) for x in data_cols],
+                   F.col("h.valid_from").alias("valid_from"),
+                   F.when(is_changed, start).otherwise(none).alias("valid_to"), F.col("h.scd_id").alias("scd_id"))
+    new = F.struct(*[F.col(f"c.{x}").cast(types[x]).alias(x) for x in data_cols],
+                   start.alias("valid_from"), none.alias("valid_to"), F.lit(None).cast("string").alias("scd_id"))
+    versions = F.when(is_changed, F.array(old, new)).when(has_h, F.array(old)).otherwise(F.array(new))
+    rows = j.select(F.explode(versions).alias("v")).select("v.*")
+    rows = rows.withColumn("scd_id", F.coalesce("scd_id", surrogate_key(rows, key + ["valid_from"])))
+    return closed.select(*cols).unionByName(rows.select(*cols))
 
 
 def scd2_timestamp(history: DataFrame | None, current: DataFrame, key: Sequence[str],
@@ -103,12 +104,6 @@ def scd2_check(history: DataFrame | None, current: DataFrame, key: Sequence[str]
                      F.lit(as_of).cast("timestamp_ntz"), current.columns)
 
 
-def _bucket_of(df: DataFrame, ts: str) -> Column | None:
-    """Hour bucket when the leading order column is a timestamp (lazy slicing)."""
-    t = df.schema[ts].dataType
-    return hour_bucket(ts) if isinstance(t, (T.TimestampType, T.TimestampNTZType)) else None
-
-
 def with_validity(df: DataFrame) -> DataFrame:
     """H3: ``is_current`` flag over ``valid_to``."""
     return df.withColumn("is_current", F.col("valid_to").isNull())
@@ -126,50 +121,30 @@ def version_ranges(log: DataFrame, key: Sequence[str], attrs: Sequence[str],
     key, attrs = list(key), list(attrs)
     versions = log.groupBy(*key, *attrs).agg(F.min(ts).alias("start_at"),
                                              F.max(ts).alias("last_seen_at"))
-    if len(key) == 1 and skew_safe_enabled(log):
-        nxt = neighbour(versions, key[0], ["start_at", *attrs], ["start_at"], +1, "_next_",
-                        bucket=_bucket_of(versions, "start_at"))
-        out = nxt.withColumnRenamed("_next_start_at", "end_at").drop("_seq")
-    else:
-        w = Window.partitionBy(*key).orderBy(F.col("start_at"), *[F.col(a) for a in attrs])
-        out = versions.withColumn("end_at", F.lead("start_at").over(w))
+    order = ["start_at", *attrs]
+    nxt = neighbour(sliced(versions, key, order), key, order, ["start_at"], +1, "_next_")
+    out = nxt.withColumnRenamed("_next_start_at", "end_at").drop("_next_exists", SLICE)
     return out.withColumn("is_current", F.col("end_at").isNull())
 
 
 def scd2_from_log(log: DataFrame, key: Sequence[str], ts: str,
                   check_cols: Sequence[str]) -> DataFrame:
-    """H6: rebuild the whole history from an append-only log in one shuffle.
+    """H6: rebuild the whole history from an append-only log.
 
     Rows equal (NULL-safe) to the key's previous row on ``check_cols`` are not
-    new versions; ``valid_to`` is the next kept version's ``valid_from``.
-    With the skew-safe switch on (default), LAG and LEAD are joins on
-    (key, sequence ± 1) over a range-partitioned numbering, so a key with a
-    third of all log rows is spread over many tasks; with it off, both
-    windows share one partitioning and sort (a single exchange).
+    new versions; ``valid_to`` is the next kept version's ``valid_from``.  The log
+    is sliced by (key, time, rest) once; both neighbours come from those slices,
+    so a key with a third of all log rows is spread over many tasks, also when a
+    bulk load gave them one time stamp.
     """
     key, check_cols = list(key), list(check_cols)
-    rest = [c for c in log.columns if c not in key and c != ts]
-    if len(key) == 1 and skew_safe_enabled(log):
-        k = key[0]
-        prev = neighbour(log, k, [ts, *rest], check_cols, -1, "_prev_",
-                         bucket=_bucket_of(log, ts))
-        same = reduce(lambda a, b: a & b,
-                      [F.col(c).eqNullSafe(F.col(f"_prev_{c}")) for c in check_cols], F.lit(True))
-        first = F.col("_seq") == 1
-        kept = (prev.filter(first | ~same)
-                .drop("_seq", *[f"_prev_{c}" for c in check_cols]))
-        nxt = neighbour(kept, k, [ts, *rest], [ts], +1, "_next_", bucket=_bucket_of(kept, ts))
-        out = (nxt.withColumn("valid_from", F.col(ts))
-               .withColumnRenamed(f"_next_{ts}", "valid_to").drop("_seq"))
-    else:
-        order = [F.col(ts)] + [F.col(c) for c in rest]
-        w = Window.partitionBy(*key).orderBy(*order)
-        same = reduce(lambda a, b: a & b,
-                      [F.col(c).eqNullSafe(F.lag(c).over(w)) for c in check_cols], F.lit(True))
-        first = F.lag(F.lit(1)).over(w).isNull()
-        kept = log.withColumn("_keep", first | ~same).filter("_keep").drop("_keep")
-        out = (kept.withColumn("valid_from", F.col(ts))
-               .withColumn("valid_to", F.lead(ts).over(w)))
+    order = [ts, *[c for c in log.columns if c not in key and c != ts]]
+    prev = neighbour(sliced(log, key, order), key, order, check_cols, -1, "_prev_")
+    same = reduce(lambda a, b: a & b,
+                  [F.col(c).eqNullSafe(F.col(f"_prev_{c}")) for c in check_cols], F.lit(True))
+    kept = prev.filter(~F.col("_prev_exists") | ~same).select(*log.columns, SLICE)
+    out = (neighbour(kept, key, order, [ts], +1, "_next_").withColumn("valid_from", F.col(ts))
+           .withColumnRenamed(f"_next_{ts}", "valid_to"))
     out = out.select(*log.columns, "valid_from", "valid_to")
     out = out.withColumn("scd_id", surrogate_key(out, key + ["valid_from"]))
     return with_validity(out)

@@ -1,11 +1,8 @@
 """Staging: one row per primary key.
 
-``dedupe_latest`` is expressed as an aggregation (``max``/``min`` of a struct
-whose leading fields are the sort keys) instead of ``row_number() = 1``:
-the hash/sort aggregate combines map-side, so a key that holds a third of all
-rows is reduced to one row per input partition *before* the shuffle, and no
-single task ever has to sort a hot key's full group.  The window form is
-kept for sort orders that mix directions on non-numeric columns.
+``dedupe_latest`` is ``row_number() = 1``, whose rank filter Spark pushes below
+the shuffle (window group limit): a key that holds a third of all rows leaves
+each input task as one row.
 """
 from __future__ import annotations
 
@@ -30,30 +27,19 @@ def _sort_spec(order_by: Sequence[str | tuple[str, bool]]) -> list[tuple[str, bo
 
 def dedupe_latest(df: DataFrame, keys: Sequence[str],
                   order_by: Sequence[str | tuple[str, bool]] | None = None,
-                  descending: bool = False, method: str = "auto") -> DataFrame:
+                  descending: bool = False) -> DataFrame:
     """Keep one row per ``keys``: the first by ``order_by``.
 
     ``order_by`` entries are column names (ascending) or ``(name, desc)``.
     The remaining columns always break ties in the direction of
     ``descending``, so the survivor is a function of the data alone.
-    Rows whose key is NULL form their own group, as in SQL.
+    Rows whose key is NULL form their own group, as in SQL.  The rank filter
+    is pushed below the shuffle, so a task passes on one row per key.
     """
     keys = list(keys)
     spec = _sort_spec(order_by or [])
     named = [c for c, _ in spec]
-    rest = [c for c in df.columns if c not in keys and c not in named]
-    spec = spec + [(c, descending) for c in rest]
-    directions = {d for _, d in spec}
-    if method == "auto":
-        method = "aggregate" if len(directions) <= 1 else "window"
-    if method == "aggregate":
-        desc = directions.pop() if directions else descending
-        packed = F.struct(*[F.col(c).alias(f"_{i}") for i, (c, _) in enumerate(spec)])
-        pick = F.max(packed) if desc else F.min(packed)
-        agg = df.groupBy(*keys).agg(pick.alias("_row"))
-        cols = [F.col(k) for k in keys] + [F.col(f"_row._{i}").alias(c)
-                                           for i, (c, _) in enumerate(spec)]
-        return agg.select(*cols).select(*df.columns)
+    spec += [(c, descending) for c in df.columns if c not in keys and c not in named]
     order_cols: list[Column] = [
         F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_first() for c, d in spec]
     w = Window.partitionBy(*keys).orderBy(*order_cols)

@@ -1,22 +1,19 @@
 """Review-text analytics.
 
-Texts are tokenised on executors with native functions, exploded with their
-positions, stop words removed by a broadcast anti-join (the stop list has a
-fixed size), and counted with a partial + final aggregation.  Bigrams pair
-each kept token with the next kept token of the same text through a numbered
-self-join, so one very long text is still split across tasks.
+A text is one row: it is tokenised, stripped of stop words (a constant set) and
+paired into bigrams in place, then exploded and counted with a partial and a
+final aggregation, so the only shuffle is that of the counts.
 """
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporium.functions import text as T
 from emporium.functions.expr import month
 from emporium.operators.metrics import top_k
-from emporium.operators.windows import neighbour, skew_safe_enabled
 
 
 def stop_table(spark: SparkSession) -> DataFrame:
@@ -37,20 +34,20 @@ def review_texts(dim_reviews: DataFrame) -> DataFrame:
         month("review_answer_timestamp").alias("answer_month"))
 
 
-def token_rows(df: DataFrame, text_col: str, key: str = "review_id",
-               extra: Sequence[str] = ()) -> DataFrame:
-    """One row per kept token: (key, *extra, pos, term)."""
-    spark = df.sparkSession
-    exploded = (df.filter(F.col(text_col).isNotNull())
-                .select(key, *extra, F.posexplode(T.raw_tokens(text_col)).alias("pos", "term")))
-    return exploded.join(F.broadcast(stop_table(spark)), "term", "left_anti")
+def kept_tokens(text_col: str) -> Column:
+    """The tokens of a text that are no stop words, in order (NULL text → NULL)."""
+    return F.filter(T.raw_tokens(text_col), lambda t: ~t.isin(list(T.STOPWORDS)))
 
 
 def tokens(df: DataFrame, text_col: str, key: str = "review_id") -> DataFrame:
-    """X4 as arrays: the kept tokens of each text, in order."""
-    t = token_rows(df, text_col, key)
-    return (t.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("pos", "term"))).alias("_t"))
-            .select(key, F.col("_t.term").alias("tokens")))
+    """The kept tokens of each text; a text without any has an empty list."""
+    return df.filter(F.col(text_col).isNotNull()).select(key, kept_tokens(text_col).alias("tokens"))
+
+
+def token_rows(df: DataFrame, text_col: str, key: str = "review_id",
+               extra: Sequence[str] = ()) -> DataFrame:
+    """X4 exploded: one row per kept token: (key, *extra, term)."""
+    return df.select(key, *extra, F.explode(kept_tokens(text_col)).alias("term"))
 
 
 def term_freq(df: DataFrame, text_col: str, key: str = "review_id") -> DataFrame:
@@ -63,28 +60,13 @@ def top_words(df: DataFrame, text_col: str, n: int = 20, key: str = "review_id")
     return top_k(term_freq(df, text_col, key), [F.col("count").desc(), F.col("term")], n)
 
 
-POS_SLICE = 4096  # tokens per slice when a text is numbered in parallel
-
-
 def bigram_rows(df: DataFrame, text_col: str, key: str = "review_id",
                 extra: Sequence[str] = ()) -> DataFrame:
-    """Adjacent pairs of *kept* tokens within one text.
-
-    With the skew-safe switch on (default), the next kept token is found by
-    numbering kept tokens in slices of ``POS_SLICE`` original positions and
-    joining on (text, n + 1), so even a text holding a third of all tokens is
-    spread over many tasks; otherwise a LEAD window per text.
-    """
-    t = token_rows(df, text_col, key, extra)
-    if skew_safe_enabled(t):
-        j = neighbour(t, key, ["pos"], ["term"], +1, "_next_",
-                      bucket=F.floor(F.col("pos") / POS_SLICE).cast("long"))
-        nxt = F.col("_next_term")
-    else:
-        w = Window.partitionBy(key).orderBy("pos")
-        j, nxt = t.withColumn("_lead", F.lead("term").over(w)), F.col("_lead")
-    return (j.filter(nxt.isNotNull())
-            .select(key, *extra, F.concat_ws(" ", F.col("term"), nxt).alias("bigram")))
+    """Adjacent pairs of *kept* tokens within one text, paired in its own row."""
+    t = df.select(key, *extra, kept_tokens(text_col).alias("_t"))
+    pairs = F.zip_with("_t", F.slice("_t", 2, F.greatest(F.size("_t"), F.lit(1))),
+                       lambda a, b: F.when(b.isNotNull(), F.concat_ws(" ", a, b)))
+    return t.select(key, *extra, F.explode(pairs).alias("bigram")).filter(F.col("bigram").isNotNull())
 
 
 def top_bigrams(df: DataFrame, text_col: str, n: int = 20, key: str = "review_id") -> DataFrame:
@@ -93,12 +75,20 @@ def top_bigrams(df: DataFrame, text_col: str, n: int = 20, key: str = "review_id
     return top_k(g, [F.col("count").desc(), F.col("bigram")], n)
 
 
-def translate_freq(freq: DataFrame, mapping: DataFrame, top: int = 250) -> DataFrame:
-    """Map the top terms through a (src, dst) lookup, summing collisions."""
-    t = top_k(freq, [F.col("count").desc(), F.col("term")], top)
-    return (t.join(F.broadcast(mapping), t.term == mapping.src, "left")
-            .groupBy(F.coalesce("dst", "term").alias("term"))
-            .agg(F.sum("count").alias("count")))
+def translate_freq(freq: DataFrame, mapping: DataFrame, top: int | None = None,
+                   label: str = "term") -> DataFrame:
+    """Map labels word by word through a (src, dst) lookup and sum collisions.
+
+    ``label`` holds one word or several (a bigram); words without an entry stay.
+    ``top`` keeps the most frequent labels of the translated sums.
+    """
+    words = freq.select(label, "count", F.posexplode(F.split(label, " ")).alias("_i", "_w"))
+    moved = words.join(mapping, words["_w"] == mapping["src"], "left").select(
+        label, "count", F.struct("_i", F.coalesce("dst", "_w").alias("w")).alias("_x"))
+    named = moved.groupBy(label, "count").agg(F.array_sort(F.collect_list("_x")).alias("_x"))
+    out = (named.groupBy(F.array_join(F.col("_x.w"), " ").alias(label))
+           .agg(F.sum("count").alias("count")))
+    return out if top is None else top_k(out, [F.col("count").desc(), F.col(label)], top)
 
 
 def text_kpis(df: DataFrame) -> DataFrame:

@@ -1,124 +1,108 @@
-"""Skew-tolerant sequence numbers (V2 without a hot-key window).
-
-``row_number().over(partitionBy(key).orderBy(...))`` sends every row of a key
-to one task.  ``seq_number`` instead cuts the (key, order) space into ranges
-whose bounds come from a small sample (like a range partitioner), so a key
-that holds a third of all rows spans many ranges.  Each (range, key) slice is
-numbered in its own task and shifted by the sizes of the key's earlier
-slices, taken from a small (range, key) → count table.
-
-The range of a row is a deterministic function of its values (the bounds are
-frozen as literals), so every branch that recomputes it agrees — unlike
-``spark_partition_id()`` after a range repartition, whose sampled bounds can
-differ between two evaluations of the same plan.
+"""Numbering and neighbours within a key without a hot-key window (V2, V9).
+
+``row_number().over(partitionBy(key).orderBy(...))`` sends every row of a key to
+one task.  Here the rows are range-partitioned by (key, order) and written, so
+that a key holding a third of all rows lies in many slices, also when all its
+rows bear one time stamp (the tie columns split it).  A window over (slice, key)
+numbers each slice in its own task.  Only a key that runs on from one slice into
+the next needs more, and of those there is at most one between two slices: their
+totals are a table of at most two rows a slice, which is broadcast.
+
+Null keys and null order values are ordinary values and come first.
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from emporium.functions.expr import epoch_micros
+from emporium.session import scratch_path
 
-SAMPLE_PER_RANGE = 20
+SLICE = "_slice"
 
 
-def _range_bounds(df: DataFrame, cols: Sequence[str], n: int) -> list[tuple]:
-    """Up to n-1 sorted bound tuples from a seeded sample (bounded size on the driver)."""
-    total = df.count()
-    if total == 0 or n <= 1:
-        return []
-    frac = min(1.0, SAMPLE_PER_RANGE * n / total)
-    sample = df.select(*cols).sample(False, frac, seed=17).orderBy(*cols).collect()
-    if not sample:
-        return []
-    step = len(sample) / n
-    bounds = []
-    for i in range(1, n):
-        b = tuple(sample[min(int(i * step), len(sample) - 1)])
-        if not bounds or b != bounds[-1]:
-            bounds.append(b)
-    return bounds
+def _keys(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
 
 
-def _range_id(df: DataFrame, cols: Sequence[str], bounds: list[tuple]) -> Column:
-    """Index of the first bound ≥ the row's tuple (binary CASE tree over literals)."""
-    types = {f.name: f.dataType for f in df.schema.fields}
-    row = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(cols)])
+def _asc(cols: Sequence[str]) -> list[Column]:
+    return [F.col(c).asc_nulls_first() for c in cols]
 
-    def lit(b):
-        return F.struct(*[F.lit(v).cast(types[c]).alias(f"_{i}")
-                          for i, (c, v) in enumerate(zip(cols, b))])
 
-    def tree(lo, hi):  # ranges lo..hi (inclusive); bound j separates range j and j+1
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(row <= lit(bounds[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-    return tree(0, len(bounds)) if bounds else F.lit(0)
+def sliced(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``df`` in slices of the order of (key, order), written once: column ``_slice``."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    path = scratch_path(spark, "slices")
+    (df.repartitionByRange(n, *_asc([*_keys(key), *order]))
+     .withColumn(SLICE, F.spark_partition_id()).write.parquet(path))
+    schema = T.StructType([*df.schema.fields, T.StructField(SLICE, T.IntegerType())])
+    return spark.read.schema(schema).parquet(path)
+
 
+def _match(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_b_{c}"]) for c in cols])
 
-def hour_bucket(ts: str) -> Column:
-    """A monotone bucket of a timestamp: hours since the epoch (NULL → -1)."""
-    return F.coalesce(F.floor(epoch_micros(ts) / F.lit(3_600_000_000)),
-                      F.lit(-1)).cast("long")
 
+def _spans(df: DataFrame, keys: list[str], aggs: list[Column], over: list[Column]) -> DataFrame:
+    """Per slice of a key that lies in several slices, ``aggs`` of its rows there and
+    then ``over`` them; at most two rows a slice.  Key columns get the prefix ``_b_``."""
+    ends = df.groupBy(SLICE).agg(F.min(F.struct(*keys)).alias("a"), F.max(F.struct(*keys)).alias("b"))
+    edge = (ends.select(SLICE, F.explode(F.array_distinct(F.array("a", "b"))).alias("k"))
+            .select(F.col(SLICE).alias(f"_b_{SLICE}"), *[F.col(f"k.{k}").alias(f"_b_{k}") for k in keys]))
+    cols = [SLICE, *keys]
+    counted = (df.join(F.broadcast(edge), _match(df, edge, cols), "left_semi")  # two rows a slice
+               .groupBy(*cols).agg(*aggs))
+    shared = counted.withColumn("_n_slices", F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    return shared.where("_n_slices > 1").select(
+        *[F.col(c).alias(f"_b_{c}") for c in cols], *over)
 
-def seq_number(df: DataFrame, key: str, order: Sequence[str], out: str = "seq",
-               n_parts: int | None = None, bucket: Column | None = None,
+
+def seq_number(df: DataFrame, key: str | Sequence[str], order: Sequence[str], out: str = "seq",
                total: str | None = None, key_mins: dict[str, str] | None = None) -> DataFrame:
     """1-based position of each row within its key by ``order`` (a total order).
 
-    ``bucket`` — a column that never decreases along ``order`` (e.g.
-    ``hour_bucket`` of a leading timestamp) — names the slices directly, so
-    the plan stays lazy and the (slice, key) count table is bounded by the
-    time span, not the data.  Without it, slice bounds are sampled once and
-    frozen as literals (two small driver jobs).
-
-    ``total`` adds the key's row count and ``key_mins`` ({out: column}) the
-    key's minimum of a column, computed on the same small count table, so
-    callers need no separate per-key aggregate and join.
+    ``total`` adds the key's row count and ``key_mins`` ({out: column}) the key's
+    minimum of a column, from the same slices.
     """
-    spark = df.sparkSession
-    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    cols = [key, *order]
-    if bucket is not None:
-        r = df.withColumn("_rg", bucket)
-    else:
-        r = df.withColumn("_rg", _range_id(df, cols, _range_bounds(df, cols, n)))
-    local_w = Window.partitionBy("_rg", key).orderBy(*order)
-    r = r.withColumn("_local", F.row_number().over(local_w))
-    key_mins = key_mins or {}
-    counts = r.groupBy("_rg", key).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(f"_min_{o}") for o, c in key_mins.items()])
-    off_w = Window.partitionBy(key).orderBy("_rg").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(key)
-    extra = ([F.sum("_n").over(whole).cast("long").alias(total)] if total else []) + \
-        [F.min(f"_min_{o}").over(whole).alias(o) for o in key_mins]
-    offsets = counts.select("_rg", key, F.coalesce(F.sum("_n").over(off_w), F.lit(0)).alias("_off"),
-                            *extra)
-    return (r.join(offsets, ["_rg", key])
-            .withColumn(out, (F.col("_off") + F.col("_local")).cast("long"))
-            .drop("_rg", "_local", "_off"))
-
-
-def skew_safe_enabled(df: DataFrame) -> bool:
-    """Session switch (default on) between split-hot-key plans and plain windows."""
-    return df.sparkSession.conf.get("emporium.skewSafeSequence", "true").lower() == "true"
-
-
-def neighbour(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
-              offset: int, prefix: str, bucket: Column | None = None) -> DataFrame:
-    """LAG (offset = -1) / LEAD (offset = +1) of ``cols`` within ``key`` by ``order``.
-
-    Rows are numbered with ``seq_number`` and joined to their neighbour on
-    (key, seq ± 1): that join key is unique per row, so hash partitioning
-    spreads a hot key evenly instead of sending it to one task.
+    keys, mins = _keys(key), key_mins or {}
+    rows = sliced(df, keys, order)
+    own = Window.partitionBy(SLICE, *keys)
+    rows = rows.withColumns({
+        "_local": F.row_number().over(own.orderBy(*_asc(order))),
+        **({"_count": F.count(F.lit(1)).over(own)} if total else {}),
+        **{f"_min_{o}": F.min(c).over(own) for o, c in mins.items()}})
+    of_key = Window.partitionBy(*keys)
+    earlier = of_key.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    spans = _spans(rows, keys, [F.count(F.lit(1)).alias("_n"), *[F.min(c).alias(f"_m_{o}") for o, c in mins.items()]],
+                   [F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"), F.sum("_n").over(of_key).alias("_all"),
+                    *[F.min(f"_m_{o}").over(of_key).alias(f"_all_{o}") for o in mins]])
+    j = rows.join(F.broadcast(spans), _match(rows, spans, [SLICE, *keys]), "left")
+    return j.select(
+        *df.columns, (F.coalesce("_off", F.lit(0)) + F.col("_local")).cast("long").alias(out),
+        *([F.coalesce("_all", "_count").cast("long").alias(total)] if total else []),
+        *[F.coalesce(f"_all_{o}", f"_min_{o}").alias(o) for o in mins])
+
+
+def neighbour(rows: DataFrame, key: str | Sequence[str], order: Sequence[str], cols: Sequence[str],
+              offset: int, prefix: str) -> DataFrame:
+    """LAG (offset -1) or LEAD (offset +1) of ``cols`` within ``key`` by ``order``.
+
+    ``rows`` comes from ``sliced`` over the same key and order (a subset of its rows
+    will do).  Adds ``{prefix}{col}`` and ``{prefix}exists``.
     """
-    numbered = seq_number(df, key, order, "_seq", bucket=bucket)
-    other = numbered.select(F.col(key).alias("_nk"), (F.col("_seq") - offset).alias("_nseq"),
-                            *[F.col(c).alias(f"{prefix}{c}") for c in cols])
-    j = numbered.join(other, (F.col(key).eqNullSafe(F.col("_nk")))
-                      & (F.col("_seq") == F.col("_nseq")), "left")
-    return j.drop("_nk", "_nseq")
+    keys = _keys(key)
+    step = F.lag if offset < 0 else F.lead
+    own = Window.partitionBy(SLICE, *keys).orderBy(*_asc(order))
+    packed = F.struct(*cols)
+    near = rows.withColumn("_near", step(packed).over(own))
+    pick = F.max_by if offset < 0 else F.min_by  # the row of the slice before, or after
+    spans = _spans(rows, keys, [pick(packed, F.struct(*order)).alias("_edge")],
+                   [step("_edge").over(Window.partitionBy(*keys).orderBy(SLICE)).alias("_far")])
+    j = near.join(F.broadcast(spans), _match(near, spans, [SLICE, *keys]), "left")
+    found = F.coalesce("_near", "_far")
+    return j.select(*rows.columns, *[found[c].alias(f"{prefix}{c}") for c in cols],
+                    found.isNotNull().alias(f"{prefix}exists"))

@@ -35,7 +35,7 @@ class Ctx:
 
     @cached_property
     def review_texts(self) -> DataFrame:
-        return binding.review_texts(self.spark, self.sf_dir)
+        return binding.review_texts(self.src.read)
 
 
 def materialize_gold(c: Ctx, base: str) -> Ctx:

@@ -110,7 +110,7 @@ b_review_texts AS (
   SELECT CAST(d.doc_id AS VARCHAR) AS review_id,
          CAST(CASE WHEN l.quality = 1 THEN 5 WHEN l.quality = 0 THEN 1
                    ELSE d.doc_id % 5 + 1 END AS BIGINT) AS review_score,
-         substring(d.text, 1, 40) AS title,
+         d.source AS title,
          d.text AS message
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 ),

@@ -284,9 +284,10 @@ GROUP BY 1 ORDER BY 1
 """)(lambda c: B.biz_monthly_revenue(c.fact).select("month", "total_orders").orderBy("month"))
 
 query("k4_head_sample", """
-SELECT review_id, review_score, title FROM b_review_texts ORDER BY review_id LIMIT 10
-""")(lambda c: c.review_texts.select("review_id", "review_score", "title")
-     .orderBy("review_id").limit(10))
+SELECT review_id, review_score, title, message FROM b_review_texts
+WHERE trim(coalesce(message, '')) <> '' ORDER BY review_id LIMIT 30
+""")(lambda c: c.review_texts.filter(F.trim(F.coalesce("message", F.lit(""))) != "")
+     .select("review_id", "review_score", "title", "message").orderBy("review_id").limit(30))
 
 
 def _base(c):

@@ -30,7 +30,9 @@ def s1_csv_roundtrip(c):
     return io.read_csv(c.spark, path, ORDERS_SCHEMA)
 
 
-@query("s2_infer_schema", None)
+@query("s2_infer_schema", """
+SELECT * FROM (VALUES ('seller_id', 'int'), ('seller_zip_code_prefix', 'int'), ('seller_city', 'string'),
+                      ('seller_state', 'string')) t("column", "type")""")
 def s2_infer_schema(c):
     path = io.write_csv(c.src.sellers, scratch_path(c.spark, "csv-sellers"))
     schema = io.infer_schema(c.spark, path)
@@ -79,11 +81,39 @@ def s5_upsert(c):
     return io.upsert(once, delta, keys, order)  # applied twice: idempotent
 
 
+_NEWEST = """QUALIFY row_number() OVER (PARTITION BY {keys}
+    ORDER BY review_answer_timestamp DESC NULLS LAST, order_id DESC NULLS LAST,
+             review_score DESC NULLS LAST, review_comment_title DESC NULLS LAST,
+             review_comment_message DESC NULLS LAST, review_creation_date DESC NULLS LAST) = 1"""
+
+
+@query("s5_late_rows", "SELECT * FROM b_reviews " + _NEWEST.format(keys="review_id"))
+def s5_late_rows(c):
+    """The older load arrives after the newer one: no newer row is replaced."""
+    keys, order = ["review_id"], [("review_answer_timestamp", True)]
+    late = _first_load(c)
+    target = io.upsert(c.src.order_reviews.limit(0), c.src.order_reviews.filter(
+        F.col("review_answer_timestamp") >= F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz")), keys, order)
+    return io.upsert(target, late, keys, order)
+
+
+@query("s5_composite_key", "SELECT * FROM b_reviews " + _NEWEST.format(keys="review_id, order_id"))
+def s5_composite_key(c):
+    """Reviews merged by (review_id, order_id) in two loads."""
+    keys, order = ["review_id", "order_id"], [("review_answer_timestamp", True)]
+    target = io.upsert(c.src.order_reviews.limit(0), _first_load(c), keys, order)
+    return io.upsert(target, c.src.order_reviews, keys, order)
+
+
 @query("s6_append_history", """
 SELECT * EXCLUDE (batched_at), TIMESTAMP '2024-02-01 02:00:00' AS batched_at FROM b_geolocation
+UNION ALL
+SELECT * EXCLUDE (batched_at), TIMESTAMP '2024-02-02 02:00:00' AS batched_at FROM b_geolocation
 """)
 def s6_append_history(c):
-    return io.append_history(c.src.geolocation.drop("batched_at"), "2024-02-01 02:00:00")
+    path, rows = scratch_path(c.spark, "history"), c.src.geolocation.drop("batched_at")
+    io.append_history(rows, "2024-02-01 02:00:00", path)
+    return io.append_history(rows, "2024-02-02 02:00:00", path)
 
 
 _BRONZE = ["orders", "customers", "order_items", "order_payments", "order_reviews", "products",
@@ -99,7 +129,7 @@ _BRONZE_SQL = {"orders": "b_orders", "customers": "b_customers", "order_items":
     f"FROM {_BRONZE_SQL[n]}" for n in _BRONZE))
 def s7_s10_load_and_reconcile(c):
     sources = {n: getattr(c.src, n) for n in _BRONZE}
-    paths = io.load_all(sources, scratch_path(c.spark, "bronze"), max_records_per_file=100_000)
+    paths = io.load_all(sources, scratch_path(c.spark, "bronze"))
     loaded = {n: c.spark.read.parquet(p) for n, p in paths.items()}
     return io.reconcile_counts(sources, loaded)
 
@@ -132,7 +162,10 @@ def s12_cached_result(c):
     build = lambda: c.enriched.groupBy("order_month").agg(F.count(F.lit(1)).alias("orders"))
     base = scratch_path(c.spark, "cache")
     io.cached(c.spark, "orders_by_month", build, base, ttl_seconds=3600)
-    return io.cached(c.spark, "orders_by_month", build, base, ttl_seconds=3600)  # hit
+    io.cached(c.spark, "orders_by_month", build, base, ttl_seconds=3600)  # hit
+    io.cached(c.spark, "orders_by_month", build, base, ttl_seconds=-1)  # expired: built again
+    io.cached(c.spark, "orders_by_month", build, base, force=True)
+    return io.cached(c.spark, "orders_by_month", build, base, ttl_seconds=-1, offline=True)
 
 
 @query("s13_seed", "SELECT * FROM b_category_translation")
@@ -166,20 +199,20 @@ def s16_log_run(c):
                       "2024-02-01 02:00:00", "2024-02-01 02:10:00", n)
 
 
-@query("r1_stream_upsert", "SELECT * FROM s_reviews")
-def r1_stream_upsert(c):
-    src_dir = scratch_path(c.spark, "stream-src")
-    ev = c.src.order_reviews
-    # two arriving files: first and second review versions
-    first = _first_load(c)
-    first.write.mode("overwrite").parquet(f"{src_dir}/part=1")
-    ev.join(first.select("review_id", "review_answer_timestamp"),
-            ["review_id", "review_answer_timestamp"], "left_anti") \
-        .write.mode("overwrite").parquet(f"{src_dir}/part=2")
-    schema = ev.schema
+def _stream(c, keys):
+    """Two arriving loads, some files a micro-batch."""
+    src_dir, ev = scratch_path(c.spark, "stream-src"), c.src.order_reviews
+    late = F.col("review_answer_timestamp") >= F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz")
+    ev.filter(~late).write.parquet(f"{src_dir}/part=1")
+    ev.filter(F.coalesce(late, F.lit(True))).write.parquet(f"{src_dir}/part=2")
     return stream_upsert(c.spark, f"{src_dir}/*", scratch_path(c.spark, "stream-tgt"),
-                         scratch_path(c.spark, "stream-ckpt"), schema, ["review_id"],
-                         [("review_answer_timestamp", True)])
+                         scratch_path(c.spark, "stream-ckpt"), ev.schema, keys,
+                         [("review_answer_timestamp", True)], max_files_per_trigger=1)
+
+
+query("r1_stream_upsert", "SELECT * FROM s_reviews")(lambda c: _stream(c, ["review_id"]))
+query("r1_stream_composite_key", "SELECT * FROM b_reviews " + _NEWEST.format(keys="review_id, order_id"))(
+    lambda c: _stream(c, ["review_id", "order_id"]))
 
 
 # ---------------------------------------------------------------- monitoring --

@@ -36,34 +36,36 @@ query("m5_named_metrics", _VORD + "SELECT " + ", ".join(
     f"{expr.replace('BIGINT', 'BIGINT')} AS {name}" for name, expr in S.METRICS["v_orders"].items())
     + " FROM vo")(lambda c: S.metric_query(S.v_orders(c.enriched), "v_orders", _ALL_ORDER_METRICS))
 
-# M6: a selection of the 18 chart definitions (single-number and grouped)
+query("m5_category_metrics", "SELECT " + ", ".join(
+    f"CAST({e} AS {'BIGINT' if n == 'items' else 'DOUBLE'}) AS {n}" for n, e in S.METRICS["v_category"].items())
+    + " FROM category")(lambda c: S.metric_query(c.category, "v_category", list(S.METRICS["v_category"])))
+
+# M6: the 18 charts (six single numbers, twelve grouped).
 _CHARTS = [
     # name, dataset, metrics, dims, filters, order_by, desc, limit
-    ("m6_gmv_by_repeat", "v_orders", ["gmv_total"], ["is_repeat_order"], [], None, True, 10000),
-    ("m6_repeat_share_by_month", "v_orders", ["repeat_order_share"], ["order_month"], [], None,
-     True, 10000),
-    ("m6_customers_by_orders_bucket", "v_customers", ["customer_count"],
-     ["orders_placed_bucket"], [], None, True, 10),
-    ("m6_customers_by_segment", "v_customers", ["customer_count"], ["segment"], [], None, True, 10),
-    ("m6_reorder_by_review_bucket", "v_orders", ["reorder_rate"], ["review_bucket"], [], None,
-     True, 10),
-    ("m6_orders_by_delivery_bucket", "v_orders", ["order_count"], ["delivery_bucket"], [], None,
-     True, 10),
-    ("m6_late_rate_by_state", "v_orders", ["late_rate"], ["customer_state"], [], "late_rate",
-     True, 27),
-    ("m6_avg_review_by_delivery_bucket", "v_orders", ["avg_review"], ["delivery_bucket"], [],
-     None, True, 10),
-    ("m6_late_rate_by_month", "v_orders", ["late_rate"], ["order_month"], ["is_delivered"], None,
-     True, 10000),
-    ("m6_top_categories", "v_category", ["gmv_total"], ["product_category"], [], "gmv_total",
-     True, 12),
-    ("m6_retention_heatmap", "v_cohort_retention", ["avg_retention"],
-     ["cohort_month", "months_since"], [], None, True, 10000),
+    ("m6_gmv_by_repeat", "v_orders", ["gmv_total"], ["order_month", "is_repeat_order"], [], None, True, None),
+    ("m6_repeat_share_by_month", "v_orders", ["repeat_order_share"], ["order_month"], [], None, True, None),
+    ("m6_customers_by_orders_bucket", "v_customers", ["customer_count"], ["orders_placed_bucket"], [],
+     "customer_count", True, 10),
+    ("m6_customers_by_segment", "v_customers", ["customer_count"], ["segment"], [], "customer_count", True, 10),
+    ("m6_reorder_by_review_bucket", "v_orders", ["reorder_rate"], ["review_bucket"], [], "reorder_rate", True, 10),
+    ("m6_orders_by_delivery_bucket", "v_orders", ["order_count"], ["delivery_bucket"], [], "order_count", True, 10),
+    ("m6_late_rate_by_state", "v_orders", ["late_rate"], ["customer_state"], [], "late_rate", True, 27),
+    ("m6_avg_review_by_delivery_bucket", "v_orders", ["avg_review"], ["delivery_bucket"], [], "avg_review", True, 10),
+    ("m6_late_rate_by_month", "v_orders", ["late_rate"], ["order_month"], [], None, True, None),
+    ("m6_reorder_by_delivery_bucket", "v_orders", ["reorder_rate"], ["delivery_bucket"], [], "reorder_rate", True, 10),
+    ("m6_top_categories", "v_category", ["gmv_total"], ["product_category"], [], "gmv_total", True, 12),
+    ("m6_retention_heatmap", "v_cohort_retention", ["avg_retention"], ["cohort_month", "months_since"], [], None,
+     True, None),
     ("m6_kpi_gmv", "v_orders", ["gmv_total"], [], [], None, True, None),
-    ("m6_kpi_orders_delivered", "v_orders", ["order_count", "on_time_rate"], [],
-     ["is_delivered"], None, True, None),
-    ("m6_kpi_repeat_customer_rate", "v_customers", ["repeat_customer_rate", "total_monetary"],
-     [], [], None, True, None),
+    ("m6_kpi_orders", "v_orders", ["order_count"], [], [], None, True, None),
+    ("m6_kpi_aov", "v_orders", ["aov"], [], [], None, True, None),
+    ("m6_kpi_repeat_customer_rate", "v_customers", ["repeat_customer_rate"], [], [], None, True, None),
+    ("m6_kpi_on_time", "v_orders", ["on_time_rate"], [], [], None, True, None),
+    ("m6_kpi_review", "v_orders", ["avg_review"], [], [], None, True, None),
+    # A metric query with a filter, and one of two metrics.
+    ("m6_delivered_orders", "v_orders", ["order_count", "on_time_rate"], [], ["is_delivered"], None, True, None),
+    ("m6_customer_totals", "v_customers", ["repeat_customer_rate", "total_monetary"], [], [], None, True, None),
 ]
 _SRC = {"v_orders": (_VORD, "vo", lambda c: S.v_orders(c.enriched)),
         "v_customers": (_VCUST, "vc", lambda c: S.v_customers(c.enriched)),
@@ -81,8 +83,6 @@ def _chart_sql(ds, metrics, dims, filters, order_by, desc, limit):
     if order_by is not None and limit is not None:
         order = f" ORDER BY {order_by} {'DESC' if desc else 'ASC'} NULLS LAST" + (
             f", {dim_order}" if dims else "") + f" LIMIT {limit}"
-    elif limit is not None and dims:
-        order = f" ORDER BY {dim_order} LIMIT {limit}"
     return pre + f"SELECT {sel} FROM {rel}{where}{group}{order}"
 
 

@@ -58,11 +58,13 @@ FROM {RT}
     T.text_field("title", "message", "message").alias("message_only")))
 
 query("x3_strip_accents", f"""
-SELECT review_id, translate(lower(title), '{T.ACCENTED}', '{T.UNACCENTED}') AS stripped FROM {RT}
-""")(lambda c: c.review_texts.select("review_id", T.strip_accents(F.lower("title")).alias("stripped")))
+SELECT review_id, translate(lower(message), '{T.ACCENTED}', '{T.UNACCENTED}') AS stripped FROM {RT}
+""")(lambda c: c.review_texts.select("review_id", T.strip_accents(F.lower("message")).alias("stripped")))
 
 query("x4_tokens", ", tk AS (" + _tokens_sql(RT, "message") + """)
-SELECT review_id, list(term ORDER BY pos) AS tokens FROM tk GROUP BY 1
+SELECT r.review_id, coalesce(t.tokens, CAST([] AS VARCHAR[])) AS tokens
+FROM (SELECT review_id FROM b_review_texts WHERE message IS NOT NULL) r
+LEFT JOIN (SELECT review_id, list(term ORDER BY pos) AS tokens FROM tk GROUP BY 1) t ON r.review_id = t.review_id
 """)(lambda c: TX.tokens(c.review_texts, "message"))
 
 query("x5_stopword_hits", f"""
@@ -95,17 +97,26 @@ query("x7_bigram_freq", _BG + " SELECT bigram, count(*) AS count FROM bg GROUP B
 
 def _x8(c):
     m = c.spark.createDataFrame(GLOSSARY, "src string, dst string")
-    return TX.translate_freq(TX.term_freq(c.review_texts, "message"), m, 250)
+    return TX.translate_freq(TX.term_freq(c.review_texts, "message"), m)
 
 
 _GL = ", ".join(f"('{a}', '{b}')" for a, b in GLOSSARY)
 query("x8_translate_freq", _TF + f"""
-, tf AS (SELECT term, count(*) AS count FROM tk GROUP BY 1 ORDER BY count DESC, term LIMIT 250),
+, tf AS (SELECT term, count(*) AS count FROM tk GROUP BY 1),
 gl AS (SELECT * FROM (VALUES {_GL}) g(src, dst))
 SELECT coalesce(gl.dst, tf.term) AS term, CAST(sum(count) AS BIGINT) AS count
 FROM tf LEFT JOIN gl ON tf.term = gl.src GROUP BY 1
 """)(_x8)
 
+query("x8_translate_bigrams", _BG + f"""
+, gl AS (SELECT * FROM (VALUES {_GL}) g(src, dst)),
+tb AS (SELECT coalesce(a.dst, split_part(bigram, ' ', 1)) || ' ' || coalesce(b.dst, split_part(bigram, ' ', 2)) AS bigram
+       FROM bg LEFT JOIN gl a ON a.src = split_part(bigram, ' ', 1) LEFT JOIN gl b ON b.src = split_part(bigram, ' ', 2))
+SELECT bigram, count(*) AS count FROM tb GROUP BY 1 ORDER BY count DESC, bigram LIMIT 50
+""")(lambda c: TX.translate_freq(
+    TX.bigram_rows(c.review_texts, "message").groupBy("bigram").agg(F.count(F.lit(1)).alias("count")),
+    c.spark.createDataFrame(GLOSSARY, "src string, dst string"), 50, "bigram"))
+
 query("x9_text_kpis", f"""
 SELECT count(*) AS reviews, count(message) AS with_comment, count(title) AS with_title,
        avg(review_score) AS avg_score,

@@ -84,8 +84,11 @@ def v_cohort(enriched: DataFrame) -> DataFrame:
 def metric_query(ds: DataFrame, dataset: str, metrics: Sequence[str],
                  dims: Sequence[str] = (), filters: Sequence[str] = (),
                  order_by: str | None = None, desc: bool = True,
-                 limit: int | None = 10000) -> DataFrame:
-    """M6: metrics × dimensions × filters, ordered by a metric, capped at ``limit`` rows."""
+                 limit: int | None = None) -> DataFrame:
+    """M6: metrics × dimensions × filters; a ``limit`` keeps the first rows by the
+    metric ``order_by`` and is only allowed with it."""
+    if limit is not None and order_by is None:
+        raise ValueError("a limit needs a metric to order by")
     d = ds
     for f in filters:
         d = d.filter(F.expr(f))
@@ -94,8 +97,6 @@ def metric_query(ds: DataFrame, dataset: str, metrics: Sequence[str],
     if order_by is not None and limit is not None:
         key = F.col(order_by).desc_nulls_last() if desc else F.col(order_by).asc_nulls_last()
         return out.orderBy(key, *[F.col(x).asc_nulls_first() for x in dims]).limit(limit)
-    if limit is not None and dims:
-        return out.orderBy(*[F.col(x).asc_nulls_first() for x in dims]).limit(limit)
     return out
 
 

@@ -45,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="emporium-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
@@ -55,26 +57,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def spread_scan(df, min_bytes: int = 1 << 20):
-    """Re-spread a scan that yields fewer splits than the session has cores.
-
-    A file written as one large row group can only be read by one task, so
-    everything up to the first shuffle would run single-threaded.  When a
-    scan of at least ``min_bytes`` has fewer input partitions than the
-    default parallelism, it is round-robin repartitioned once; at cluster
-    scale (thousands of splits) this is a no-op.
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    n = df.rdd.getNumPartitions()
-    if n >= target:
-        return df
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    size = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        size += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return df.repartition(target) if size >= min_bytes else df

@@ -6,12 +6,11 @@ lazy scans: Catalyst prunes the columns and pushes filters to parquet.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporium.session import spread_scan
-
 # Fixed values of the binding (FIXTURES.md §2).
 AS_OF_ORDERS = "2001-08-01 00:00:00"      # clock for order data
 AS_OF_EVENTS = "2024-02-01 00:00:00"      # clock for event data
@@ -30,32 +29,7 @@ CATEGORY_TRANSLATION = [
 ]
 
 
-_READ_CACHE: dict | None = None
-
-
-class _reading_once:
-    """Route ``_read`` through a per-``Sources`` cache while building."""
-
-    def __init__(self, cache: dict):
-        self.cache = cache
-
-    def __enter__(self):
-        global _READ_CACHE
-        self.saved, _READ_CACHE = _READ_CACHE, self.cache
-
-    def __exit__(self, *exc):
-        global _READ_CACHE
-        _READ_CACHE = self.saved
-
-
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if _READ_CACHE is not None and path in _READ_CACHE:
-        return _READ_CACHE[path]
-    df = spread_scan(spark.read.parquet(path))
-    if _READ_CACHE is not None:
-        _READ_CACHE[path] = df
-    return df
+Read = Callable[[str], DataFrame]
 
 
 def _ts(value: str) -> Column:
@@ -70,8 +44,8 @@ def _plus_hours(ts: Column, n: Column) -> Column:
     return F.timestamp_add("HOUR", n, ts)
 
 
-def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders")
+def orders(read: Read) -> DataFrame:
+    o = read("orders")
     key = F.col("o_orderkey")
     ts = F.col("o_orderdate")
     status = (F.when(key % 97 == 0, F.lit(None).cast("string"))
@@ -94,10 +68,10 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    c = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+def customers(read: Read) -> DataFrame:
+    o = read("orders").select("o_orderkey", "o_custkey")
+    c = read("customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    n = read("nation").select("n_nationkey", "n_name")
     key = F.col("o_orderkey")
     person = (F.when(key % 10 < 8, F.concat(F.lit("O"), key.cast("string")))
               .otherwise(F.concat(F.lit("C"), F.col("o_custkey").cast("string"))))
@@ -111,8 +85,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("customer_state")))
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _read(spark, sf_dir, "lineitem")
+def order_items(read: Read) -> DataFrame:
+    li = read("lineitem")
     return li.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.col("l_linenumber").cast("long").alias("order_item_id"),
@@ -126,8 +100,8 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders")
+def order_payments(read: Read) -> DataFrame:
+    o = read("orders")
     key = F.col("o_orderkey")
     prio = F.substring("o_orderpriority", 1, 1)
     ptype = (F.when(prio == "1", "credit_card").when(prio == "2", "boleto")
@@ -145,9 +119,9 @@ def order_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("o_totalprice").alias("payment_value")))
 
 
-def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_reviews(read: Read) -> DataFrame:
     """Two versions per review (consecutive event ids)."""
-    e = _read(spark, sf_dir, "events")
+    e = read("events")
     rid = F.floor(F.col("event_id") / 2).cast("long")
     oid = F.when(rid % 10 == 9, (rid - 1) * 3).otherwise(rid * 3)
     return e.select(
@@ -162,8 +136,8 @@ def order_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _products(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
-    p = _read(spark, sf_dir, "part")
+def _products(read: Read, version: int) -> DataFrame:
+    p = read("part")
     key = F.col("p_partkey")
     weight = F.col("p_size").cast("long") * 100
     if version == 2:
@@ -181,19 +155,19 @@ def _products(spark: SparkSession, sf_dir: str, version: int) -> DataFrame:
     )
 
 
-def products(spark: SparkSession, sf_dir: str) -> DataFrame:
+def products(read: Read) -> DataFrame:
     """First product load."""
-    return _products(spark, sf_dir, 1)
+    return _products(read, 1)
 
 
-def products_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+def products_update(read: Read) -> DataFrame:
     """Second product load: weight + 100 g where key % 5 = 0."""
-    return _products(spark, sf_dir, 2)
+    return _products(read, 2)
 
 
-def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = _read(spark, sf_dir, "supplier")
-    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+def sellers(read: Read) -> DataFrame:
+    s = read("supplier")
+    n = read("nation").select("n_nationkey", "n_name")
     return (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
             .select(F.col("s_suppkey").cast("string").alias("seller_id"),
                     F.col("s_nationkey").cast("string").alias("seller_zip_code_prefix"),
@@ -201,10 +175,10 @@ def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("seller_state")))
 
 
-def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+def geolocation(read: Read) -> DataFrame:
     """Append-only geolocation log: several versions per zip prefix."""
-    s = _read(spark, sf_dir, "supplier")
-    n = _read(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    s = read("supplier")
+    n = read("nation").select("n_nationkey", "n_name")
     base = _ts(GEO_BASE)
     return (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey)
             .select(F.col("s_nationkey").cast("string").alias("geolocation_zip_code_prefix"),
@@ -222,24 +196,24 @@ def category_translation(spark: SparkSession) -> DataFrame:
         "product_category_name string, product_category_name_english string")
 
 
-def review_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def review_texts(read: Read) -> DataFrame:
     """Free-text corpus for the text operators: documents ⟕ labels."""
-    d = _read(spark, sf_dir, "documents").select("doc_id", "text")
-    lab = _read(spark, sf_dir, "labels").select("doc_id", "quality")
+    d = read("documents").select("doc_id", "text", "source")
+    lab = read("labels").select("doc_id", "quality")
     score = (F.when(F.col("quality") == 1, F.lit(5)).when(F.col("quality") == 0, F.lit(1))
              .otherwise(F.col("doc_id") % 5 + 1)).cast("long")
     return (d.join(lab, "doc_id", "left")
             .select(F.col("doc_id").cast("string").alias("review_id"),
                     score.alias("review_score"),
-                    F.substring("text", 1, 40).alias("title"),
+                    F.col("source").alias("title"),
                     F.col("text").alias("message")))
 
 
 class Sources:
     """The nine bronze tables plus the second product load, built lazily.
 
-    Each driver table is read (and its split count checked) once per
-    instance, however many source tables derive from it.
+    Each driver table is opened once per instance, however many source
+    tables derive from it.
     """
 
     _BUILDERS = {
@@ -254,6 +228,12 @@ class Sources:
         self._built: dict[str, DataFrame] = {}
         self._reads: dict[str, DataFrame] = {}
 
+    def read(self, table: str) -> DataFrame:
+        """A driver table, opened once for this instance."""
+        if table not in self._reads:
+            self._reads[table] = self._spark.read.parquet(f"{self._sf_dir.rstrip('/')}/{table}.parquet")
+        return self._reads[table]
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
@@ -261,8 +241,7 @@ class Sources:
             if name == "category_translation":
                 self._built[name] = category_translation(self._spark)
             elif name in self._BUILDERS:
-                with _reading_once(self._reads):
-                    self._built[name] = self._BUILDERS[name](self._spark, self._sf_dir)
+                self._built[name] = self._BUILDERS[name](self.read)
             else:
                 raise AttributeError(name)
         return self._built[name]

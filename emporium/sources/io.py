@@ -18,9 +18,14 @@ from emporium.operators.staging import dedupe_latest
 
 
 # ---------------------------------------------------------------- S1, S2 ----
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Header CSV with UTF-8 BOM, quoted embedded newlines and doubled quotes."""
-    r = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+             multi_line: bool = True) -> DataFrame:
+    """Header CSV with UTF-8 BOM, quoted embedded newlines and doubled quotes.
+
+    A file with ``multi_line`` is read by one task; pass False for large files
+    without newlines in fields, which are then split.
+    """
+    r = (spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
          .option("quote", '"').option("encoding", "UTF-8"))
     if schema is not None:
         return r.schema(schema).csv(path)
@@ -76,28 +81,30 @@ def incremental_read(df: DataFrame, key: str, state: DataFrame | None) -> tuple[
 def upsert(target: DataFrame, delta: DataFrame, keys: Sequence[str],
            order_by: Sequence[str | tuple[str, bool]] | None = None,
            descending: bool = True) -> DataFrame:
-    """Dedupe the delta per key, then replace matching target rows (anti-join + union).
-
-    Idempotent: applying the same delta twice gives the same table.  On a
-    target that is itself the previous upsert, rows with an equal key and an
-    older ``order_by`` value are replaced because the delta wins.
+    """Merge a delta by key: of a key's rows in both, the first by ``order_by``
+    stays, so a late older row never replaces a newer one; of equal ones, that of
+    the delta.  Without ``order_by`` the delta wins.  Idempotent; keys may be
+    composite, and a NULL key is a key like any other.
     """
-    d = dedupe_latest(delta, keys, order_by, descending=descending)
-    dk = d.select(*[F.col(k).alias(f"_dk_{k}") for k in keys])
-    # NULL-safe key match, so a NULL key is replaced like any other key
-    cond = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_dk_{k}")) for k in keys])
-    return target.join(dk, cond, "left_anti").unionByName(d)
+    both = (target.withColumn("_new", F.lit(0)).unionByName(delta.withColumn("_new", F.lit(1))))
+    order = [*(order_by or []), ("_new", True)]
+    return dedupe_latest(both, keys, order, descending=descending).drop("_new")
 
 
-def append_history(df: DataFrame, batch_ts: str, col: str = "batched_at") -> DataFrame:
-    """Stamp rows with their load time (append-only history)."""
-    return df.withColumn(col, F.lit(batch_ts).cast("timestamp_ntz"))
+def append_history(df: DataFrame, batch_ts: str, path: str, col: str = "batched_at") -> DataFrame:
+    """Append the rows, stamped with their load time, to the history at ``path``."""
+    stamped = df.withColumn(col, F.lit(batch_ts).cast("timestamp_ntz"))
+    stamped.write.mode("append").parquet(path)
+    return df.sparkSession.read.schema(stamped.schema).parquet(path)
 
 
 # ---------------------------------------------------------------- S7 – S11 ----
 def load_all(tables: Mapping[str, DataFrame], base: str, fmt: str = "parquet",
-             max_records_per_file: int = 100_000) -> dict[str, str]:
-    """S7 + S9: write each source to ``base/<bronze name>`` (one job per table)."""
+             max_records_per_file: int = 0) -> dict[str, str]:
+    """S7 + S9: write each source to ``base/<bronze name>`` (one job per table).
+
+    ``max_records_per_file`` cuts files at so many rows (0: only by partition).
+    """
     out = {}
     for name, df in tables.items():
         path = f"{base.rstrip('/')}/{name}"
@@ -149,8 +156,12 @@ def materialize(df: DataFrame, name: str, layer: str, base: str | None = None) -
 
 # ---------------------------------------------------------------- S12 – S16 ----
 def cached(spark: SparkSession, name: str, build, base: str, ttl_seconds: float = 3600.0,
-           force: bool = False) -> DataFrame:
-    """Named result cache as parquet with a time-to-live and a force switch."""
+           force: bool = False, offline: bool = False) -> DataFrame:
+    """Named result cache as parquet with a time-to-live and a force switch.
+
+    ``offline`` never builds: it reads what is cached, however old, and raises if
+    there is nothing.
+    """
     path = f"{base.rstrip('/')}/cache/{name}"
     meta = f"{path}/_SUCCESS"
     jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(meta)
@@ -159,14 +170,17 @@ def cached(spark: SparkSession, name: str, build, base: str, ttl_seconds: float
     if fs.exists(jvm_path) and not force:
         age = time.time() - fs.getFileStatus(jvm_path).getModificationTime() / 1000.0
         fresh = age <= ttl_seconds
-    if not fresh:
+    if offline:
+        if not fs.exists(jvm_path):
+            raise FileNotFoundError(f"nothing cached under {path}")
+    elif not fresh:
         build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
 def seed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Small static reference table; fixed size, so safe to broadcast."""
-    return F.broadcast(read_csv(spark, path, schema))
+    """Static reference table; the planner broadcasts it if it is small."""
+    return read_csv(spark, path, schema)
 
 
 def log_run(spark: SparkSession, path: str, run_id: str, status: str, started: str,

@@ -1,12 +1,17 @@
 """Incremental keyed load as a Structured Streaming job.
 
-New files in a source folder are read as a stream (``availableNow``: process
-what is there, then stop — the nightly-batch shape), and every micro-batch is
-upserted by key into a versioned target: batch ``n`` is written to
-``target/batch=n`` from ``batch=n-1`` plus the micro-batch, never over the
-folder being read.  The streaming checkpoint holds the source offsets, so a
-restarted job resumes where it stopped; a replayed batch id rewrites the same
-folder with the same rows (idempotent).
+New files in a source folder are read as a stream (``availableNow``: process what
+is there, then stop — the nightly-batch shape), and every micro-batch is merged by
+key into a versioned target.  A version is a folder
+
+    v=<number>,q=<query id>,b=<batch id>
+
+whose number grows by one each time, whatever the stream's batch ids do; it is
+committed by its ``_SUCCESS`` file.  A batch reads the newest committed version and
+writes the next one, never the folder it reads.  A batch that is replayed after a
+crash either finds its own committed version and does nothing, or writes anew what
+was not committed.  A stream with a reset checkpoint has a new query id and goes on
+from the newest version: merging the same rows again changes nothing.
 """
 from __future__ import annotations
 
@@ -24,36 +29,54 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def latest_version(spark: SparkSession, target: str) -> str | None:
-    """Folder of the newest committed batch (listing a handful of folders)."""
+def versions(spark: SparkSession, target: str) -> list[tuple[int, str, str]]:
+    """(number, writer, folder) of the committed versions, oldest first."""
     p, fs = _fs(spark, target)
     if not fs.exists(p):
-        return None
-    best = None
+        return []
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith("batch=") and fs.exists(
-                spark.sparkContext._jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            n = int(name.split("=", 1)[1])
-            best = n if best is None or n > best else best
-    return None if best is None else f"{target.rstrip('/')}/batch={best}"
+        if name.startswith("v=") and fs.exists(path(st.getPath(), "_SUCCESS")):
+            number, writer = name[2:].split(",", 1)
+            out.append((int(number), writer, f"{target.rstrip('/')}/{name}"))
+    return sorted(out)
 
 
 def read_target(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    v = latest_version(spark, target)
-    return spark.read.schema(schema).parquet(v) if v else spark.createDataFrame([], schema)
+    """The newest committed version."""
+    done = versions(spark, target)
+    return spark.read.schema(schema).parquet(done[-1][2]) if done else spark.createDataFrame([], schema)
+
+
+def apply_batch(batch: DataFrame, target: str, writer: str, schema: T.StructType, keys: Sequence[str],
+                order_by: Sequence[str | tuple[str, bool]] | None = None) -> bool:
+    """Merge one micro-batch; ``writer`` names the stream and the batch.  False if it
+    had been committed before."""
+    spark = batch.sparkSession
+    done = versions(spark, target)
+    if any(w == writer for _, w, _ in done):
+        return False
+    number = done[-1][0] + 1 if done else 0
+    out = upsert(read_target(spark, target, schema), batch, keys, order_by)
+    out.write.mode("overwrite").parquet(f"{target.rstrip('/')}/v={number},{writer}")
+    return True
 
 
 def stream_upsert(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
                   schema: T.StructType, keys: Sequence[str],
-                  order_by: Sequence[str | tuple[str, bool]] | None = None) -> DataFrame:
+                  order_by: Sequence[str | tuple[str, bool]] | None = None,
+                  max_files_per_trigger: int | None = None) -> DataFrame:
     """Run the stream to completion and return the current target table."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        current = read_target(spark, target, schema)
-        out = upsert(current, batch, keys, order_by)
-        out.write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        apply_batch(batch, target, f"q={query},b={batch_id}", schema, keys, order_by)
 
-    q = (spark.readStream.schema(schema).parquet(source_dir).writeStream
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    q = (reader.parquet(source_dir).writeStream
          .foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()

@@ -7,7 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from emporium.operators import staging
-from emporium.operators.windows import hour_bucket, seq_number
+from emporium.operators.windows import seq_number
 from emporium.sources import io
 
 SETTINGS = settings(max_examples=12, deadline=None,
@@ -54,6 +54,5 @@ def test_seq_number_equals_row_number(spark, data):
                                "p string, t timestamp_ntz, id string")
     exp = df.withColumn("s", F.row_number().over(
         Window.partitionBy("p").orderBy("t", "id")).cast("long"))
-    for got in (seq_number(df, "p", ["t", "id"], "s", n_parts=4),
-                seq_number(df, "p", ["t", "id"], "s", bucket=hour_bucket("t"))):
-        assert sorted(got.select("p", "t", "id", "s").collect()) == sorted(exp.collect())
+    got = seq_number(df, "p", ["t", "id"], "s")
+    assert sorted(got.select("p", "t", "id", "s").collect()) == sorted(exp.collect())

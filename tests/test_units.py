@@ -36,11 +36,12 @@ def test_dedupe_keeps_one_row_per_key_and_is_idempotent(spark):
     assert sorted(map(tuple, once.collect()), key=str) == sorted(map(tuple, twice.collect()), key=str)
 
 
-def test_dedupe_window_and_aggregate_agree(spark):
+def test_dedupe_equals_an_aggregate(spark):
     df = spark.createDataFrame([(i % 3, i % 5, str(i)) for i in range(30)], "k int, a int, b string")
-    agg = staging.dedupe_latest(df, ["k"], ["a"], method="aggregate")
-    win = staging.dedupe_latest(df, ["k"], ["a"], method="window")
-    assert sorted(agg.collect()) == sorted(win.collect())
+    for desc, pick in ((True, F.max), (False, F.min)):
+        got = staging.dedupe_latest(df, ["k"], [("a", desc)], descending=desc)
+        want = df.groupBy("k").agg(pick(F.struct("a", "b")).alias("r")).select("k", "r.*")
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
 def test_dedupe_empty(spark):
@@ -287,20 +288,20 @@ def test_seq_number_matches_row_number_with_hot_key(spark):
     # one key holds a third of the rows
     rows = [("hot" if i % 3 == 0 else f"k{i % 17}", i * 7 % 101, str(i)) for i in range(600)]
     df = spark.createDataFrame(rows, "p string, t int, id string")
-    got = seq_number(df, "p", ["t", "id"], "s", n_parts=8)
+    got = seq_number(df, "p", ["t", "id"], "s")
     w = Window.partitionBy("p").orderBy("t", "id")
     exp = df.withColumn("s", F.row_number().over(w).cast("long"))
     assert sorted(got.select("p", "t", "id", "s").collect()) == sorted(exp.collect())
 
 
-def test_seq_number_with_time_bucket_matches_row_number(spark):
+def test_seq_number_of_times_matches_row_number(spark):
     from pyspark.sql import Window
-    from emporium.operators.windows import hour_bucket, seq_number
+    from emporium.operators.windows import seq_number
     rows = [("hot" if i % 3 == 0 else f"k{i % 17}",
              dt.datetime(2024, 1, 1) + dt.timedelta(minutes=(i * 37) % 5000), str(i))
             for i in range(600)]
     df = spark.createDataFrame(rows, "p string, t timestamp_ntz, id string")
-    got = seq_number(df, "p", ["t", "id"], "s", bucket=hour_bucket("t"))
+    got = seq_number(df, "p", ["t", "id"], "s")
     exp = df.withColumn("s", F.row_number().over(Window.partitionBy("p").orderBy("t", "id")).cast("long"))
     assert sorted(got.select("p", "t", "id", "s").collect()) == sorted(exp.collect())
 
@@ -343,15 +344,111 @@ def test_stream_upsert_resumes_and_is_idempotent(spark):
     assert {r.k: r.v for r in third.collect()} == {"a": 1, "b": 2, "c": 1}
 
 
-def test_bigrams_across_slices_match_window(spark):
-    words = ["alpha", "beta", "gamma", "delta", "the", "epsilon", "zeta"]
+def test_bigrams_equal_a_plain_loop(spark):
+    words = ["alpha", "beta", "gamma", "delta", "para", "epsilon", "zeta"]
     long_text = " ".join(words[(i * 7 + i // 3) % len(words)] for i in range(10_000))
-    df = spark.createDataFrame([("big", long_text), ("small", "beta gamma beta")],
-                               "review_id string, message string")
-    safe = sorted(map(tuple, TX.bigram_rows(df, "message").groupBy("bigram").count().collect()))
-    spark.conf.set("emporium.skewSafeSequence", "false")
-    try:
-        plain = sorted(map(tuple, TX.bigram_rows(df, "message").groupBy("bigram").count().collect()))
-    finally:
-        spark.conf.unset("emporium.skewSafeSequence")
-    assert safe == plain and sum(n for _, n in safe) > 8000
+    df = spark.createDataFrame([("big", long_text), ("small", "beta gamma beta"), ("one", "beta"),
+                                ("none", "para"), ("null", None)], "review_id string, message string")
+    kept = {k: [w for w in (t or "").split() if w != "para"]
+            for k, t in (("big", long_text), ("small", "beta gamma beta"), ("one", "beta"), ("none", "para"))}
+    pairs = [f"{a} {b}" for w in kept.values() for a, b in zip(w, w[1:])]
+    got = sorted(r.bigram for r in TX.bigram_rows(df, "message").collect())
+    assert got == sorted(pairs)
+    assert {r.review_id: r.tokens for r in TX.tokens(df, "message").collect()} == kept
+
+
+def test_numbering_of_one_stamp_nulls_and_composite_keys(spark):
+    """A key with a third of the rows, all of one time stamp, is split over slices."""
+    from pyspark.sql import Window
+    from emporium.operators.windows import SLICE, neighbour, seq_number, sliced
+    rows = [("hot" if i % 3 == 0 else f"k{i % 5}" if i % 7 else None, "x" if i % 2 else None,
+             None if i % 11 == 0 else dt.datetime(1960, 1, 1) if i % 13 == 0 else dt.datetime(2024, 1, 1), f"{i:04}")
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "p string, q string, t timestamp_ntz, id string")
+    for keys in (["p"], ["p", "q"]):
+        w = Window.partitionBy(*keys).orderBy("t", "id")
+        whole = Window.partitionBy(*keys)
+        want = df.select("*", F.row_number().over(w).cast("long").alias("s"), F.count("*").over(whole).alias("n"),
+                         F.min("id").over(whole).alias("m"))
+        got = seq_number(df, keys, ["t", "id"], "s", total="n", key_mins={"m": "id"})
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        cut = sliced(df, keys, ["t", "id"])
+        assert cut.where("p = 'hot'").select(SLICE).distinct().count() > 2
+        for step, name in ((-1, F.lag), (1, F.lead)):
+            near = neighbour(cut, keys, ["t", "id"], ["id", "t"], step, "n_")
+            exp = df.select("*", name("id").over(w).alias("n_id"), name("t").over(w).alias("n_t"))
+            assert sorted(map(str, near.drop(SLICE, "n_exists").collect())) == sorted(map(str, exp.collect()))
+
+
+def test_history_with_null_and_composite_keys(spark):
+    log = spark.createDataFrame(
+        [(None, 1, 5, ts("2024-01-01")), (None, 1, 6, ts("2024-01-02")), ("a", 1, 5, ts("2024-01-01")),
+         ("a", 1, 5, ts("2024-01-02")), ("a", 2, 7, ts("2024-01-01")), ("a", 2, 8, ts("2024-01-03"))],
+        "k string, j int, v int, u timestamp_ntz")
+    for key, n in ((["k"], 6), (["k", "j"], 5)):
+        got = scd2.scd2_from_log(log, key, "u", ["v"])
+        assert got.count() == n and got.where("k is null").count() == 2
+        assert got.where("k is null and is_current").first().v == 6
+    ranges = scd2.version_ranges(log, ["k", "j"], ["v"], "u")
+    assert ranges.where("k is null").count() == 2 and ranges.where("is_current").count() == 3
+
+
+def test_snapshot_keeps_null_keys_and_refuses_twins(spark):
+    cur = spark.createDataFrame([(None, 1, ts("2024-01-01")), ("a", 1, ts("2024-01-01"))],
+                                "k string, v int, u timestamp_ntz")
+    h = scd2.scd2_timestamp(None, cur, ["k"], "u")
+    new = spark.createDataFrame([("b", 1, ts("2024-01-02")), ("a", 2, ts("2024-01-03"))], cur.schema)
+    h2 = scd2.scd2_timestamp(h, new, ["k"], "u")
+    assert sorted((str(r.k), r.v, r.valid_to is None) for r in h2.collect()) == [
+        ("None", 1, True), ("a", 1, False), ("a", 2, True), ("b", 1, True)]
+    again = scd2.scd2_timestamp(h2, new, ["k"], "u")
+    assert sorted(map(str, again.collect())) == sorted(map(str, h2.collect()))
+    with pytest.raises(Exception, match="duplicate keys"):
+        scd2.scd2_timestamp(h, new.union(new), ["k"], "u").collect()
+
+
+def test_upsert_keeps_the_newest_row(spark):
+    schema = "k string, j int, v int, u timestamp_ntz"
+    target = spark.createDataFrame([("a", 1, 2, ts("2024-01-02")), (None, 1, 1, ts("2024-01-01"))], schema)
+    delta = spark.createDataFrame([("a", 1, 1, ts("2024-01-01")), ("a", 2, 9, ts("2024-01-01")),
+                                   (None, 1, 5, ts("2024-01-03"))], schema)
+    got = io.upsert(target, delta, ["k", "j"], [("u", True)])
+    assert sorted(map(str, got.collect())) == sorted(map(str, [target.first(), *delta.collect()[1:]]))
+
+
+def test_stream_replay_and_reset_lose_nothing(spark):
+    from emporium.streaming import upsert_stream as U
+    schema = "k string, v int, u timestamp_ntz"
+    st = spark.createDataFrame([], schema).schema
+    tgt = scratch_path(spark, "replay")
+    rows = lambda *x: spark.createDataFrame([(k, v, ts(u)) for k, v, u in x], schema)
+    one, two = rows(("a", 1, "2024-01-02")), rows(("a", 0, "2024-01-01"), ("b", 1, "2024-01-03"))
+    order = [("u", True)]
+    assert U.apply_batch(one, tgt, "q=x,b=0", st, ["k"], order)
+    assert U.apply_batch(two, tgt, "q=x,b=1", st, ["k"], order)
+    assert not U.apply_batch(two, tgt, "q=x,b=1", st, ["k"], order)  # committed, not check-pointed
+    # a crash in the middle of a write leaves an uncommitted folder behind
+    rows(("z", 1, "2024-01-01")).write.parquet(f"{tgt}/v=2,q=x,b=2")
+    p, fs = U._fs(spark, f"{tgt}/v=2,q=x,b=2/_SUCCESS")
+    fs.delete(p, False)
+    assert {r.k: r.v for r in U.read_target(spark, tgt, st).collect()} == {"a": 1, "b": 1}
+    assert U.apply_batch(rows(("c", 1, "2024-01-01")), tgt, "q=x,b=2", st, ["k"], order)
+    # a reset checkpoint: batch ids begin anew under another query id
+    assert U.apply_batch(rows(("d", 1, "2024-01-01")), tgt, "q=y,b=0", st, ["k"], order)
+    assert {r.k: r.v for r in U.read_target(spark, tgt, st).collect()} == {"a": 1, "b": 1, "c": 1, "d": 1}
+
+
+def test_cache_offline(spark):
+    base = scratch_path(spark, "offline")
+    with pytest.raises(FileNotFoundError):
+        io.cached(spark, "x", lambda: spark.range(3), base, offline=True)
+    io.cached(spark, "x", lambda: spark.range(3), base)
+    assert io.cached(spark, "x", lambda: spark.range(9), base, ttl_seconds=-1, offline=True).count() == 3
+
+
+def test_translation_sums_before_any_cut(spark):
+    freq = spark.createDataFrame([("a", 3), ("b", 2), ("c", 4)], "term string, count long")
+    gl = spark.createDataFrame([("a", "x"), ("b", "x")], "src string, dst string")
+    assert [tuple(r) for r in TX.translate_freq(freq, gl, 1).collect()] == [("x", 5)]
+    two = spark.createDataFrame([("a b", 3), ("b a", 2), ("a c", 1)], "bigram string, count long")
+    assert sorted(map(tuple, TX.translate_freq(two, gl, None, "bigram").collect())) == [("x c", 1), ("x x", 5)]
