@@ -14,9 +14,10 @@
    verified on the full sets, and the components of what holds are formed.
 4. Cross round: a bucket whose members fall into several components may still
    hide a link.  Its members outside its largest component meet every member
-   of another component; the sketches prune inside the join, and what remains is
-   verified on the full sets.  So no link between different texts of a bucket is
-   lost, and pairs inside a component are never enumerated.
+   of another component, in blocks of rows that one task compares by their sketches;
+   a pair counts in the first bucket that the two share, and what remains is verified
+   on the full sets.  So no link between different texts of a bucket is lost, and
+   pairs inside a component are never enumerated.
 
 Two texts at the threshold miss all bands with probability
 (1 - s^rows)^bands: 2e-6 at 0.8 with 25 bands of 4 rows.
