@@ -440,5 +440,5 @@ def sample_pairs(df: DataFrame, cols: Sequence[str], n: int, seed: int = 42,
                  key: str = "order_id") -> DataFrame:
     """Repeatable sample of n rows, ordered by a seeded hash of the key."""
     return (df.select(key, *cols).filter(F.col(key).isNotNull())
-            .withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
+            .withColumn("_h", F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))))
             .orderBy("_h", key).limit(n).drop("_h"))

@@ -104,22 +104,25 @@ def relationship(child: DataFrame, parent: DataFrame, table: str, child_col: str
                  parent_col: str, severity: str = "error") -> DataFrame:
     """C5 (J10): child keys with no parent row; parent keys deduplicated first."""
     keys = parent.select(F.col(parent_col).alias("_pk")).distinct()
-    j = child.select(F.col(child_col).alias("_ck")).join(
-        keys, F.col("_ck") == F.col("_pk"), "left")
-    counts = j.agg(F.count(F.lit(1)).alias("n_rows"),
-                   F.count(F.when(F.col("_ck").isNotNull() & F.col("_pk").isNull(), 1))
-                   .alias("n_failed"))
+    # Children are counted per key before the join: a hot or NULL key is one row.
+    per = child.groupBy(F.col(child_col).alias("_ck")).agg(F.count(F.lit(1)).alias("_n"))
+    j = per.join(keys, F.col("_ck") == F.col("_pk"), "left")
+    counts = j.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"),
+                   F.coalesce(F.sum(F.when(F.col("_ck").isNotNull() & F.col("_pk").isNull(), F.col("_n"))),
+                              F.lit(0)).alias("n_failed"))
     return _result(counts, "relationships", table, child_col, severity)
 
 
 def has_type(df: DataFrame, table: str, col: str, type_name: str,
              severity: str = "error") -> DataFrame:
-    """The column's declared type (schema only; the row count comes along)."""
-    actual = df.schema[col].dataType.simpleString() if col in df.columns else "missing"
-    ok = actual == type_name
-    counts = df.agg(F.count(F.lit(1)).alias("n_rows")).withColumn(
-        "n_failed", F.lit(0).cast("long") if ok else F.col("n_rows"))
-    return _result(counts, f"type_{type_name}", table, col, severity)
+    """Rows whose value is not of the type (a constant per column, so the check
+    folds into its table's pass)."""
+    return type_check(table, col, type_name, severity).run(df)
+
+
+def type_check(table: str, col: str, type_name: str, severity: str = "error") -> Check:
+    """C6 as a row predicate."""
+    return Check(f"type_{type_name}", table, col, F.typeof(F.col(col)) != type_name, severity)
 
 
 def between(df: DataFrame, table: str, col: str, lo: float | None = None,
@@ -184,9 +187,13 @@ def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def envelope(prof: DataFrame, table: str, max_null_rate: float = 0.1,
              mean_bounds: dict[str, tuple[float, float]] | None = None,
-             severity: str = "warn") -> DataFrame:
-    """C14: statistical envelopes over a profile: null rate and mean within bounds."""
+             severity: str = "warn",
+             ranges: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    """C14: statistical envelopes over a profile: null rate, mean and range (least and
+    greatest value) within bounds.  A time window is a filter before the profile."""
     bad = F.col("null_rate") > max_null_rate
+    for col, (lo, hi) in (ranges or {}).items():
+        bad = bad | ((F.col("column") == col) & ((F.col("min") < lo) | (F.col("max") > hi)))
     for col, (lo, hi) in (mean_bounds or {}).items():
         bad = bad | ((F.col("column") == col) & ~F.col("mean").between(lo, hi))
     counts = prof.agg(F.count(F.lit(1)).alias("n_rows"),
@@ -204,8 +211,8 @@ def gate(report: DataFrame) -> bool:
     return report.filter(F.col("status") == "fail").limit(1).count() == 0
 
 
-def store_failures(df: DataFrame, base_path: str, check: str) -> str:
-    """Write a check's failing rows to ``base_path/audit/<check>``."""
+def store_failures(df: DataFrame, base_path: str, check: str) -> DataFrame:
+    """Write a check's failing rows to ``base_path/audit/<check>``; returns them as stored."""
     path = f"{base_path.rstrip('/')}/audit/{check}"
     df.write.mode("overwrite").parquet(path)
-    return path
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -105,6 +105,7 @@ b_category_translation AS (
                         ('medium', 'mid_range'), ('large', 'large_goods'),
                         ('small', 'small_goods'))
          t(product_category_name, product_category_name_english)
+  WHERE product_category_name IN (SELECT lower(split_part(p_type, ' ', 1)) FROM part)
 ),
 b_review_texts AS (
   SELECT CAST(d.doc_id AS VARCHAR) AS review_id,

@@ -340,7 +340,10 @@ SELECT c.customer_state, avg(b.review_score) AS avg_review, avg(b.delivery_delay
 FROM base b LEFT JOIN dim_customers c ON b.customer_id = c.id GROUP BY 1
 """)(lambda c: B.geo_quality(_base(c), c.gold.dim_customers))
 
-query("a50_sample_pairs", None)(
+query("a50_sample_pairs", """
+SELECT order_id, gmv, freight FROM orders_e WHERE order_id IS NOT NULL
+ORDER BY md5(CAST(order_id AS VARCHAR) || ':42'), order_id LIMIT 200
+""")(
     lambda c: B.sample_pairs(c.enriched, ["gmv", "freight"], 200, seed=42))
 
 query("j5_orders_customers_inner", """

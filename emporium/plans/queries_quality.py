@@ -5,7 +5,10 @@ from pyspark.sql import functions as F
 
 from emporium.operators import metrics as M
 from emporium.operators import quality as Q
+from emporium.operators import staging
 from emporium.plans.catalog import query
+from emporium.plans.queries_metrics import _RFM
+from emporium.session import scratch_path
 from emporium.sources import binding
 
 # Fixed accepted-value lists of the gold contract.
@@ -17,11 +20,17 @@ HIGH_VALUE_PAYMENT = 1000.0
 _REL = {"fact_orders": "fact_orders", "dim_customers": "dim_customers",
         "dim_sellers": "dim_sellers", "dim_products": "dim_products",
         "dim_reviews": "dim_reviews", "dim_geolocation": "dim_geolocation_q",
-        "orders": "orders_e"}
+        "orders": "orders_e", "v_customers": "seg",
+        "stg_customers": "s_customers", "stg_orders": "s_orders", "stg_order_items": "s_items",
+        "stg_order_payments": "s_payments", "stg_order_reviews": "s_reviews", "stg_products": "s_products",
+        "stg_category_translation": "b_category_translation", "stg_sellers": "s_sellers",
+        "stg_geolocation": "s_geolocation"}
 
 
 def _frame(c, table):
     g = c.gold
+    if table.startswith("stg_"):
+        return getattr(staging, table)(c.src)
     return {"fact_orders": lambda: c.fact, "dim_customers": lambda: g.dim_customers,
             "dim_sellers": lambda: g.dim_sellers, "dim_products": lambda: g.dim_products,
             "dim_reviews": lambda: g.dim_reviews, "dim_geolocation": lambda: g.dim_geolocation,
@@ -94,10 +103,14 @@ def _rel(table, col, parent, pcol, sev="error"):
          _wrap("relationships", table, col, sev, inner))
 
 
+_SQL_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "double": "DOUBLE", "boolean": "BOOLEAN",
+              "timestamp_ntz": "TIMESTAMP"}
+
+
 def _type(table, col, type_name, sev="error"):
     spec(f"c6_type_{table}_{col}", lambda c: Q.has_type(_frame(c, table), table, col, type_name, sev),
-         _wrap(f"type_{type_name}", table, col, sev,
-               f"SELECT count(*) AS n_rows, 0 AS n_failed FROM {_REL[table]}"))
+         _pred_sql(f"type_{type_name}", table, col, sev, f"typeof({col}) <> '{_SQL_TYPES[type_name]}'"),
+         (table, lambda: Q.type_check(table, col, type_name, sev)))
 
 
 # ---- the suite (gold contract + expectation tests + singular tests) -------
@@ -105,12 +118,20 @@ for t, col in [("fact_orders", "id"), ("fact_orders", "customer_id"),
                ("fact_orders", "order_status"), ("dim_customers", "id"),
                ("dim_customers", "customer_unique_id"), ("dim_sellers", "id"),
                ("dim_products", "surrogate_key"), ("dim_products", "product_id"),
-               ("dim_reviews", "id"), ("dim_reviews", "order_id")]:
+               ("dim_reviews", "id"), ("dim_reviews", "order_id"), ("dim_geolocation", "id"),
+               ("stg_order_items", "order_id"), ("stg_order_items", "order_item_id"),
+               ("stg_order_payments", "order_id"), ("stg_order_payments", "payment_sequential")]:
     _nn(t, col)
 for t, cols in [("dim_customers", ["id"]), ("dim_sellers", ["id"]),
                 ("dim_products", ["surrogate_key"]), ("dim_reviews", ["id"]),
                 ("dim_geolocation", ["id"]), ("fact_orders", ["id", "order_item_id"])]:
     _uq(t, cols)
+_nn("fact_orders", "payment_type", "warn")  # orders without a payment exist in the test tables
+for t, col in [("stg_customers", "customer_id"), ("stg_orders", "order_id"), ("stg_order_reviews", "review_id"),
+               ("stg_products", "product_id"), ("stg_category_translation", "product_category_name"),
+               ("stg_sellers", "seller_id"), ("stg_geolocation", "geolocation_zip_code_prefix")]:
+    _nn(t, col)
+    _uq(t, [col])
 _uq("fact_orders", ["id"], "warn")  # fails by design at item grain: shows a warn row
 _acc("fact_orders", "order_status", ORDER_STATUSES)
 _acc("fact_orders", "payment_type", PAYMENT_TYPES)
@@ -118,12 +139,20 @@ _rel("fact_orders", "customer_id", "dim_customers", "id")
 _rel("fact_orders", "product_id", "dim_products", "product_id", "warn")
 _rel("fact_orders", "seller_id", "dim_sellers", "id", "warn")
 _rel("dim_reviews", "order_id", "fact_orders", "id", "warn")
-for t, col, ty in [("fact_orders", "id", "string"), ("fact_orders", "price", "double"),
-                   ("fact_orders", "order_purchase_timestamp", "timestamp_ntz"),
-                   ("fact_orders", "order_item_id", "bigint"),
-                   ("fact_orders", "has_no_items", "boolean"),
-                   ("dim_reviews", "review_score", "bigint")]:
-    _type(t, col, ty)
+_rel("fact_orders", "id", "dim_reviews", "order_id", "warn")
+for t in ("dim_customers", "dim_sellers", "dim_reviews", "dim_geolocation", "fact_orders"):
+    _type(t, "id", "string")
+_type("dim_products", "surrogate_key", "string")
+_type("dim_reviews", "review_score", "bigint")
+_type("fact_orders", "customer_id", "string")
+for col in ("order_purchase_timestamp", "order_approved_at", "order_delivered_carrier_date",
+            "order_delivered_customer_date", "order_estimated_delivery_date", "shipping_limit_date"):
+    _type("fact_orders", col, "timestamp_ntz")
+for col in ("order_item_id", "payment_sequential", "payment_installments"):
+    _type("fact_orders", col, "bigint")
+for col in ("price", "freight_value", "payment_value"):
+    _type("fact_orders", col, "double")
+_type("fact_orders", "has_no_items", "boolean")
 
 spec("c7_between_fact_price", lambda c: Q.between(c.fact, "fact_orders", "price", lo=0, severity="warn"),
      _pred_sql("between", "fact_orders", "price", "warn", "coalesce(price < 0, false)"),
@@ -197,18 +226,22 @@ spec("c13_non_negative_lead_time",
 spec("c13_one_segment_per_customer",
      lambda c: Q.unique(M.rfm_people(c.enriched), "v_customers", "customer_unique_id"),
      _wrap("unique", "v_customers", "customer_unique_id", "error",
-           "SELECT count(*) AS n_rows, 0 AS n_failed FROM (SELECT DISTINCT customer_unique_id "
-           "FROM orders_e WHERE customer_unique_id IS NOT NULL)"))
+           "SELECT sum(n) AS n_rows, count(*) FILTER (WHERE n > 1) AS n_failed "
+           "FROM (SELECT customer_unique_id, count(segment) AS n FROM seg GROUP BY 1)"))
 
 PROFILE_COLS = ["gmv", "freight", "review_score", "delivery_days"]
+_BOUNDS = {"review_score": ["NOT (round(avg(CAST(review_score AS DOUBLE)), 9) BETWEEN 1.0 AND 5.0)",
+                            "min(review_score) < 1.0", "max(review_score) > 5.0"],
+           "freight": ["min(freight) < 0.0", "max(freight) > 1000000.0"]}
 spec("c14_envelope_orders",
-     lambda c: Q.envelope(Q.profile(c.enriched, PROFILE_COLS), "orders", 0.9,
-                          {"review_score": (1.0, 5.0)}),
+     lambda c: Q.envelope(Q.profile(c.enriched.filter(F.col("purchase_ts") < F.lit(
+         binding.AS_OF_ORDERS).cast("timestamp_ntz")), PROFILE_COLS), "orders", 0.9,
+         {"review_score": (1.0, 5.0)}, ranges={"review_score": (1.0, 5.0), "freight": (0.0, 1e6)}),
      _wrap("envelope", "orders", "*", "warn",
            "SELECT 4 AS n_rows, " + " + ".join(
-               f"CASE WHEN 1 - count({col}) / count(*) > 0.9 THEN 1 ELSE 0 END" for col in PROFILE_COLS)
-           + " + CASE WHEN round(avg(CAST(review_score AS DOUBLE)), 9) BETWEEN 1.0 AND 5.0 "
-             "THEN 0 ELSE 1 END AS n_failed FROM orders_e"))
+               "CASE WHEN coalesce(" + " OR ".join([f"1 - count({col}) / count(*) > 0.9", *_BOUNDS.get(col, [])])
+               + ", true) THEN 1 ELSE 0 END" for col in PROFILE_COLS)
+           + f" AS n_failed FROM orders_e WHERE purchase_ts < TIMESTAMP '{binding.AS_OF_ORDERS}'"))
 
 _GEO_Q = """, dim_geolocation_q AS (SELECT md5(concat_ws('␟', geolocation_zip_code_prefix,
     CAST(epoch_us(valid_from) AS VARCHAR))) AS id FROM (
@@ -226,7 +259,8 @@ _GEO_Q = """, dim_geolocation_q AS (SELECT md5(concat_ws('␟', geolocation_zip_
 """
 
 for _name, _fn, _sql in SPECS:
-    query(_name, _GEO_Q + _sql if "dim_geolocation_q" in _sql else _sql)(_fn)
+    query(_name, (_GEO_Q if "dim_geolocation_q" in _sql else "") + (_RFM if "FROM seg" in _sql else "") + _sql)(_fn)
+
 
 def _c15(c):
     """C15 over written gold tables; predicate checks folded into one scan per table."""
@@ -244,7 +278,7 @@ def _c15(c):
     return Q.run_suite(parts)
 
 
-query("c15_run_suite", _GEO_Q + " UNION ALL ".join(f"({s})" for _, _, s in SPECS))(_c15)
+query("c15_run_suite", _GEO_Q + _RFM + " UNION ALL ".join(f"({s})" for _, _, s in SPECS))(_c15)
 
 query("c14_profile_orders", "SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{col}' AS \"column\", 1 - count({col}) / count(*) AS null_rate, "
@@ -254,10 +288,11 @@ query("c14_profile_orders", "SELECT * FROM (" + " UNION ALL ".join(
 
 query("s15_failing_rows_unique_fact_id", """
 SELECT id, count(*) AS n FROM fact_orders GROUP BY 1 HAVING count(*) > 1
-""")(lambda c: Q.unique_failures(c.fact, ["id"]))
+""")(lambda c: Q.store_failures(Q.unique_failures(c.fact, ["id"]), scratch_path(c.spark, "audit"), "unique_fact_id"))
 query("s15_failing_rows_delivered_before_purchase", """
 SELECT * FROM fact_orders WHERE NOT coalesce(order_delivered_customer_date > order_purchase_timestamp, false)
   AND order_delivered_customer_date IS NOT NULL
-""")(lambda c: Q.Check("pair_greater", "fact_orders", "", ~F.coalesce(
+""")(lambda c: Q.store_failures(Q.Check("pair_greater", "fact_orders", "", ~F.coalesce(
     F.col("order_delivered_customer_date") > F.col("order_purchase_timestamp"), F.lit(False))
-    & F.col("order_delivered_customer_date").isNotNull()).failures(c.fact))
+    & F.col("order_delivered_customer_date").isNotNull()).failures(c.fact),
+    scratch_path(c.spark, "audit"), "delivered_before_purchase"))

@@ -190,10 +190,13 @@ def geolocation(read: Read) -> DataFrame:
                     _plus_hours(base, F.col("s_suppkey")).alias("batched_at")))
 
 
-def category_translation(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(
-        CATEGORY_TRANSLATION,
-        "product_category_name string, product_category_name_english string")
+def category_translation(read: Read) -> DataFrame:
+    """The translations of the product names that the parts have."""
+    names = read("part").select(F.lower(F.split("p_type", " ")[0]).alias("w")).distinct()
+    english = F.create_map(*[F.lit(x) for pair in CATEGORY_TRANSLATION for x in pair])
+    return (names.withColumn("e", F.try_element_at(english, F.col("w"))).where("e is not null")
+            .select(F.col("w").alias("product_category_name"),
+                    F.col("e").alias("product_category_name_english")))
 
 
 def review_texts(read: Read) -> DataFrame:
@@ -239,7 +242,7 @@ class Sources:
             raise AttributeError(name)
         if name not in self._built:
             if name == "category_translation":
-                self._built[name] = category_translation(self._spark)
+                self._built[name] = category_translation(self.read)
             elif name in self._BUILDERS:
                 self._built[name] = self._BUILDERS[name](self.read)
             else:
