@@ -19,3 +19,14 @@ def spark():
 @pytest.fixture(scope="session")
 def sf_dir():
     return SF_DIR
+
+
+@pytest.fixture(scope="session")
+def shared_context(spark, sf_dir):
+    """One build context for all registered queries: the order grain is written once."""
+    from emporium.plans import catalog
+    from emporium.plans.context import Ctx
+    own, built = Ctx(spark, sf_dir), catalog.Ctx
+    catalog.Ctx = lambda s, d: own if (s, d) == (spark, sf_dir) else built(s, d)
+    yield own
+    catalog.Ctx = built

@@ -13,7 +13,8 @@ NAMES = [
     "a34_top_n_others", "a39_corr_matrix", "a42_box_stats", "a45_repeat_by_review",
     "p_scalar_expressions", "x4_tokens", "x7_top_bigrams", "x8_translate_freq",
     "x12_terms_by_band", "c15_run_suite", "m6_late_rate_by_state", "g8_customer_360",
-    "s5_upsert", "r1_stream_upsert", "o2_volume_anomalies",
+    "s5_upsert", "s5_late_rows", "s5_composite_key", "r1_stream_upsert", "r1_stream_composite_key",
+    "o2_volume_anomalies", "a50_sample_pairs", "s2_infer_schema", "m6_reorder_by_delivery_bucket",
 ]
 
 
@@ -23,7 +24,7 @@ def duck(sf_dir):
 
 
 @pytest.mark.parametrize("name", NAMES)
-def test_query_matches_oracle(spark, duck, sf_dir, name):
+def test_query_matches_oracle(spark, duck, sf_dir, shared_context, name):
     qs, orc = catalog.all_queries(), catalog.all_oracles()
     ok, msg = compare(spark, duck, name, qs[name], orc[name], sf_dir)
     assert ok, msg
