@@ -29,11 +29,6 @@ def avg_money(c: str) -> Column:
     return X.safe_div(X.money_sum(c), F.count(c))
 
 
-def avg_stable(c: Column | str) -> Column:
-    """Average of floats rounded to 9 decimals (order-independent in practice)."""
-    return F.round(F.avg(c), 9)
-
-
 def count_if(cond: Column) -> Column:
     return F.count(F.when(cond, 1))
 

@@ -287,7 +287,9 @@ def category_state_matrix(cat: DataFrame, n: int = 10, m: int = 10,
                           pivot: bool = False) -> DataFrame:
     """GMV of the top-n categories × top-m states (long form, or pivoted).
 
-    The two top-k lists are tiny (n, m rows) and join by left-semi.
+    The two top-k lists are tiny (n, m rows).  The pivoted form has a column
+    ``state_1`` .. ``state_m`` for each state by falling GMV, 0 where a category sold
+    nothing there; no value is read on the driver.
     """
     gmv = F.sum(F.col("gmv").cast("decimal(18,2)"))
     top_c = top_k(cat.groupBy("product_category").agg(gmv.alias("g")),
@@ -300,8 +302,12 @@ def category_state_matrix(cat: DataFrame, n: int = 10, m: int = 10,
     long = d.groupBy("product_category", "customer_state").agg(gmv.cast("double").alias("gmv"))
     if not pivot:
         return long
-    names = [r[0] for r in top_s.select("customer_state").collect()]  # m values, bounded
-    return long.groupBy("product_category").pivot("customer_state", names).agg(F.first("gmv"))
+    order = Window.orderBy(F.col("g").desc_nulls_last(), "customer_state")  # over m rows
+    ranked = top_s.select("customer_state", F.row_number().over(order).alias("_r"))
+    placed = long.join(F.broadcast(ranked), "customer_state")
+    return placed.groupBy("product_category").agg(*[
+        F.coalesce(F.sum(F.when(F.col("_r") == i, F.col("gmv"))), F.lit(0.0)).alias(f"state_{i}")
+        for i in range(1, m + 1)])
 
 
 def cac_scenario(k: DataFrame, monthly_spend: float, target_cac: float | None,
@@ -342,8 +348,3 @@ def headline_ratios(of: DataFrame, full: DataFrame, person: str = PERSON) -> Dat
     rev = gap(reorder_by_review_bucket(full), 3, "review_reorder_gap", False)
     dlv = gap(reorder_by_delivery_bucket(full), 4, "delivery_reorder_gap", True)
     return attach_scalar(attach_scalar(attach_scalar(gm, opc), rev), dlv)
-
-
-def order_seq_window(person: str = PERSON) -> Window:
-    """V2 window (exported for tests)."""
-    return Window.partitionBy(person).orderBy("purchase_ts", "order_id")

@@ -54,9 +54,8 @@ def run_stats(runs: DataFrame, pipeline_col: str = "pipeline") -> DataFrame:
     """Duration per run, plus success ratio and mean duration per pipeline."""
     dur = (epoch_micros("ended") - epoch_micros("started")) / F.lit(1_000_000)
     per = runs.withColumn("duration_s", dur)
-    w = Window.partitionBy(pipeline_col)   # one row per run: a small partition
-    return per.select(
-        "*", F.count(F.lit(1)).over(w).alias("runs"),
-        (F.count(F.when(F.col("status") == "success", 1)).over(w) / F.count(F.lit(1)).over(w))
-        .alias("success_ratio"),
-        F.avg("duration_s").over(w).alias("avg_duration_s"))
+    stats = per.groupBy(F.col(pipeline_col).alias("_p")).agg(
+        F.count(F.lit(1)).alias("runs"),
+        (F.count(F.when(F.col("status") == "success", 1)) / F.count(F.lit(1))).alias("success_ratio"),
+        F.avg("duration_s").alias("avg_duration_s"))
+    return per.join(stats, F.col(pipeline_col).eqNullSafe(F.col("_p"))).drop("_p")

@@ -3,6 +3,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from emporium.functions import expr as X
 from emporium.operators import gold as G
 from emporium.operators import orders as O
 from emporium.operators import scd2, staging
@@ -246,3 +247,6 @@ QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY review_score DESC NULL
 def v5_best_review(c):
     cur = G.current(c.gold.dim_reviews_current).select("order_id", "review_score", "review_id")
     return O.best_review(cur)
+
+query("p2_star_minus", "SELECT * EXCLUDE (order_status, order_approved_at) FROM b_orders")(
+    lambda c: X.drop_cols(c.src.orders, "order_status", "order_approved_at"))

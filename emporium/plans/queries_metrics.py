@@ -197,6 +197,20 @@ FROM category WHERE product_category IN (SELECT * FROM tc) AND customer_state IN
 GROUP BY 1, 2
 """)(lambda c: M.category_state_matrix(c.category))
 
+query("a19_category_state_pivot", """
+, tc AS (SELECT product_category FROM category GROUP BY 1
+         ORDER BY sum(CAST(gmv AS DECIMAL(18,2))) DESC NULLS LAST, product_category LIMIT 10),
+ts AS (SELECT customer_state, row_number() OVER (ORDER BY g DESC NULLS LAST, customer_state) AS r FROM (
+         SELECT customer_state, sum(CAST(gmv AS DECIMAL(18,2))) AS g
+         FROM category WHERE customer_state IS NOT NULL GROUP BY 1) QUALIFY r <= 10),
+lg AS (SELECT product_category, r, CAST(sum(CAST(gmv AS DECIMAL(18,2))) AS DOUBLE) AS v
+       FROM category JOIN ts USING (customer_state)
+       WHERE product_category IN (SELECT product_category FROM tc) GROUP BY 1, 2)
+SELECT product_category, """ + ", ".join(
+    f"CAST(coalesce(sum(v) FILTER (WHERE r = {i}), 0) AS DOUBLE) AS state_{i}" for i in range(1, 11)) + """
+FROM lg GROUP BY 1
+""")(lambda c: M.category_state_matrix(c.category, pivot=True))
+
 query("a20_cac_scenario", """
 , k AS (""" + _kpis_sql("orders_e") + """)
 SELECT CAST(50000.0 AS DOUBLE) * greatest(coalesce(n_months, 1), 1) AS total_spend,
