@@ -1,28 +1,29 @@
 """Language-model scores from a probabilistic suffix tree of words.
 
 Tokens are the words of a text, lower-cased in A-Z, then one end token.  The
-base model is the smoothed unigram distribution over all training tokens.  The
-tree predicts symbols: the tokens whose share of the training tokens is at least
-``1 / symbols``, and one symbol for all others, within which the unigram
-shares hold.  So the alphabet, the contexts and the entries are bounded by
-parameters, whatever the corpus, while every count runs over all of it:
-
-* a candidate context is a run of up to ``depth`` symbols whose share is at
-  least ``1 / contexts`` (at most that many of each length);
-* it is retained if its next-symbol distribution diverges from that of its
-  longest retained suffix by at least ``divergence`` nats (Kullback-Leibler);
-* its entries are the next symbols that make up at least ``1 / entries`` of
-  all training tokens with it; they are smoothed towards the suffix's
-  distribution with the weight of ``smoothing`` tokens, and the mass of the
-  other symbols is shared out as the suffix does.  Every state sums to one.
+base model is the smoothed unigram distribution over all training tokens.  What
+the tree learns grows with the corpus; nothing is kept by its share of it:
+
+* a candidate context is any run of up to ``depth`` tokens (the start of the text
+  may be its oldest) that occurs at least ``SUPPORT`` times;
+* its entries are the tokens that follow it at least ``SUPPORT`` times; they are
+  smoothed towards the distribution of the context's suffix with the weight of
+  ``smoothing`` tokens, and the mass of the other tokens is shared out as the
+  suffix does.  Every state sums to one;
+* it is retained if its distribution diverges from that of its longest retained
+  suffix by at least ``divergence`` nats (Kullback-Leibler).
 
 A text's score is the sum over its tokens of log10 P(token | longest retained
-suffix of what precedes it), which is the base score plus the states' log ratios.
-The tree and the counts of tokens with a share of at least ``1 / entries`` (so at
-most ``entries`` of them) travel to the tasks; all rarer tokens' counts are
-joined in, one row per text and distinct rare token.
+suffix of what precedes it).  A run of n tokens that occurs ``SUPPORT`` times has
+all its parts occur so often, so this sum is the base score plus one weight for
+each run of up to ``depth`` + 1 tokens in the text: what the run's last token
+gains as an entry, and the factor of other tokens if the run is a retained
+context.  Runs, weights and counts are tables; texts are joined to them by run.
+The most frequent ones also travel to the tasks, at most ``entries`` per length, and
+so do bit maps of the supported runs, which let all of these pass and a share of
+the others: both save rows and change no result.
 
-Tokens are told apart by 64-bit hashes.
+Tokens and runs are told apart by 64-bit hashes.
 
 Defined results: null and empty texts are one end token; repeated rows are scored
 one by one; with no training text all counts are 0; other columns are ignored.
@@ -30,26 +31,31 @@ one by one; with no training text all counts are 0; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.common import chunks, fold, scratch_table, signed, string_buffers, word_hashes
+from emporium.llm.common import chunks, fold, mix, scratch_table, signed, string_buffers, word_hashes
 
 END = np.uint64(1)  # the hash that stands for the end token
-OTHER, BEGIN = 0, 1  # symbols; frequent tokens follow from 2 on
-#: Distinct keys that a task gathers before it passes its counts on.
+BEGIN = np.uint64(2)  # and for the start of a text, in contexts only
+#: Occurrences from which a run is a context or an entry.
+SUPPORT = 2
+#: Distinct runs that a task gathers before it passes its counts on.
 GATHER = 2_000_000
+#: Most bits of a key that number its place in a bit map.
+SIEVE_BITS = 27
 
 
 @dataclass(frozen=True)
 class Settings:
     depth: int = 3
-    symbols: int = 1 << 13
-    contexts: int = 1 << 14
+    symbols: int = 1 << 13  # bounded the alphabet once; without effect
+    contexts: int = 1 << 14  # bounded the contexts once; without effect
     entries: int = 1 << 21
     divergence: float = 0.02
     smoothing: float = 20.0
@@ -89,60 +95,134 @@ def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.insert(h, np.cumsum(n), END), n + 1
 
 
-def _counted(df: DataFrame, keys_of: Callable) -> DataFrame:
-    """Counts of the integer keys that ``keys_of`` gives for a chunk's tokens.
+class Sieve:
+    """A bit map of keys: has() is true for all of them and for some others.
+
+    It has about a bit for every two training tokens, up to 2^SIEVE_BITS bits.
+    """
+
+    def __init__(self, keys: DataFrame, total: int):
+        bits_wide = max(10, min(SIEVE_BITS, total.bit_length() - 2))
+        self.shift = np.uint64(64 - bits_wide)
+        place = F.shiftrightunsigned("key", 64 - bits_wide)
+        words = keys.select(F.shiftright(place, 6).alias("word"), place.bitwiseAND(F.lit(63)).cast("int").alias("bit")) \
+            .groupBy("word").agg(F.expr("bit_or(shiftleft(1L, bit))").alias("bits"))
+        word, bits = _columns(words, "word", "bits")
+        self.words = np.zeros(1 << (bits_wide - 6), np.uint64)
+        self.words[word.astype(np.int64)] = bits.astype(np.int64).view(np.uint64)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        place = keys >> self.shift
+        return (self.words[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _runs(h: np.ndarray, n: np.ndarray, sieves: list[Sieve], depth: int) -> list[tuple[np.ndarray, ...]]:
+    """For 0..depth tokens of context: (positions, keys, contexts, suffixes) of the
+    runs that end there, as far as the sieves let both parts of a run pass.
+
+    A run's context lacks its last token and its suffix the oldest; the oldest
+    may be the start of the text.
+    """
+    nth = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
+    at, shorter, none = np.arange(len(h)), h, np.zeros(len(h), np.uint64)
+    out = [(at, h, none, none)]
+    for d in range(1, depth + 1):
+        live = np.zeros(len(h), bool)
+        live[at] = sieves[d - 1].has(shorter[at])
+        first = nth == 0 if d == 1 else np.zeros(len(h), bool)
+        before = np.concatenate([[False], live[:-1]]) & (nth > 0)
+        at = np.flatnonzero(live & (before | first))
+        suffix = shorter[at]
+        context = np.where(first[at], BEGIN, shorter[at - 1])
+        key = mix(context * np.uint64(0xD6E8FEB86659FD93) + mix(suffix + np.uint64(d)))
+        out.append((at, key, context, suffix))
+        shorter = np.zeros(len(h), np.uint64)
+        shorter[at] = key
+    return out
+
+
+def _counted(df: DataFrame, names: list[str], of: Callable) -> DataFrame:
+    """Counts of the rows that ``of`` gives for a chunk's tokens: one array for each
+    of ``names``, the first of them the key.
 
     A task gathers distinct keys over its chunks and passes them on when there
     are ``GATHER`` of them; sums over tasks follow in one aggregation.
     """
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, counts, loose = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+        kept: list[list[np.ndarray]] = []
+        size = 0
 
-        def merge():
-            nonlocal keys, counts, loose
-            parts, weights = [keys, *(k for k, _ in loose)], [counts, *(c for _, c in loose)]
-            keys, inverse = np.unique(np.concatenate(parts), return_inverse=True)
-            counts = np.bincount(inverse, weights=np.concatenate(weights), minlength=len(keys)).astype(np.int64)
-            loose = []
+        def merge(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+            *columns, n = (np.concatenate(c) for c in zip(*parts))
+            _, where, inverse = np.unique(columns[0], return_index=True, return_inverse=True)
+            return [*(c[where] for c in columns), np.bincount(inverse, weights=n).astype(np.int64)]
 
-        def out():
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["key", "n"])
+        def out() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in kept[0]], names=[*names, "n"])
 
         for b in batches:
             data, offsets = string_buffers(b.column("text"))
             for _, _, part, offs in chunks(data, offsets):
-                loose.append(np.unique(keys_of(*_tokens(part, offs)), return_counts=True))
-                if sum(len(k) for k, _ in loose) > GATHER // 4:
-                    merge()
-                    if len(keys) > GATHER:
+                columns = of(*_tokens(part, offs))
+                kept.append(merge([[*columns, np.ones(len(columns[0]), np.int64)]]))
+                size += len(kept[-1][0])
+                if size > GATHER // 4:
+                    kept, size = [merge(kept)], 0
+                    if len(kept[0][0]) > GATHER:
                         yield out()
-                        keys, counts = keys[:0], counts[:0]
-        merge()
-        if len(keys):
+                        kept = []
+        if kept:
+            kept = [merge(kept)]
             yield out()
 
-    return df.select("text").mapInArrow(local, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    first = [F.first(c).alias(c) for c in names[1:]]
+    return (df.select("text").mapInArrow(local, ", ".join(f"{c} long" for c in [*names, "n"]))
+            .groupBy("key").agg(*first, F.sum("n").alias("n")))
+
+
+def _supported(train: DataFrame, counts: DataFrame, total: int, depth: int) -> tuple[DataFrame, list[Sieve]]:
+    """(all supported runs of more than one token, the sieves of each level).
+
+    The keys of a level are counted alone, where both parts of a run pass the sieve
+    of the level below; then the supported ones with their parts.
+    """
+    sieves = [Sieve(counts.where(F.col("n") >= SUPPORT), total)]
+    for level in range(1, depth + 1):
+        def keys_of(h, n, level=level, sieves=tuple(sieves)):
+            return [_runs(h, n, sieves, level)[level][1]]
+
+        sieves.append(Sieve(_counted(train, ["key"], keys_of).where(F.col("n") >= SUPPORT), total))
+
+    def parts_of(h, n):
+        columns = []
+        for level, (_, key, context, suffix) in enumerate(_runs(h, n, sieves, depth)):
+            if level:
+                own = sieves[level].has(key)
+                columns.append([key[own], context[own], suffix[own], np.full(own.sum(), level, np.uint64)])
+        return [np.concatenate(c) for c in zip(*columns)]
+
+    found = _counted(train, ["key", "context", "suffix", "level"], parts_of).where(F.col("n") >= SUPPORT)
+    return scratch_table(found, "pst-runs"), sieves
 
 
 @dataclass
 class Tree:
-    """Bounded parts of the model, as arrays."""
+    """The model: tables, and the bounded parts of them that travel, as arrays."""
 
     settings: Settings
     total: int  # N
     distinct: int  # V
     common: Index  # tokens of at least 1 / entries
     counts: np.ndarray
-    symbol: np.ndarray  # symbol of each common token
-    n_symbols: int
-    steps: list[Index] = field(default_factory=list)  # per depth: (oldest symbol, suffix) -> context
-    first: list[int] = field(default_factory=list)  # number of the first context of a depth
-    retained: np.ndarray = field(default_factory=lambda: np.zeros(1, bool))
-    parent: np.ndarray = field(default_factory=lambda: np.zeros(1, np.int64))
-    rest: np.ndarray = field(default_factory=lambda: np.zeros(1))  # log10 factor of other symbols
-    entry: Index = field(default_factory=lambda: Index(np.zeros(0, np.uint64)))
-    value: np.ndarray = field(default_factory=lambda: np.zeros(0))  # log10 ratio to the root
+    tokens: DataFrame  # counts of all tokens: key, n
+    entries: DataFrame  # level, key, context, suffix, n, p (by the longest retained context)
+    states: DataFrame  # candidate contexts: level, key, suffix, retained, rest (log10)
+    weights: DataFrame  # key, weight of the runs that have one, n
+    heavy: Index  # runs with a weight that occur often
+    heavy_weight: np.ndarray
+    sieves: list[Sieve]  # of the supported runs of each level
+    weighted: Sieve  # of all runs with a weight
 
     @property
     def norm(self) -> float:
@@ -151,188 +231,214 @@ class Tree:
     def base(self) -> np.ndarray:
         return np.log10((self.counts + 0.5) / self.norm)
 
+    # The whole model as arrays, to look at a small one: symbol 0 is all tokens
+    # below the support, symbol 1 the start of a text, context 0 the root.
+
+    @cached_property
+    def _view(self) -> dict:
+        key, n = _columns(self.tokens.where(F.col("n") >= SUPPORT).orderBy("key"), "key", "n")
+        symbol = {int(k): 2 + i for i, k in enumerate(key)}
+        root = np.zeros(2 + len(key))
+        root[2:] = (n + 0.5) / self.norm
+        root[0] = max(1e-300, 1 - root.sum())
+        level, own, suffix, kept, rest = _columns(self.states.orderBy("level", "key"),
+                                                  "level", "key", "suffix", "retained", "rest")
+        number = {int(k): 1 + i for i, k in enumerate(own)}
+        up = np.array([0] + [number.get(int(x), 0) for x in suffix], np.int64)
+        retained = np.concatenate([[False], kept.astype(bool)])
+        parent = np.zeros(len(up), np.int64)
+        for c in range(1, len(up)):  # shorter contexts come first
+            parent[c] = up[c] if retained[up[c]] else parent[up[c]]
+        index, value = [], []
+        e_level, e_key, e_context, e_suffix, p = _columns(self.entries.orderBy("level"),
+                                                          "level", "key", "context", "suffix", "p")
+        last = dict(symbol)  # the last token of each run
+        for k, c, s, x in zip(e_key.tolist(), e_context.tolist(), e_suffix.tolist(), p):
+            last[k] = last[s]
+            if retained[number[c]]:
+                index.append(number[c] * len(root) + last[k])
+                value.append(np.log10(x / root[last[k]]))
+        return {"root": root, "retained": retained, "parent": parent, "rest": np.concatenate([[0.0], rest]),
+                "steps": np.unique(level), "entry": Index(np.array(index, np.uint64)), "value": np.array(value)}
+
+    @property
+    def retained(self) -> np.ndarray:
+        return self._view["retained"]
+
+    @property
+    def steps(self) -> np.ndarray:
+        """The lengths that contexts have."""
+        return self._view["steps"]
+
+    @property
+    def n_symbols(self) -> int:
+        return len(self._view["root"])
+
     def root(self) -> np.ndarray:
         """P(symbol) without context."""
-        p = np.zeros(self.n_symbols)
-        own = self.symbol >= 2
-        p[self.symbol[own]] = (self.counts[own] + 0.5) / self.norm
-        p[OTHER] = max(1e-300, 1 - p.sum())
-        return p
-
-    def symbols_of(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(symbol, position among the common tokens or -1) of every token."""
-        at = self.common.find(h)
-        return np.where(at >= 0, self.symbol[at] if len(self.symbol) else 0, OTHER), at
-
-    def contexts(self, sym: np.ndarray, n: np.ndarray, depth: int) -> list[np.ndarray]:
-        """For depths 1..depth, the context number before every token (0: none)."""
-        start = np.repeat(np.cumsum(n) - n, n)
-        nth = np.arange(len(sym)) - start
-        out: list[np.ndarray] = []
-        for d in range(1, depth + 1):
-            back = np.full(len(sym), OTHER, np.int64)
-            back[d:] = sym[:-d] if d < len(sym) + 1 else 0
-            back = np.where(nth >= d, back, np.where(nth == d - 1, BEGIN, OTHER))
-            shorter = out[-1] if out else np.zeros(len(sym), np.int64)
-            usable = (back != OTHER) & ((shorter > 0) | (d == 1))
-            own = np.zeros(len(sym), np.int64)
-            at = self.steps[d - 1].find((back * (1 << 32) + shorter)[usable])
-            own[usable] = np.where(at >= 0, at + self.first[d - 1], 0)
-            out.append(own)
-        return out
+        return self._view["root"]
 
     def ratio(self, context: np.ndarray, sym: np.ndarray) -> np.ndarray:
         """log10 P(symbol | context) / P(symbol), contexts being retained ones or 0."""
-        out, context = np.zeros(len(sym)), context.copy()
+        v, out, context = self._view, np.zeros(len(sym)), context.copy()
         live = np.flatnonzero(context)
         while len(live):
-            c = context[live]
-            at = self.entry.find(c * self.n_symbols + sym[live])
+            at = v["entry"].find(context[live] * self.n_symbols + sym[live])
             found = at >= 0
-            out[live[found]] += self.value[at[found]]
+            out[live[found]] += v["value"][at[found]]
             lost = live[~found]
-            out[lost] += self.rest[context[lost]]
-            context[lost] = self.parent[context[lost]]
+            out[lost] += v["rest"][context[lost]]
+            context[lost] = v["parent"][context[lost]]
             live = lost[context[lost] > 0]
         return out
 
-    def states(self, contexts: list[np.ndarray]) -> np.ndarray:
-        """The longest retained context of every token."""
-        state = np.zeros(len(contexts[0]) if contexts else 0, np.int64)
-        for own in contexts:
-            state = np.where(self.retained[own], own, state)
-        return state
-
-    def grow(self, sequences: list[tuple[int, ...]], suffix: list[int]) -> None:
-        """Add the candidate contexts of the next depth (oldest symbol first)."""
-        self.first.append(len(self.retained))
-        self.steps.append(Index(np.array([s[0] * (1 << 32) + x for s, x in zip(sequences, suffix)], np.uint64)))
-        up = [x if self.retained[x] else self.parent[x] for x in suffix]
-        k = len(sequences)
-        self.parent = np.concatenate([self.parent, np.array(up, np.int64)])
-        self.retained = np.concatenate([self.retained, np.zeros(k, bool)])
-        self.rest = np.concatenate([self.rest, np.zeros(k)])
-
-    def learn(self, context: np.ndarray, sym: np.ndarray, n: np.ndarray, sizes: dict[int, int]) -> None:
-        """Entries (context, symbol, count) of the newest depth; sizes: each context's total."""
-        if len(context) == 0:
-            return
-        s, root = self.settings, self.root()
-        q = root[sym] * 10 ** self.ratio(self.parent[context], sym)  # by the suffix
-        own, inverse = np.unique(context, return_inverse=True)
-        size = np.array([sizes[int(c)] for c in own], np.float64)
-        kept_n, kept_q = np.bincount(inverse, weights=n), np.bincount(inverse, weights=q)
-        left_n, left_q = np.maximum(0, size - kept_n), np.maximum(1e-12, 1 - kept_q)
-        p = n / size[inverse]
-        gain = np.bincount(inverse, weights=p * np.log(p / q))
-        share = left_n / size
-        gain += np.where(share > 0, share * np.log(np.maximum(share, 1e-300) / left_q), 0)
-        keep = gain >= s.divergence
-        self.retained[own[keep]] = True
-        self.rest[own] = np.log10((s.smoothing + left_n / left_q) / (size + s.smoothing))
-        take = keep[inverse]
-        smooth = (n + s.smoothing * q) / (size[inverse] + s.smoothing)
-        keys = np.concatenate([self.entry.keys, (context * self.n_symbols + sym)[take].astype(np.uint64)])
-        self.value = np.concatenate([self.value, np.log10(smooth / root[sym])[take]])
-        self.entry = Index(keys)
-
 
 def _columns(df: DataFrame, *names: str) -> list[np.ndarray]:
     table = df.select(*names).toArrow()
     return [table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in names]
 
 
+def _learn(runs: DataFrame, shorter: DataFrame, level: int, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """(entries, states) of the contexts of ``level`` tokens.
+
+    ``runs``: supported runs of all levels; ``shorter``: entries of one token less
+    of context, whose p is that of the suffix.  Sizes of contexts are the counts
+    of their own runs, which are supported as their entries are.
+    """
+    own = runs.where(F.col("level") == level)
+    with_q = scratch_table(own.join(shorter.select(F.col("key").alias("suffix"), F.col("p").alias("q")), "suffix"),
+                           f"pst-suffix-{level}")
+    sums = with_q.groupBy("context").agg(F.sum("n").alias("kept"), F.sum("q").alias("kept_q"),
+                                         F.sum(F.col("n") * F.log(F.col("n") / F.col("q"))).alias("a"))
+    contexts = runs.where(F.col("level") == level - 1) if level > 1 else runs.where("level <= 0 AND key <> %d" % END)
+    # A context without entries shares all its mass out as its suffix does: it is no state.
+    c = contexts.select("key", F.col("suffix"), F.col("n").alias("size")) \
+        .join(sums.withColumnRenamed("context", "key"), "key")
+    left, left_q = F.greatest(F.col("size") - F.col("kept"), F.lit(0)), F.greatest(1 - F.col("kept_q"), F.lit(1e-12))
+    share = left / F.col("size")
+    gain = (F.col("a") - F.col("kept") * F.log("size")) / F.col("size") \
+        + F.when(left > 0, share * F.log(share / left_q)).otherwise(0.0)
+    states = scratch_table(c.select(
+        F.lit(level).alias("level"), "key", "suffix", "size", (gain >= s.divergence).alias("retained"),
+        F.log10((s.smoothing + left / left_q) / (F.col("size") + s.smoothing)).alias("rest")), f"pst-states-{level}")
+    kept = states.where("retained").select(F.col("key").alias("context"), "size", "rest")
+    p = F.when(F.col("size").isNotNull(), (F.col("n") + s.smoothing * F.col("q")) / (F.col("size") + s.smoothing)) \
+        .otherwise(F.col("q"))
+    gained = F.when(F.col("size").isNotNull(), F.log10(p / F.col("q")) - F.col("rest")).otherwise(0.0)
+    entries = scratch_table(with_q.join(kept, "context", "left").select(
+        "level", "key", "context", "suffix", "n", p.alias("p"), gained.alias("gained")), f"pst-entries-{level}")
+    return entries, states
+
+
 def fit(train: DataFrame, s: Settings = Settings()) -> tuple[Tree, DataFrame]:
     """(tree, counts of all training tokens) from the texts of ``train`` (column text)."""
-    counts = scratch_table(_counted(train, lambda h, n: signed(h)), "pst-tokens")
+    counts = scratch_table(_counted(train, ["key"], lambda h, n: [h]), "pst-tokens")
     size = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v")).first()
     total, distinct = int(size.n or 0), int(size.v)
     # At most ``entries`` rows: their counts sum to no more than all tokens.
     key, n = _columns(counts.where(F.col("n") * s.entries >= total), "key", "n")
     order = np.argsort(key)
     key, n = key[order].astype(np.int64), n[order].astype(np.int64)
-    frequent = np.flatnonzero(n * s.symbols >= total)
-    symbol = np.zeros(len(key), np.int64)
-    symbol[frequent] = 2 + np.arange(len(frequent))
-    tree = Tree(s, total, distinct, Index(key.view(np.uint64)), n, symbol, 2 + len(frequent))
-    sequences: list[tuple[int, ...]] = [(x,) for x in range(1, tree.n_symbols)]
-    known = {(): 0}
-    for depth in range(1, s.depth + 1):
-        sequences = [q for q in sequences if q[1:] in known]
-        if not sequences or not total:
-            break
-        tree.grow(sequences, [known[q[1:]] for q in sequences])
-        known |= {q: tree.first[-1] + i for i, q in enumerate(sequences)}
-        by_number = {known[q]: q for q in sequences}
-        width = tree.n_symbols
-
-        def keys_of(h, n, depth=depth, tree=tree, width=width):
-            sym, _ = tree.symbols_of(h)
-            own = tree.contexts(sym, n, depth)[-1]
-            return (own * width + sym)[own > 0]
-
-        found = scratch_table(_counted(train, keys_of), "pst-contexts")
-        by = found.groupBy(F.floor(F.col("key") / F.lit(width)).alias("c")).agg(F.sum("n").alias("n"))
-        sizes = {int(c): int(n_) for c, n_ in zip(*_columns(by, "c", "n"))}  # one row a context
-        # At most ``entries`` rows: each is its share of all training tokens.
-        key, n = _columns(found.where(F.col("n") * s.entries >= total), "key", "n")
-        order = np.argsort(key)
-        key, n = key[order].astype(np.int64), n[order].astype(np.int64)
-        context, sym = key // width, key % width
-        tree.learn(context, sym, n, sizes)
-        longer = (n * s.contexts >= total) & (sym >= 2)
-        sequences = [(*by_number[c], x) for c, x in zip(context[longer].tolist(), sym[longer].tolist())]
+
+    longer, sieves = _supported(train, counts, total, s.depth)
+    zero = F.lit(0).cast("long")
+    single = counts.where(F.col("n") >= SUPPORT).select("key", zero.alias("context"), zero.alias("suffix"),
+                                                        zero.alias("level"), "n")
+    # Texts begin as often as they end.
+    begin = counts.where(F.col("key") == int(END)).select(
+        F.lit(int(BEGIN)).cast("long").alias("key"), zero.alias("context"), zero.alias("suffix"),
+        F.lit(-1).cast("long").alias("level"), "n")
+    runs = longer.unionByName(single).unionByName(begin)
+    norm = total + 0.5 * (distinct + 1)
+    entries = [runs.where("level = 0").select("key", ((F.col("n") + 0.5) / F.lit(norm)).alias("p"))]
+    states = []
+    for level in range(1, s.depth + 1):
+        e, c = _learn(runs, entries[-1], level, s)
+        entries.append(e)
+        states.append(c)
+    each, contexts = entries[1], states[0]
+    for e, c in zip(entries[2:], states[1:]):
+        each, contexts = each.unionAll(e), contexts.unionAll(c)
+    kept = contexts.where("retained")
+    parts = each.where("gained <> 0").select("key", F.col("gained").alias("w"), "n") \
+        .unionAll(kept.select("key", F.col("rest").alias("w"), F.col("size").alias("n")))
+    weights = scratch_table(parts.groupBy("key").agg(F.sum("w").alias("weight"), F.max("n").alias("n")), "pst-weights")
+    # At most ``entries`` rows of each number of tokens, as above.
+    heavy, w = _columns(weights.where(F.col("n") * s.entries >= total), "key", "weight")
+    tree = Tree(s, total, distinct, Index(key.view(np.uint64)), n, counts, each, contexts, weights,
+                Index(heavy.astype(np.int64).view(np.uint64)), w, sieves, Sieve(weights, total))
     return tree, counts
 
 
 def score(docs: DataFrame, tree: Tree, counts: DataFrame, id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) of every row."""
+    depth, sieves, weighted = tree.settings.depth, tree.sieves, tree.weighted
+    common, heavy, heavy_weight, base = tree.common, tree.heavy, tree.heavy_weight, tree.base()
+
+    def listed(keys: np.ndarray, text: np.ndarray, k: int) -> tuple[pa.ListArray, pa.ListArray]:
+        """The distinct keys of each of k texts, and how often each occurs."""
+        order = np.lexsort((keys, text))
+        keys, text = keys[order], text[order]
+        fresh = np.ones(len(keys), bool)
+        fresh[1:] = (keys[1:] != keys[:-1]) | (text[1:] != text[:-1])
+        first = np.flatnonzero(fresh)
+        times = np.diff(np.concatenate([first, [len(keys)]])).astype(np.int32)
+        cuts = np.concatenate([[0], np.cumsum(np.bincount(text[first], minlength=k))]).astype(np.int32)
+        return (pa.ListArray.from_arrays(cuts, pa.array(signed(keys[first]))),
+                pa.ListArray.from_arrays(cuts, pa.array(times)))
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = tree.base()
         for b in batches:
             data, offsets = string_buffers(b.column("text"))
             for i, j, part, offs in chunks(data, offsets):
                 h, n = _tokens(part, offs)
-                text = np.repeat(np.arange(j - i), n)
-                sym, at = tree.symbols_of(h)
-                gain = tree.ratio(tree.states(tree.contexts(sym, n, len(tree.steps))), sym) if tree.steps else np.zeros(len(h))
-                common = at >= 0
-                plain = np.bincount(text[common], weights=base[at[common]], minlength=j - i)
-                rare_h, rare_t = h[~common], text[~common]
-                order = np.lexsort((rare_h, rare_t))
-                rare_h, rare_t = rare_h[order], rare_t[order]
-                fresh = np.ones(len(rare_h), bool)
-                fresh[1:] = (rare_h[1:] != rare_h[:-1]) | (rare_t[1:] != rare_t[:-1])
-                first = np.flatnonzero(fresh)
-                times = np.diff(np.concatenate([first, [len(rare_h)]])).astype(np.int32)
-                cuts = np.concatenate([[0], np.cumsum(np.bincount(rare_t[first], minlength=j - i))]).astype(np.int32)
+                text, k = np.repeat(np.arange(j - i), n), j - i
+                at = common.find(h)
+                known = at >= 0
+                plain = np.bincount(text[known], weights=base[at[known]], minlength=k)
+                # The start of a text is a context, too.
+                runs, owner = [np.full(k, BEGIN)], [np.arange(k)]
+                for place, run, _, _ in _runs(h, n, sieves, depth):
+                    runs.append(run)
+                    owner.append(text[place])
+                run, who = np.concatenate(runs), np.concatenate(owner)
+                own = heavy.find(run)
+                met = own >= 0
+                gain = np.bincount(who[met], weights=heavy_weight[own[met]], minlength=k)
+                rare, rare_times = listed(h[~known], text[~known], k)
+                light = ~met & weighted.has(run)
+                run, run_times = listed(run[light], who[light], k)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("row").slice(i, j - i), b.column("doc_id").slice(i, j - i),
-                     pa.array(n), pa.array(np.bincount(text[common], minlength=j - i).astype(np.int64)),
-                     pa.array(plain.astype(np.float64)),
-                     pa.array(np.bincount(text, weights=gain, minlength=j - i).astype(np.float64)),
-                     pa.ListArray.from_arrays(cuts, pa.array(signed(rare_h[first]))),
-                     pa.ListArray.from_arrays(cuts, pa.array(times))],
-                    names=["row", "doc_id", "n_tokens", "known", "base", "gain", "rare", "times"])
+                    [b.column("row").slice(i, k), b.column("doc_id").slice(i, k),
+                     pa.array(n), pa.array(np.bincount(text[known], minlength=k).astype(np.int64)),
+                     pa.array(plain.astype(np.float64)), pa.array(gain.astype(np.float64)),
+                     rare, rare_times, run, run_times],
+                    names=["row", "doc_id", "n_tokens", "known", "base", "gain", "rare", "times", "run", "run_times"])
 
     rows = scratch_table(
         docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"),
                     F.col(text_col).alias("text"))
         .mapInArrow(local, "row long, doc_id long, n_tokens long, known long, base double, gain double, "
-                           "rare array<long>, times array<int>"), "pst-rows")
-    rare = rows.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")) \
-        .select("row", F.col("x.rare").alias("key"), F.col("x.times").alias("times"))
+                           "rare array<long>, times array<int>, run array<long>, run_times array<int>"), "pst-rows")
+
+    def exploded(keys: str, times: str) -> DataFrame:
+        return rows.select("row", F.explode(F.arrays_zip(keys, times)).alias("x")) \
+            .select("row", F.col(f"x.{keys}").alias("key"), F.col(f"x.{times}").alias("times"))
+
     few = counts.where(F.col("n") * tree.settings.entries < tree.total)
-    each = rare.join(few, "key", "left").groupBy("row").agg(
+    each = exploded("rare", "times").join(few, "key", "left").groupBy("row").agg(
         F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("k"),
         F.sum(F.col("times") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(tree.norm))).alias("s"))
-    base = F.col("base") + F.coalesce("s", F.lit(0.0))
-    return rows.drop("rare", "times").join(each, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("known") + F.coalesce("k", F.lit(0))).alias("n_known"),
-        F.lit(tree.total).cast("long").alias("train_tokens"), base.alias("base_score"),
-        (base + F.col("gain")).alias("score"))
+    light = tree.weights.where(F.col("n") * tree.settings.entries < tree.total).select("key", "weight")
+    gained = exploded("run", "run_times").join(light, "key").groupBy("row") \
+        .agg(F.sum(F.col("times") * F.col("weight")).alias("g"))
+    base_score = F.col("base") + F.coalesce("s", F.lit(0.0))
+    return rows.select("row", "doc_id", "n_tokens", "known", "base", "gain").join(each, "row", "left") \
+        .join(gained, "row", "left").select(
+            "doc_id", "n_tokens", (F.col("known") + F.coalesce("k", F.lit(0))).alias("n_known"),
+            F.lit(tree.total).cast("long").alias("train_tokens"), base_score.alias("base_score"),
+            (base_score + F.col("gain") + F.coalesce("g", F.lit(0.0))).alias("score"))
 
 
 def score_documents(docs: DataFrame, s: Settings = Settings(), folds: int = 5, held: int = 1) -> DataFrame:

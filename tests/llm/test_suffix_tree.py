@@ -85,3 +85,17 @@ def test_empty_and_untrained(spark):
     docs = spark.createDataFrame([(i, "a b") for i in range(3)], "doc_id long, text string")
     got = suffix_tree.score(docs, *suffix_tree.fit(docs.limit(0).select("text"))).collect()
     assert [(r.n_tokens, r.n_known, r.train_tokens) for r in got] == [(3, 0, 0)] * 3
+
+
+def test_a_phrase_seen_twice_is_learned_in_a_large_corpus(spark):
+    """What is kept goes by occurrences, not by a share of the corpus."""
+    phrase = "quartz ferret juggles lanterns"
+    filler = [" ".join(f"w{(i * 7 + j * j) % 4000}" for j in range(200)) for i in range(400)]
+    rows = list(enumerate([phrase, phrase, *filler]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    # Shares of 1 / 64 travel, and nothing of the phrase makes up such a share.
+    s = suffix_tree.Settings(symbols=64, contexts=64, entries=64)
+    got = {r.doc_id: r for r in suffix_tree.score_documents(docs, s, folds=1, held=1).collect()}
+    assert got[0].score > got[0].base_score + 4
+    full = {r.doc_id: r for r in suffix_tree.score_documents(docs, suffix_tree.Settings(), folds=1, held=1).collect()}
+    assert all(math.isclose(full[i].score, got[i].score, rel_tol=1e-9) for i in full)
