@@ -154,7 +154,12 @@ def _card(key: str, hit: Column) -> Column:
 
 
 def _phone(key: str, hit: Column) -> Column:
-    """North American numbers: area and exchange codes begin with 2 to 9."""
+    """North American numbers: valid area and exchange codes begin with 2 to 9.
+
+    Valid numbers are permuted among themselves.  The others are permuted among
+    the others if they are written as a phone number, with the country code or
+    with brackets; a bare ddd-ddd-dddd of them is none.
+    """
     def replaced(d: Column) -> Column:
         national = F.right(d, F.lit(10))
         area, exchange = _long(F.substr(national, F.lit(1), F.lit(3))), _long(F.substr(national, F.lit(4), F.lit(3)))
@@ -162,7 +167,20 @@ def _phone(key: str, hit: Column) -> Column:
         image = _feistel(key, "phone", area - 200, (exchange - 200) * 10_000 + line, F.lit(800), F.lit(8_000_000))
         new = _let(image, lambda s: F.concat(
             F.substr(d, F.lit(1), F.length(d) - 10), _pad(s["l"] + 200, 3), _pad(s["r"] + 2_000_000, 7)))
-        return F.when((area >= 200) & (exchange >= 200), _let(new, lambda x: _refill(hit, x, "0-9")))
+
+        def walk(s: Column, _: Column) -> Column:  # on to the next image that is not valid either
+            def step(t: Column) -> Column:
+                return F.struct(t["l"].alias("l"), t["r"].alias("r"),
+                                ((t["l"] < 20_000) | (t["l"] % 100 * 10 + F.floor(t["r"] / 10_000) < 200)).alias("ok"))
+            return F.when(s["ok"], s).otherwise(_let(
+                _feistel(key, "phone-other", s["l"], s["r"], F.lit(100_000), F.lit(100_000)), step))
+
+        start = F.struct(_long(F.substr(national, F.lit(1), F.lit(5))).alias("l"),
+                         _long(F.substr(national, F.lit(6), F.lit(5))).alias("r"), F.lit(False).alias("ok"))
+        other = _let(F.aggregate(F.sequence(F.lit(1), F.lit(96)), start, walk), lambda s: F.when(s["ok"], F.concat(
+            F.substr(d, F.lit(1), F.length(d) - 10), _pad(s["l"], 5), _pad(s["r"], 5))))
+        return F.when((area >= 200) & (exchange >= 200), _let(new, lambda x: _refill(hit, x, "0-9"))) \
+            .when((F.length(d) == 11) | hit.contains("("), _let(other, lambda x: _refill(hit, x, "0-9")))
     return _let(_only(hit, "0-9"), replaced)
 
 

@@ -6,6 +6,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from emporium.llm import pii
+from emporium.llm.common import read
 from tests.llm.helpers import empty_documents, odd_documents
 
 
@@ -118,6 +119,27 @@ def test_texts_keep_all_else(spark):
     assert pii.pseudonymise(docs).count() == docs.count()
 
 
+def test_phones_with_low_codes_are_replaced(spark):
+    values = [f"+1 ({a:03}) {e:03}-{n:04}" for a in (0, 17, 132, 199, 200, 999) for e in (0, 199, 555) for n in range(0, 9999, 909)]
+    got = replaced(spark, values)
+    assert len(set(got.values())) == len(values)
+
+    def valid(v):
+        return v[4] >= "2" and v[9] >= "2"
+
+    for v, p in got.items():
+        assert v != p and re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", p) and valid(v) == valid(p)
+
+
+def test_no_phone_of_the_documents_survives(spark, sf_dir):
+    form = re.compile(r"\+1 \(\d{3}\) \d{3}-\d{4}")
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    before = {r.doc_id: form.findall(r.text or "") for r in docs.collect()}
+    assert sum(map(len, before.values())) > 0
+    for r in pii.pseudonymise(docs).collect():
+        assert not set(before[r.doc_id]) & set(form.findall(r.text or ""))
+
+
 def test_no_python_in_the_plan(spark):
     plan = pii.pseudonymise(odd_documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
