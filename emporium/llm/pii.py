@@ -16,7 +16,8 @@ leading zeros walk on until the image is written the same way.
 A text is split at its finds and put together again, in its own row: nothing is
 shuffled.  Null texts stay null, empty texts empty; repeated rows are treated alike;
 other columns are returned as they are.  Found text is whole: overlapping finds go
-to the first in the order of ``KINDS``.
+to the first in the order of ``KINDS``.  Groups of digits beside each other, and finds
+that do not validate, are searched group by group for the kinds that such text can hold.
 """
 from __future__ import annotations
 
@@ -35,11 +36,15 @@ KINDS = {
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
-    "card": r"(?<![\d+])\d(?:[ -]?\d){12,18}(?!\d)",
-    "phone": r"(?<!\d)(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)",
+    # All groups of digits that follow each other, if of 13 digits or more: see _groups.
+    "card": r"(?<![\d+])(?=\d(?:[ -]?\d){12})\d+(?:[ -]\d+(?![\dA-Za-z/@]|\.\d))*+",
+    "phone": r"(?<!\d)(?:(?:\+?1[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|\+1[ .-]?\d{10})(?!\d)",
     "phone_e164": r"(?<!\d)\+(?!1)\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,4}(?!\d)",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
+#: How cards are written; what a find that does not validate is searched for.
+CARD_FORMS = r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})(?!\d)"
+INNER = "|".join(f"(?:{KINDS[k]})" for k in ("ssn", "card", "phone"))
 
 
 def _long(c: Column) -> Column:
@@ -287,17 +292,86 @@ def _email(key: str, hit: Column) -> Column:
     return F.concat(_feistel_text(key, "email", name), F.substr(hit, F.length(name) + 1, F.length(hit)))
 
 
-_REPLACE = {"email": _email, "ipv4": _ipv4, "date": _date, "ssn": _ssn, "iban": _iban, "card": _card,
+def _groups(key: str, hit: Column) -> Column:
+    """Groups of digits, joined by single blanks or hyphens: struct(text, n).
+
+    Written throughout with one separator and valid as a whole, they are a card.
+    Else the values that begin at a group are replaced from the left, and if
+    there is none, the whole as a card if it is valid.
+    """
+    def found(rest: Column, after: Column) -> Column:
+        """struct(len, new) of the value at the start of ``rest``, or null."""
+        card = F.regexp_extract(rest, CARD_FORMS, 0)
+        phone = F.regexp_extract(rest, "^(?:" + KINDS["phone"] + ")", 0)
+        apart = after != "-"
+        ssn = F.when(apart, F.regexp_extract(rest, "^(?:" + KINDS["ssn"] + ")", 0)).otherwise("")
+        date = F.when(apart, F.regexp_extract(rest, "^(?:" + KINDS["date"] + ")", 0)).otherwise("")
+
+        def image(text: Column, replace: Callable) -> Column:
+            return F.when(text != "", _let(text, lambda x: _let(replace(key, x), lambda new: F.when(
+                new.isNotNull(), F.struct(F.length(x).alias("len"), new.alias("new"))))))
+        return F.coalesce(image(card, _card), image(date, _date), image(ssn, _ssn), image(phone, _phone))
+
+    def step(s: Column, _: Column) -> Column:
+        group = F.regexp_extract(s["rest"], r"^\d*[ -]?", 0)
+        return F.when(s["rest"] == "", s).otherwise(_let(found(s["rest"], F.right(s["text"], F.lit(1))), lambda f: F.struct(
+            F.concat(s["text"], F.coalesce(f["new"], group)).alias("text"),
+            (s["n"] + F.when(f.isNotNull(), 1).otherwise(0)).alias("n"),
+            F.substr(s["rest"], F.coalesce(f["len"], F.length(group)) + 1, F.length(s["rest"])).alias("rest"))))
+
+    # A value ends before a separator, which then is a step of its own.
+    steps = F.size(F.split(hit, "[ -]")) * 2
+    scan = F.aggregate(F.sequence(F.lit(1), steps),
+                       F.struct(F.lit("").alias("text"), F.lit(0).alias("n"), hit.alias("rest")), step)
+    digits = F.length(_only(hit, "0-9"))
+    whole = F.when(digits.between(13, 19), _card(key, hit))
+    one = hit.rlike(r"^\d+(?:([ -])\d+(?:\1\d+)*)?$")
+
+    def card(new: Column) -> Column:
+        return F.struct(new.alias("text"), F.lit(1).alias("n"))
+
+    def chosen(w: Column) -> Column:
+        return F.when(w.isNotNull() & one, card(w)).otherwise(_let(scan, lambda s: F.when(
+            (s["n"] == 0) & w.isNotNull(), card(w)).otherwise(
+                F.struct(F.concat(s["text"], s["rest"]).alias("text"), s["n"].alias("n")))))
+    return _let(whole, chosen)
+
+
+_REPLACE = {"email": _email, "ipv4": _ipv4, "date": _date, "ssn": _ssn, "iban": _iban,
             "phone": _phone, "phone_e164": _phone_e164}
 
 
-def pseudonym(hit: Column, key: str = DEFAULT_KEY) -> Column:
-    """The pseudonym of a found value; the value itself if it does not validate."""
-    out = None
+def _again(key: str, hit: Column) -> Column:
+    """Groups of digits, or a find that does not validate, searched for values: struct(text, n)."""
+    def one(x: Column) -> Column:
+        def struct(new: Column) -> Column:
+            return F.struct(F.coalesce(new, x).alias("text"), (new.isNotNull() & (new != x)).cast("int").alias("n"))
+        return F.when(x.rlike(f"^(?:{KINDS['ssn']})$"), struct(_ssn(key, x))) \
+            .when(x.rlike(f"^(?:{KINDS['phone']})$"), struct(_phone(key, x))).otherwise(_groups(key, x))
+
+    lead = F.regexp_extract(hit, r"^\+?", 0)
+    text = F.substr(hit, F.length(lead) + 1, F.length(hit))
+
+    def joined(news: Column) -> Column:
+        parts = F.zip_with(F.split(text, INNER, -1), news["text"], lambda p, n: F.array(p, F.coalesce(n, F.lit(""))))
+        return F.struct(F.concat(lead, F.array_join(F.flatten(parts), "")).alias("text"),
+                        F.aggregate(news["n"], F.lit(0), lambda t, n: t + n).alias("n"))
+    return _let(F.transform(F.regexp_extract_all(text, F.lit(INNER), F.lit(0)), one), joined)
+
+
+def _replaced(hit: Column, key: str) -> Column:
+    """struct(text, n): a find with its n values replaced."""
+    new = None
     for kind, replace in _REPLACE.items():
         test = hit.rlike(f"^(?:{KINDS[kind]})$")
-        out = F.when(test, replace(key, hit)) if out is None else out.when(test, replace(key, hit))
-    return F.coalesce(out, hit)
+        new = F.when(test, replace(key, hit)) if new is None else new.when(test, replace(key, hit))
+    return _let(new, lambda x: F.when(x.isNotNull(), F.struct(
+        x.alias("text"), (x != hit).cast("int").alias("n"))).otherwise(_again(key, hit)))
+
+
+def pseudonym(hit: Column, key: str = DEFAULT_KEY) -> Column:
+    """The pseudonym of a found value; the value itself if it does not validate."""
+    return _replaced(hit, key)["text"]
 
 
 def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text",
@@ -308,12 +382,12 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
     """
     text = F.col(text_col)
     hits = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
-    news = F.transform("__pii_hits", lambda h: pseudonym(h, key))
+    news = F.transform("__pii_hits", lambda h: _replaced(h, key))
     parts = F.split(text, PATTERN, -1)
     joined = F.array_join(F.flatten(F.zip_with(
-        parts, F.col("__pii_news"), lambda p, n: F.array(p, F.coalesce(n, F.lit(""))))), "")
+        parts, F.col("__pii_news.text"), lambda p, n: F.array(p, F.coalesce(n, F.lit(""))))), "")
     out = docs.withColumn("__pii_hits", hits).withColumn("__pii_news", F.when(F.size("__pii_hits") > 0, news))
     if count_col is not None:
-        changed = F.size(F.filter(F.zip_with("__pii_hits", "__pii_news", lambda a, b: a != b), lambda x: x))
+        changed = F.aggregate("__pii_news.n", F.lit(0), lambda t, n: t + n)
         out = out.withColumn(count_col, F.when(F.col("__pii_news").isNotNull(), changed).otherwise(0))
     return out.withColumn(text_col, F.when(F.col("__pii_news").isNotNull(), joined).otherwise(text)).drop("__pii_hits", "__pii_news")

@@ -140,6 +140,27 @@ def test_no_phone_of_the_documents_survives(spark, sf_dir):
         assert not set(before[r.doc_id]) & set(form.findall(r.text or ""))
 
 
+def test_neighbouring_values_are_found(spark):
+    cards = ["4111 1111 1111 1111", "3782 822463 10005", "4111111111111111"]
+    phones = ["415-555-0100", "212-555-0199", "+14155550100"]
+    texts = [f"{a}{sep}{b}" for a in [*cards, *phones, "5", "1234"] for b in [*cards, *phones] for sep in (" ", ", ", " / ")]
+    texts += ["ref 5 4111 1111 1111 1111 6", "AB12 4111 1111 1111 1111", "415-555-0100 12", "123-45-6789 4111 1111 1111 1111",
+              "4111 1111 1111 1111 123-45-6789", "4111 1111 1111 1111 10.1.2.3", "415-555-0100 212.555.0199",
+              "4111-1111-1111-1111 415-555-0100 212-555-0199", "6 6011 0009 9013 9424 2021-03-04"]
+    values = [*cards, *phones, "123-45-6789", "10.1.2.3", "212.555.0199", "6011 0009 9013 9424", "2021-03-04"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.pseudonymise(df, "k", count_col="n_replaced").collect():
+        old = texts[r.doc_id]
+        if "10.1.2.3" not in old:
+            assert re.sub(r"\d", "9", r.text) == re.sub(r"\d", "9", old)
+        held = [v for v in values if re.search(rf"(?<![\d+]){re.escape(v)}(?!\d)", old)]
+        assert held and not [v for v in held if v in r.text], (old, r.text)
+        assert r.n_replaced >= 1
+    rows = {r.doc_id: r for r in pii.pseudonymise(df, "k", count_col="n_replaced").collect()}
+    two = texts.index("415-555-0100 212-555-0199")
+    assert rows[two].n_replaced == 2
+
+
 def test_no_python_in_the_plan(spark):
     plan = pii.pseudonymise(odd_documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
