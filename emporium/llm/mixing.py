@@ -74,9 +74,9 @@ def targets(sized: DataFrame, s: Settings) -> DataFrame:
     while weights:  # ends: each round stops more sources, or none
         above = F.col("weight") * F.lit(unit) > stop
         row = weighed.agg(F.sum(F.when(above, stop)), F.sum(F.when(~above, F.col("weight")))).first()
-        if (row[0] or 0.0) == held:
+        if (row[0] or 0.0, row[1]) == (held, weights):
             break
-        held, weights = row[0], row[1]
+        held, weights = row[0] or 0.0, row[1]
         unit = (s.share * words - held) / weights if weights else float("inf")
     return weighed.select("source", "source_size",
                           F.least(F.col("weight") * F.lit(unit), stop).alias("target"))
@@ -137,6 +137,6 @@ def mix(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id", text_
     """The mix itself: every row of ``docs``, all its columns, as often as it is taken."""
     sized = _sized(docs, s, id_col, text_col, source_col)
     figures = rates(scratch_table(sized, "mix-sizes"), s)
-    whole = _sized(docs, s, id_col, text_col, source_col, F.struct(*docs.columns).alias("_row"))
+    whole = _sized(docs, s, id_col, text_col, source_col, F.expr("struct(*)").alias("_row"))
     taken = join_rates(whole, figures).withColumn("_copies", copies()).where("_copies > 0")
     return taken.select("_row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select("_row.*")
