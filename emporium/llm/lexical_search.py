@@ -47,7 +47,8 @@ class Settings:
     k: int = 50
     depth: int = 64  # postings of each list read in the first round
     deeper: int = 4  # by how much the depth grows a round
-    shard_postings: int = 1 << 20
+    chunk_bytes: int = 1 << 18  # bytes of text that a task tokenises at once
+    shard_postings: int = 1 << 19
     first: int = 16
     block_chars: int = 4_000_000
     block_items: int = 20_000
@@ -74,13 +75,13 @@ class Items:
         self.terms = [np.unique(x) for x in np.split(at, np.cumsum(n)[:-1])] if texts else []
 
 
-def _postings(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
+def _postings(docs: DataFrame, vocabulary: np.ndarray, s: Settings) -> DataFrame:
     """(doc_id, n, term, tf): a document's number of terms and those of the vocabulary."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = string_buffers(b.column("text"))
-            for i, j, part, offs in chunks(data, offsets):
+            for i, j, part, offs in chunks(data, offsets, s.chunk_bytes):
                 h, n = text_terms(part, offs)
                 at = np.minimum(np.searchsorted(vocabulary, h), max(0, len(vocabulary) - 1))
                 hit = vocabulary[at] == h if len(vocabulary) else np.zeros(len(h), bool)
@@ -225,7 +226,7 @@ def _rank_block(docs: DataFrame, block: DataFrame, s: Settings) -> DataFrame:
     # at most about block_chars characters and block_items rows
     rows = block.orderBy("item_id", "text").collect()
     items = Items([r.text for r in rows])
-    postings = scratch_table(_postings(docs, items.vocabulary), "nra-postings")
+    postings = scratch_table(_postings(docs, items.vocabulary, s), "nra-postings")
     n_docs, n_terms = postings.agg(F.count_if(F.col("n") > 0), F.sum("n")).first()
     counts = np.zeros(len(items.vocabulary), np.int64)
     for r in postings.select(F.explode("term").alias("t")).groupBy("t").count().collect():  # of the block's terms
