@@ -30,8 +30,9 @@ ROUNDS = 8
 DEFAULT_KEY = "set a secret key for real data"
 
 # The written forms, in order of precedence (Java regular expressions).
+# Repeated groups have a fixed width, are possessive or bounded: others recurse for each turn.
 KINDS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-](?:(?!\.\.)[A-Za-z0-9.-])*\.[A-Za-z]{2,}",
     "ipv4": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-]|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -45,6 +46,9 @@ PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 #: How cards are written; what a find that does not validate is searched for.
 CARD_FORMS = r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})(?!\d)"
 INNER = "|".join(f"(?:{KINDS[k]})" for k in ("ssn", "card", "phone"))
+#: A run of groups of digits, and as many of them as any value has and more.
+BLOCK = r"(?:\d++[ -]?+){1,64}"
+AHEAD = r"^[ -]?(?:\d++[ -]){8}"
 
 
 def _long(c: Column) -> Column:
@@ -90,11 +94,13 @@ def _feistel_text(key: str, kind: str, text: Column) -> Column:
     half = F.floor(F.length(text) / 2).cast("int")
 
     def moved(own: Column, other: Column, turn: Column) -> Column:
-        def one(c: Column, i: Column) -> Column:
-            digest = _digest(key, kind, turn, F.concat(F.lower(other), F.lit("|"),
-                                                       F.floor(i / 15).cast("string")))
-            return _shift(c, _number(digest, (i % 15) * 4 + 1, 4))
-        return F.array_join(F.transform(F.filter(F.split(own, ""), lambda c: c != ""), one), "")
+        def with_seed(seed: Column) -> Column:
+            def one(c: Column, i: Column) -> Column:
+                digest = _digest(key, kind, turn, F.concat(seed, F.lit("|"), F.floor(i / 15).cast("string")))
+                return _shift(c, _number(digest, (i % 15) * 4 + 1, 4))
+            return F.array_join(F.transform(F.filter(F.split(own, ""), lambda c: c != ""), one), "")
+        # of the other half as a whole, so that long strings take linear time
+        return _let(F.sha2(F.lower(other), 256), with_seed)
 
     def turn(s: Column, i: Column) -> Column:
         return F.when(i % 2 == 0, F.struct(moved(s["l"], s["r"], i).alias("l"), s["r"].alias("r"))
@@ -312,17 +318,30 @@ def _groups(key: str, hit: Column) -> Column:
                 new.isNotNull(), F.struct(F.length(x).alias("len"), new.alias("new"))))))
         return F.coalesce(image(card, _card), image(date, _date), image(ssn, _ssn), image(phone, _phone))
 
-    def step(s: Column, _: Column) -> Column:
+    def step(s: Column, final: Column) -> Column:
         group = F.regexp_extract(s["rest"], r"^\d*[ -]?", 0)
-        return F.when(s["rest"] == "", s).otherwise(_let(found(s["rest"], F.right(s["text"], F.lit(1))), lambda f: F.struct(
-            F.concat(s["text"], F.coalesce(f["new"], group)).alias("text"),
-            (s["n"] + F.when(f.isNotNull(), 1).otherwise(0)).alias("n"),
-            F.substr(s["rest"], F.coalesce(f["len"], F.length(group)) + 1, F.length(s["rest"])).alias("rest"))))
-
-    # A value ends before a separator, which then is a step of its own.
-    steps = F.size(F.split(hit, "[ -]")) * 2
-    scan = F.aggregate(F.sequence(F.lit(1), steps),
-                       F.struct(F.lit("").alias("text"), F.lit(0).alias("n"), hit.alias("rest")), step)
+        waits = ~final & ~s["rest"].rlike(AHEAD)  # a value may run on into the next block
+        return F.when((s["rest"] == "") | waits, s).otherwise(
+            _let(found(s["rest"], s["after"]), lambda f: _let(F.coalesce(f["new"], group), lambda new: F.struct(
+                F.concat(s["text"], new).alias("text"),
+                (s["n"] + F.when(f.isNotNull(), 1).otherwise(0)).alias("n"),
+                F.substr(s["rest"], F.coalesce(f["len"], F.length(group)) + 1, F.length(s["rest"])).alias("rest"),
+                F.right(new, F.lit(1)).alias("after")))))
+
+    def block(s: Column, b: Column) -> Column:
+        def scan(rest: Column) -> Column:
+            # A value ends before a separator, which then is a step of its own.
+            start = F.struct(F.lit("").alias("text"), s["n"].alias("n"), rest.alias("rest"), s["after"].alias("after"))
+            return F.aggregate(F.sequence(F.lit(1), F.size(F.split(rest, "[ -]")) * 2), start,
+                               lambda x, _: step(x, b == ""))
+        return _let(_let(F.concat(s["rest"], b), scan), lambda x: F.struct(
+            F.concat(s["parts"], F.array(x["text"])).alias("parts"), x["n"].alias("n"), x["rest"].alias("rest"),
+            x["after"].alias("after")))
+
+    # Block by block of groups, the end marked by an empty one: the time is linear in the text.
+    blocks = F.concat(F.regexp_extract_all(hit, F.lit(BLOCK), F.lit(0)), F.array(F.lit("")))
+    scanned = F.aggregate(blocks, F.struct(F.array(F.lit("")).cast("array<string>").alias("parts"), F.lit(0).alias("n"),
+                                           F.lit("").alias("rest"), F.lit("").alias("after")), block)
     digits = F.length(_only(hit, "0-9"))
     whole = F.when(digits.between(13, 19), _card(key, hit))
     one = hit.rlike(r"^\d+(?:([ -])\d+(?:\1\d+)*)?$")
@@ -331,9 +350,9 @@ def _groups(key: str, hit: Column) -> Column:
         return F.struct(new.alias("text"), F.lit(1).alias("n"))
 
     def chosen(w: Column) -> Column:
-        return F.when(w.isNotNull() & one, card(w)).otherwise(_let(scan, lambda s: F.when(
+        return F.when(w.isNotNull() & one, card(w)).otherwise(_let(scanned, lambda s: F.when(
             (s["n"] == 0) & w.isNotNull(), card(w)).otherwise(
-                F.struct(F.concat(s["text"], s["rest"]).alias("text"), s["n"].alias("n")))))
+                F.struct(F.array_join(s["parts"], "").alias("text"), s["n"].alias("n")))))
     return _let(whole, chosen)
 
 
@@ -380,14 +399,17 @@ def pseudonymise(docs: DataFrame, key: str = DEFAULT_KEY, text_col: str = "text"
 
     ``count_col`` names a column for the number of values replaced in the row.
     """
+    taken = {c.lower() for c in [*docs.columns, count_col or ""]}
+    found, new = (next(n for n in (f"{name}_{i}" for i in range(len(taken) + 1)) if n not in taken)
+                  for name in ("pii_found", "pii_new"))
     text = F.col(text_col)
     hits = F.when(text.rlike("[0-9@]"), F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0)))
-    news = F.transform("__pii_hits", lambda h: _replaced(h, key))
+    news = F.transform(found, lambda h: _replaced(h, key))
     parts = F.split(text, PATTERN, -1)
     joined = F.array_join(F.flatten(F.zip_with(
-        parts, F.col("__pii_news.text"), lambda p, n: F.array(p, F.coalesce(n, F.lit(""))))), "")
-    out = docs.withColumn("__pii_hits", hits).withColumn("__pii_news", F.when(F.size("__pii_hits") > 0, news))
+        parts, F.col(f"{new}.text"), lambda p, n: F.array(p, F.coalesce(n, F.lit(""))))), "")
+    out = docs.withColumn(found, hits).withColumn(new, F.when(F.size(found) > 0, news))
     if count_col is not None:
-        changed = F.aggregate("__pii_news.n", F.lit(0), lambda t, n: t + n)
-        out = out.withColumn(count_col, F.when(F.col("__pii_news").isNotNull(), changed).otherwise(0))
-    return out.withColumn(text_col, F.when(F.col("__pii_news").isNotNull(), joined).otherwise(text)).drop("__pii_hits", "__pii_news")
+        changed = F.aggregate(f"{new}.n", F.lit(0), lambda t, n: t + n)
+        out = out.withColumn(count_col, F.when(F.col(new).isNotNull(), changed).otherwise(0))
+    return out.withColumn(text_col, F.when(F.col(new).isNotNull(), joined).otherwise(text)).drop(found, new)

@@ -1,6 +1,7 @@
 import hashlib
 import ipaddress
 import re
+import time
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -161,6 +162,32 @@ def test_neighbouring_values_are_found(spark):
     assert rows[two].n_replaced == 2
 
 
+def test_very_long_finds_take_linear_time_and_do_not_crash(spark):
+    n = 100_000
+    labels, groups = "see someone@" + "b." * n + "com now", " ".join(str(i % 100) for i in range(n))
+    phones = " ".join(["415-555-0100", "7", "4111 1111 1111 1111"] * 3000)
+    texts = [labels, groups, phones, "x" * n + "@" + "y" * n + ".org", "anna@b..com anna@b.com..x anna@b.com-x anna@b.c1.com"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: r for r in pii.pseudonymise(df, "k", count_col="n").collect()}
+    assert time.time() - began < 90
+    assert got[0].n == 1 and got[0].text.endswith("@" + "b." * n + "com now") and got[0].text != labels
+    assert got[1].text == groups
+    assert got[2].n == 6000 and "415-555-0100" not in got[2].text and "4111 1111" not in got[2].text
+    assert got[2].text == " ".join([re.match(r"\S+ 7 \S+ \S+ \S+ \S+", got[2].text)[0]] * 3000)
+    assert got[3].n == 1 and len(got[3].text) == len(texts[3])
+    assert got[4].n == 3 and got[4].text.startswith("anna@b..com ")
+
+
+def test_columns_of_any_name_stay(spark):
+    df = spark.createDataFrame([(1, "call 415-555-0100", "a", "b", "c")],
+                               "doc_id long, text string, pii_found_0 string, PII_NEW_0 string, __pii_hits string")
+    out = pii.pseudonymise(df, "k")
+    assert out.columns == df.columns
+    row = out.collect()[0]
+    assert tuple(row)[2:] == ("a", "b", "c") and row.text != "call 415-555-0100"
+
+
 def test_no_python_in_the_plan(spark):
     plan = pii.pseudonymise(odd_documents(spark))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
