@@ -13,8 +13,7 @@ by the stretch, without any passage having been labelled.
 
 The model is fitted on a bounded sample: at most ``sample_rows`` labelled rows
 outside the held-out fold (those of the smallest hashed ids), each distinct text
-once, with at most ``train_passages`` evenly spaced passages each.  Scoring
-reads all passages of every text.  Labels, language, source and id are never
+once.  Training and scoring read all passages of every text.  Labels, language, source and id are never
 inputs of a score.
 
 Defined results: null and empty texts are one passage of zeros and get its
@@ -155,8 +154,8 @@ def _train(x: np.ndarray, own: np.ndarray, y: np.ndarray, hidden: int, epochs: i
     return p | {"mean": mean, "scale": scale}
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, train_passages: int = 64,
-        folds: int = 3, held: int = 1, hidden: int = 16, epochs: int = 6, seed: int = 7) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, folds: int = 3,
+        held: int = 1, hidden: int = 16, epochs: int = 6, seed: int = 7) -> Model:
     """Fit on a bounded sample of the labelled rows outside the held-out fold."""
     marks = (labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.min("quality").alias("y"))
@@ -173,14 +172,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 10_000, train_pas
                 x, own = encode(part, offs)
                 rows, at = [], 0
                 for n in own:
-                    pick = at + np.unique(np.linspace(0, n - 1, min(n, train_passages)).astype(np.int64))
-                    rows.append(x[pick].tobytes())
+                    rows.append(x[at:at + n].tobytes())
                     at += n
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id").slice(i, j - i), b.column("y").slice(i, j - i),
                      pa.array(rows, pa.binary())], names=["doc_id", "y", "x"])
 
-    # At most sample_rows rows of at most train_passages passages each.
+    # At most sample_rows rows, each with some 20 numbers for 64 words.
     got = (sample.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("y").cast("int").alias("y"), "text")
            .mapInArrow(local, "doc_id long, y int, x binary").orderBy("doc_id", "y").collect())
     y = np.array([float(r.y > 0) for r in got])
