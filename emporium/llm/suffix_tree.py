@@ -54,8 +54,6 @@ SIEVE_BITS = 27
 @dataclass(frozen=True)
 class Settings:
     depth: int = 3
-    symbols: int = 1 << 13  # bounded the alphabet once; without effect
-    contexts: int = 1 << 14  # bounded the contexts once; without effect
     entries: int = 1 << 21
     divergence: float = 0.02
     smoothing: float = 20.0
@@ -445,4 +443,6 @@ def score_documents(docs: DataFrame, s: Settings = Settings(), folds: int = 5, h
     """Fit on the documents outside the held-out fold and score them all."""
     train = docs.where(fold("doc_id", folds) != held).select("text")
     tree, counts = fit(train, s)
-    return score(docs, tree, counts).withColumn("held_out", fold("doc_id", folds) == held)
+    return score(docs, tree, counts).select(
+        "doc_id", (fold("doc_id", folds) == held).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score")

@@ -27,7 +27,7 @@ def test_counts_and_base_scores_equal_brute_force(spark, sf_dir):
     for docs in (odd_documents(spark), read(spark, sf_dir, "documents")):
         rows = [(r.doc_id, r.text) for r in docs.collect()]
         # Few tokens travel to the tasks, so most counts are joined in.
-        got = suffix_tree.score_documents(docs, suffix_tree.Settings(entries=64, symbols=32, contexts=64)).collect()
+        got = suffix_tree.score_documents(docs, suffix_tree.Settings(entries=64)).collect()
         a = sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in got)
         for x, y in zip(a, sorted(base_of(rows)), strict=True):
             assert x[:4] == y[:4] and math.isclose(x[4], y[4], rel_tol=1e-9)
@@ -36,7 +36,7 @@ def test_counts_and_base_scores_equal_brute_force(spark, sf_dir):
 
 def test_states_sum_to_one_and_beat_the_base(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    tree, _ = suffix_tree.fit(docs.select("text"), suffix_tree.Settings(divergence=0.0, symbols=1 << 11, contexts=1 << 11))
+    tree, _ = suffix_tree.fit(docs.select("text"), suffix_tree.Settings(divergence=0.0))
     assert tree.retained.sum() > 20 and len(tree.steps) > 1
     root, symbols = tree.root(), np.arange(tree.n_symbols)
     for state in np.flatnonzero(tree.retained):
@@ -50,7 +50,7 @@ def test_log_ratios_equal_a_plain_tree(spark):
     """Scores by dictionaries over the same counts."""
     texts = ["a b a b a b c", "b a b a", "a b c a b c", "c c c a b", "a b"] * 6
     rows = list(enumerate(texts))
-    s = suffix_tree.Settings(depth=2, divergence=0.0, contexts=1 << 20, symbols=1 << 20)
+    s = suffix_tree.Settings(depth=2, divergence=0.0)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = suffix_tree.score_documents(docs, s, folds=1, held=1).collect()
     streams = [["^", *t.split(), "$"] for t in texts]
@@ -94,7 +94,7 @@ def test_a_phrase_seen_twice_is_learned_in_a_large_corpus(spark):
     rows = list(enumerate([phrase, phrase, *filler]))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     # Shares of 1 / 64 travel, and nothing of the phrase makes up such a share.
-    s = suffix_tree.Settings(symbols=64, contexts=64, entries=64)
+    s = suffix_tree.Settings(entries=64)
     got = {r.doc_id: r for r in suffix_tree.score_documents(docs, s, folds=1, held=1).collect()}
     assert got[0].score > got[0].base_score + 4
     full = {r.doc_id: r for r in suffix_tree.score_documents(docs, suffix_tree.Settings(), folds=1, held=1).collect()}
