@@ -6,9 +6,11 @@ its partition.  A single text longer than a chunk is handled as one chunk.
 """
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -75,6 +77,21 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``work`` for mapInArrow; at the end of a partition its worker, which Spark keeps
+    for later tasks, gives the memory that it no longer uses back to the system."""
+    @functools.wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+            if trim is not None:
+                trim(0)
+    return run
+
+
 def string_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column; a null text is an empty text."""
     if isinstance(col, pa.ChunkedArray):

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporium.llm.common import chunks, letter_runs, mix, span_hashes, string_buffers
+from emporium.llm.common import chunks, letter_runs, mix, span_hashes, string_buffers, tidy
 
 MIN_WORDS = 4
 _SIZES = (16, 8, 4)  # windows in words
@@ -267,7 +267,7 @@ def find(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings(), id_col
                                                            pa.int64(), pa.int64()))],
                     names=["doc_id", "item_id", "edits", "item_words", "start_word", "end_word"])
 
-        part = own.mapInArrow(search, schema)
+        part = own.mapInArrow(tidy(search), schema)
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -289,5 +289,5 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, s: Settings = Settings(),
                         clean[i + x[0]] = False
                 yield pa.RecordBatch.from_arrays(b.columns, names=names).filter(pa.array(clean))
 
-        docs = docs.mapInArrow(keep, schema)
+        docs = docs.mapInArrow(tidy(keep), schema)
     return docs

@@ -119,7 +119,7 @@ def signatures(docs: DataFrame, s: Settings, id_col: str = "doc_id", text_col: s
                     names=["doc_id", "n", "k1", "k2", "bands", "sketch"])
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(sign, "doc_id long, n long, k1 long, k2 long, bands array<long>, "
+            .mapInArrow(tidy(sign), "doc_id long, n long, k1 long, k2 long, bands array<long>, "
                               "sketch array<long>"))
 
 
@@ -222,7 +222,7 @@ def _sketched(pairs: DataFrame, sketch: DataFrame, percent: int) -> DataFrame:
             ).filter(pa.array(good))
 
     return (pairs.join(b, "doc_id").join(a, "leader").select("leader", "doc_id", "na", "nb", "a", "b")
-            .mapInArrow(keep, "u long, v long, near long"))
+            .mapInArrow(tidy(keep), "u long, v long, near long"))
 
 
 def _cross(band: DataFrame, label: DataFrame, rows: DataFrame, percent: int, bands: int) -> DataFrame:
@@ -290,7 +290,7 @@ def _cross(band: DataFrame, label: DataFrame, rows: DataFrame, percent: int, ban
             yield compare(pa.Table.from_batches(held))
 
     return (both.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-            .mapInArrow(meet, "u long, v long, near long"))
+            .mapInArrow(tidy(meet), "u long, v long, near long"))
 
 
 def groups(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from emporium.llm.common import _LOWER, chunks, scratch_table, span_hashes, string_buffers
+from emporium.llm.common import _LOWER, chunks, scratch_table, span_hashes, string_buffers, tidy
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PIECES_IDS = PIECES + ", ids array<int>"
@@ -205,7 +205,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: i
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(cut, PIECES_IDS if with_ids else PIECES))
+            .mapInArrow(tidy(cut), PIECES_IDS if with_ids else PIECES))
 
 
 class _Available:

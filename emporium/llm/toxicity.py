@@ -117,7 +117,7 @@ def _select_features(sample: DataFrame, n_features: int) -> np.ndarray:
                      pa.array(np.bincount(inverse, minlength=len(unique)).astype(np.int64))],
                     names=["h", "toxic", "n"])
 
-    counted = (sample.select("text", "y").mapInArrow(local, "h long, toxic long, n long")
+    counted = (sample.select("text", "y").mapInArrow(tidy(local), "h long, toxic long, n long")
                .groupBy("h").agg(F.sum("toxic").alias("a"), F.sum("n").alias("n")))
     size = sample.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("y") > 0).cast("long")).alias("t")).first()
     if not size.n or not size.t or size.t == size.n:
@@ -188,7 +188,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 20_000, n_feature
 
     # At most sample_rows rows of at most n_features kept features each.
     got = (sample.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("y").cast("int").alias("y"), "text")
-           .mapInArrow(local, "doc_id long, y int, f array<int>").orderBy("doc_id", "y").collect())
+           .mapInArrow(tidy(local), "doc_id long, y int, f array<int>").orderBy("doc_id", "y").collect())
     if not got:
         return Model(hashes, np.zeros(len(hashes)), np.zeros(0))
     rows = [np.array(r.f, np.int64) for r in got]
@@ -226,7 +226,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
                 names=["doc_id", "severity", "p_toxic", "grade", "rejected"])
 
     return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-            .mapInArrow(judge, "doc_id long, severity double, p_toxic double, grade int, rejected boolean"))
+            .mapInArrow(tidy(judge), "doc_id long, severity double, p_toxic double, grade int, rejected boolean"))
 
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -244,4 +244,4 @@ def keep_clean(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
             p = model.probabilities(total) if len(model.thresholds) else np.zeros((b.num_rows, 1))
             yield pa.RecordBatch.from_arrays(b.columns, names=names).filter(pa.array(p[:, 0] < 0.5))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(tidy(keep), docs.schema)
