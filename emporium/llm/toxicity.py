@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporium.llm.common import (chunks, distinct_per_text, fold, letter_runs, mix, scratch_table, signed,
-                                 span_hashes, string_buffers)
+                                 span_hashes, string_buffers, tidy)
 
 GRADES = 3
 _PREFIXES = (4, 6)
