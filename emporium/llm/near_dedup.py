@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporium.llm.common import (chunks, distinct_per_text, mix, scratch_table, sequence_hashes, signed,
-                                 string_buffers, word_hashes)
+                                 string_buffers, word_hashes, tidy)
 from emporium.llm.components import components
 
 SAMPLES = 4096  # bins of the one-permutation MinHash behind the sketch
