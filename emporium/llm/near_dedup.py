@@ -325,5 +325,5 @@ def keep_one(docs: DataFrame, s: Settings = Settings(), id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all their columns, but for the documents of a group
     that are not its smallest id.  Rows without an id stay."""
-    gone = groups(docs, s, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    gone = groups(docs, s, id_col, text_col).where(~F.col("kept")).select("doc_id")
+    return docs.join(gone, docs[id_col].cast("long") == gone["doc_id"], "left_anti")

@@ -187,7 +187,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, end_id: i
         for b in batches:
             data, offsets = string_buffers(b.column("text"))
             doc_ids = b.column("doc_id").to_pylist()
-            for i, j, part, offs in chunks(data, offsets, 4 << 20):
+            for i, j, part, offs in chunks(data, offsets, 1 << 19):
                 rows: list[tuple] = []
                 for doc, ids in zip(doc_ids[i:j], ids_of(part, offs)):
                     ids = np.append(ids, np.uint32(end_id)).astype("<u4")
