@@ -39,7 +39,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PIECES_IDS = PIECES + ", ids array<int>"
 #: Word parts that a worker keeps with their ids (about 30 bytes each); when it
 #: holds more, it starts anew.  This bounds memory and changes no result.
-CACHE_PARTS = 2_000_000
+CACHE_PARTS = 500_000
 
 _STATE: dict = {}
 
