@@ -36,10 +36,43 @@ def surrogate_key(df: DataFrame, cols: Sequence[str]) -> Column:
     return F.md5(F.concat_ws(SEP, *parts))
 
 
-def _null_safe_equal(cols: Sequence[str], left: str, right: str) -> Column:
-    return reduce(lambda a, b: a & b,
-                  [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols],
-                  F.lit(True))
+def all_of(conditions: Sequence[Column]) -> Column:
+    return reduce(lambda a, b: a & b, conditions, F.lit(True))
+
+
+def null_safe_equal(cols: Sequence[str], left: str, right: str) -> Column:
+    return all_of([F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in cols])
+
+
+def _one_row_a_key(current: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``current``; a key that it holds twice raises when the result is computed.
+
+    Counted map-side, at most one row a key after it."""
+    counted = current.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    twins = counted.where(F.col("_n") > 1).agg(F.count(F.lit(1)).alias("n")).scalar()
+    return current.where(F.when(twins > 0, F.raise_error(F.lit("duplicate keys in the snapshot's input")))
+                         .otherwise(F.lit(True)))
+
+
+def changed_versions(open_rows: DataFrame, current: DataFrame, key: Sequence[str], changed: Column,
+                     valid_from: Column, data_cols: Sequence[str], schema: T.StructType) -> DataFrame:
+    """What a snapshot run changes, in ``schema``: the versions that end (``valid_to`` set) and
+    those that begin, of changed and new keys.
+
+    ``changed`` and ``valid_from`` are written over ``h`` (open row) and ``c`` (current row)."""
+    types = {f.name: f.dataType for f in schema.fields}
+    h, c = open_rows.withColumn("_h", F.lit(True)).alias("h"), _one_row_a_key(current, key).alias("c")
+    j = c.join(h, null_safe_equal(key, "h", "c"), "left")
+    is_new = F.col("h._h").isNull()
+    start = valid_from.cast(types["valid_from"])
+    none = F.lit(None).cast(types["valid_from"])
+    old = F.struct(*[F.col(f"h.{x}").cast(types[x]).alias(x) for x in data_cols], F.col("h.valid_from").alias("valid_from"),
+                   start.alias("valid_to"), F.col("h.scd_id").alias("scd_id"))
+    new = F.struct(*[F.col(f"c.{x}").cast(types[x]).alias(x) for x in data_cols], start.alias("valid_from"),
+                   none.alias("valid_to"), F.lit(None).cast("string").alias("scd_id"))
+    rows = (j.where(is_new | F.coalesce(changed, F.lit(False)))
+            .select(F.explode(F.when(is_new, F.array(new)).otherwise(F.array(old, new))).alias("v")).select("v.*"))
+    return rows.withColumn("scd_id", F.coalesce("scd_id", surrogate_key(rows, [*key, "valid_from"])))
 
 
 def _snapshot(history: DataFrame | None, current: DataFrame, key: Sequence[str],
@@ -53,11 +86,7 @@ def _snapshot(history: DataFrame | None, current: DataFrame, key: Sequence[str],
     """
     key, data_cols = list(key), list(keep_cols)
     cols = [*data_cols, "valid_from", "valid_to", "scd_id"]
-    # The twin of a key raises: counted map-side, at most one row a key after it.
-    counted = current.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-    twins = counted.where(F.col("_n") > 1).agg(F.count(F.lit(1)).alias("n")).scalar()
-    current = current.where(F.when(twins > 0, F.raise_error(F.lit("duplicate keys in the snapshot's input")))
-                            .otherwise(F.lit(True)))
+    current = _one_row_a_key(current, key)
     if history is None:
         new = current.alias("c").select(*[F.col(f"c.{x}") for x in data_cols],
                                         valid_from.alias("valid_from"))
@@ -99,7 +128,7 @@ def scd2_timestamp(history: DataFrame | None, current: DataFrame, key: Sequence[
 def scd2_check(history: DataFrame | None, current: DataFrame, key: Sequence[str],
                check_cols: Sequence[str], as_of: str) -> DataFrame:
     """H2: new version when any ``check_cols`` differs (NULL-safe); opened at ``as_of``."""
-    changed = ~_null_safe_equal(check_cols, "h", "c")
+    changed = ~null_safe_equal(check_cols, "h", "c")
     return _snapshot(history, current, key, changed,
                      F.lit(as_of).cast("timestamp_ntz"), current.columns)
 

@@ -8,7 +8,9 @@ from emporium.operators import gold as G
 from emporium.operators import orders as O
 from emporium.operators import scd2, staging
 from emporium.plans.catalog import query
+from emporium.session import scratch_path
 from emporium.sources import binding
+from emporium.sources.history_table import HistoryTable
 
 # ---------------------------------------------------------------- staging --
 query("t1_dedupe_items", "SELECT * FROM s_items")(
@@ -109,10 +111,12 @@ def h1_scd2_timestamp_geolocation(c):
         c.src.geolocation.filter(F.col("updated_at") < F.lit("2024-01-04").cast("timestamp_ntz")),
         ["geolocation_zip_code_prefix"], [("updated_at", True), ("batched_at", True)],
         descending=True)
-    first = scd2.scd2_timestamp(None, early, ["geolocation_zip_code_prefix"], "updated_at")
-    second = scd2.scd2_timestamp(first, staging.stg_geolocation(c.src),
-                                 ["geolocation_zip_code_prefix"], "updated_at")
-    return second.drop("scd_id")
+    current = staging.stg_geolocation(c.src)
+    history = HistoryTable(c.spark, scratch_path(c.spark, "geo-history"), current.schema,
+                           ["geolocation_zip_code_prefix"], buckets=16)
+    history.run_timestamp(early, "updated_at", "run-1")
+    history.run_timestamp(current, "updated_at", "run-2")
+    return history.read().drop("scd_id")
 
 
 @query("h2_scd2_check_products", """
@@ -135,10 +139,30 @@ SELECT count(*) AS versions, count(*) AS open_versions FROM b_products_v1
 def h2_scd2_check_idempotent(c):
     """Re-running a snapshot with unchanged input adds no version."""
     cur = staging.stg_products(c.src, current=False)
-    first = scd2.scd2_check(None, cur, ["product_id"], G.PRODUCT_ATTRS, binding.PRODUCTS_V1_AT)
-    again = scd2.scd2_check(first, cur, ["product_id"], G.PRODUCT_ATTRS, binding.PRODUCTS_V2_AT)
-    return again.agg(F.count(F.lit(1)).alias("versions"),
-                     F.count(F.when(F.col("valid_to").isNull(), 1)).alias("open_versions"))
+    history = HistoryTable(c.spark, scratch_path(c.spark, "product-history"), cur.schema, ["product_id"], buckets=16)
+    history.run_check(cur, G.PRODUCT_ATTRS, binding.PRODUCTS_V1_AT, "run-1")
+    history.run_check(cur, G.PRODUCT_ATTRS, binding.PRODUCTS_V2_AT, "run-2")
+    return history.read().agg(F.count(F.lit(1)).alias("versions"),
+                              F.count(F.when(F.col("valid_to").isNull(), 1)).alias("open_versions"))
+
+
+@query("h2_scd2_check_history_table", """
+SELECT * EXCLUDE (_pk), TIMESTAMP '2024-01-01 00:00:00' AS valid_from,
+       CASE WHEN _pk % 5 = 0 THEN TIMESTAMP '2024-01-15 00:00:00' END AS valid_to,
+       md5(concat_ws('␟', product_id, CAST(epoch_us(TIMESTAMP '2024-01-01 00:00:00') AS VARCHAR))) AS scd_id
+FROM b_products_v1
+UNION ALL
+SELECT *, TIMESTAMP '2024-01-15 00:00:00', CAST(NULL AS TIMESTAMP),
+       md5(concat_ws('␟', product_id, CAST(epoch_us(TIMESTAMP '2024-01-15 00:00:00') AS VARCHAR)))
+FROM b_products_v2 WHERE CAST(product_id AS BIGINT) % 5 = 0
+""")
+def h2_scd2_check_history_table(c):
+    """Two snapshot runs that write open rows of changed keys and append closed ones."""
+    first = staging.stg_products(c.src, current=False)
+    history = HistoryTable(c.spark, scratch_path(c.spark, "product-history"), first.schema, ["product_id"], buckets=16)
+    history.run_check(first, G.PRODUCT_ATTRS, binding.PRODUCTS_V1_AT, "run-1")
+    history.run_check(staging.stg_products(c.src, current=True), G.PRODUCT_ATTRS, binding.PRODUCTS_V2_AT, "run-2")
+    return history.read()
 
 
 @query("h3_validity_reviews", """

@@ -13,6 +13,7 @@ from emporium.operators import monitor as MO
 from emporium.plans.catalog import query
 from emporium.session import scratch_path
 from emporium.sources import io
+from emporium.sources.keyed_table import KeyedTable
 from emporium.streaming.upsert_stream import stream_upsert
 
 ORDERS_SCHEMA = ("order_id string, customer_id string, order_status string, "
@@ -72,13 +73,17 @@ SELECT * FROM tgt WHERE review_id NOT IN (SELECT review_id FROM dd)
 UNION ALL SELECT * FROM dd
 """)
 def s5_upsert(c):
-    keys, order = ["review_id"], [("review_answer_timestamp", True)]
-    target = io.upsert(c.spark.createDataFrame([], c.src.order_reviews.schema),
-                       _first_load(c), keys, order)
+    """A table in key buckets: first load, then an increment, which is replayed."""
+    table = KeyedTable(c.spark, scratch_path(c.spark, "reviews"), c.src.order_reviews.schema, ["review_id"], 16)
+    order = [("review_answer_timestamp", True)]
+    table.upsert(_first_load(c), "load-1", order)
     _, state = io.incremental_read(_first_load(c), "review_answer_timestamp", None)
     delta, _ = io.incremental_read(c.src.order_reviews, "review_answer_timestamp", state)
-    once = io.upsert(target, delta, keys, order)
-    return io.upsert(once, delta, keys, order)  # applied twice: idempotent
+    table.upsert(delta, "load-2", order)
+    table.upsert(delta, "load-2", order)  # committed before: nothing happens
+    table.upsert(delta, "load-3", order)  # the same rows again: idempotent
+    table.vacuum()
+    return table.read()
 
 
 _NEWEST = """QUALIFY row_number() OVER (PARTITION BY {keys}
@@ -134,6 +139,16 @@ def s7_s10_load_and_reconcile(c):
     return io.reconcile_counts(sources, loaded)
 
 
+@query("s9_batched_load", """
+SELECT count(*) AS rows, CAST(1 AS BIGINT) AS whole_files FROM b_orders
+""")
+def s9_batched_load(c):
+    """Orders loaded in files of at most 100 rows: all rows, and no file with more."""
+    path = io.load_all({"orders": c.src.orders}, scratch_path(c.spark, "batched"), max_records_per_file=100)["orders"]
+    files = c.spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n"))
+    return files.agg(F.sum("n").alias("rows"), F.min((F.col("n") <= 100).cast("long")).alias("whole_files"))
+
+
 @query("s8_flatten", """
 SELECT order_id, order_purchase_timestamp AS dates__purchase,
        order_approved_at AS dates__handling__approved,

@@ -6,7 +6,6 @@ nothing is collected to the driver except counts and schemas.
 """
 from __future__ import annotations
 
-import time
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporium.operators.staging import dedupe_latest
+from emporium.sources import versioned
 
 
 # ---------------------------------------------------------------- S1, S2 ----
@@ -100,17 +100,18 @@ def append_history(df: DataFrame, batch_ts: str, path: str, col: str = "batched_
 
 # ---------------------------------------------------------------- S7 – S11 ----
 def load_all(tables: Mapping[str, DataFrame], base: str, fmt: str = "parquet",
-             max_records_per_file: int = 0) -> dict[str, str]:
-    """S7 + S9: write each source to ``base/<bronze name>`` (one job per table).
+             max_records_per_file: int = 0, keep: int = 2) -> dict[str, str]:
+    """S7 + S9: write each source as the next version of ``base/<bronze name>`` (one job
+    per table) and return the versions' folders.
 
-    ``max_records_per_file`` cuts files at so many rows (0: only by partition).
+    ``max_records_per_file`` cuts files at so many rows (0: only by partition).  A failed
+    load leaves the table as it was; versions beyond the newest ``keep`` are removed.
     """
     out = {}
     for name, df in tables.items():
-        path = f"{base.rstrip('/')}/{name}"
-        (df.write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
-         .format(fmt).save(path))
-        out[name] = path
+        target = f"{base.rstrip('/')}/{name}"
+        out[name] = versioned.write_version(df, target, fmt=fmt, options={"maxRecordsPerFile": max_records_per_file})
+        versioned.drop_versions(df.sparkSession, target, keep)
     return out
 
 
@@ -142,40 +143,40 @@ def reconcile_counts(sources: Mapping[str, DataFrame], tables: Mapping[str, Data
     return j.select("table", "src_n", "tgt_n", status.alias("status"))
 
 
-def materialize(df: DataFrame, name: str, layer: str, base: str | None = None) -> DataFrame:
-    """Stage → temp view (lazy); gold → written table (parquet) read back."""
+def materialize(df: DataFrame, name: str, layer: str, base: str | None = None, keep: int = 2) -> DataFrame:
+    """Stage → temp view (lazy); gold → written as the table's next version and read back.
+
+    Readers of an earlier version go on with it; those beyond the newest ``keep`` are removed."""
     if layer == "stage":
         df.createOrReplaceTempView(name)
         return df.sparkSession.table(name)
     if base is None:
         raise ValueError("a base path is required for materialised layers")
-    path = f"{base.rstrip('/')}/{layer}/{name}"
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    target = f"{base.rstrip('/')}/{layer}/{name}"
+    path = versioned.write_version(df, target)
+    versioned.drop_versions(df.sparkSession, target, keep)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 # ---------------------------------------------------------------- S12 – S16 ----
 def cached(spark: SparkSession, name: str, build, base: str, ttl_seconds: float = 3600.0,
            force: bool = False, offline: bool = False) -> DataFrame:
-    """Named result cache as parquet with a time-to-live and a force switch.
+    """Named result cache as parquet with a time-to-live and a force switch; a build
+    that fails leaves the last result.
 
     ``offline`` never builds: it reads what is cached, however old, and raises if
     there is nothing.
     """
-    path = f"{base.rstrip('/')}/cache/{name}"
-    meta = f"{path}/_SUCCESS"
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(meta)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fresh = False
-    if fs.exists(jvm_path) and not force:
-        age = time.time() - fs.getFileStatus(jvm_path).getModificationTime() / 1000.0
-        fresh = age <= ttl_seconds
+    target = f"{base.rstrip('/')}/cache/{name}"
+    last = versioned.newest(spark, target)
+    fresh = last is not None and not force and versioned.age_seconds(spark, last) <= ttl_seconds
     if offline:
-        if not fs.exists(jvm_path):
-            raise FileNotFoundError(f"nothing cached under {path}")
+        if last is None:
+            raise FileNotFoundError(f"nothing cached under {target}")
     elif not fresh:
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        last = versioned.write_version(build(), target)
+        versioned.drop_versions(spark, target, 2)
+    return spark.read.parquet(last)
 
 
 def seed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:

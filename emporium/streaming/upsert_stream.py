@@ -2,16 +2,14 @@
 
 New files in a source folder are read as a stream (``availableNow``: process what
 is there, then stop — the nightly-batch shape), and every micro-batch is merged by
-key into a versioned target.  A version is a folder
-
-    v=<number>,q=<query id>,b=<batch id>
-
-whose number grows by one each time, whatever the stream's batch ids do; it is
-committed by its ``_SUCCESS`` file.  A batch reads the newest committed version and
-writes the next one, never the folder it reads.  A batch that is replayed after a
-crash either finds its own committed version and does nothing, or writes anew what
-was not committed.  A stream with a reset checkpoint has a new query id and goes on
-from the newest version: merging the same rows again changes nothing.
+key into a ``KeyedTable``: only the key buckets that the batch meets are read and
+written anew, and a manifest version commits them.
+
+A version names its writer, ``q=<query id>,b=<batch id>``.  A batch that is replayed
+after a crash either finds its own committed version and does nothing, or writes anew
+what was not committed.  A stream with a reset checkpoint has a new query id and goes on
+from the newest version: merging the same rows again changes nothing.  After each batch
+the versions beyond the newest ``keep`` go, with the data that only they list.
 """
 from __future__ import annotations
 
@@ -20,58 +18,33 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from emporium.sources.io import upsert
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def versions(spark: SparkSession, target: str) -> list[tuple[int, str, str]]:
-    """(number, writer, folder) of the committed versions, oldest first."""
-    p, fs = _fs(spark, target)
-    if not fs.exists(p):
-        return []
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(path(st.getPath(), "_SUCCESS")):
-            number, writer = name[2:].split(",", 1)
-            out.append((int(number), writer, f"{target.rstrip('/')}/{name}"))
-    return sorted(out)
+from emporium.sources.keyed_table import KeyedTable
 
 
-def read_target(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
+def read_target(spark: SparkSession, target: str, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
     """The newest committed version."""
-    done = versions(spark, target)
-    return spark.read.schema(schema).parquet(done[-1][2]) if done else spark.createDataFrame([], schema)
+    return KeyedTable(spark, target, schema, keys).read()
 
 
 def apply_batch(batch: DataFrame, target: str, writer: str, schema: T.StructType, keys: Sequence[str],
-                order_by: Sequence[str | tuple[str, bool]] | None = None) -> bool:
+                order_by: Sequence[str | tuple[str, bool]] | None = None, buckets: int = 64, keep: int = 2) -> bool:
     """Merge one micro-batch; ``writer`` names the stream and the batch.  False if it
     had been committed before."""
-    spark = batch.sparkSession
-    done = versions(spark, target)
-    if any(w == writer for _, w, _ in done):
+    table = KeyedTable(batch.sparkSession, target, schema, keys, buckets)
+    if not table.upsert(batch, writer, order_by):
         return False
-    number = done[-1][0] + 1 if done else 0
-    out = upsert(read_target(spark, target, schema), batch, keys, order_by)
-    out.write.mode("overwrite").parquet(f"{target.rstrip('/')}/v={number},{writer}")
+    table.vacuum(keep)
     return True
 
 
 def stream_upsert(spark: SparkSession, source_dir: str, target: str, checkpoint: str,
                   schema: T.StructType, keys: Sequence[str],
                   order_by: Sequence[str | tuple[str, bool]] | None = None,
-                  max_files_per_trigger: int | None = None) -> DataFrame:
+                  max_files_per_trigger: int | None = None, buckets: int = 64, keep: int = 2) -> DataFrame:
     """Run the stream to completion and return the current target table."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        apply_batch(batch, target, f"q={query},b={batch_id}", schema, keys, order_by)
+        apply_batch(batch, target, f"q={query},b={batch_id}", schema, keys, order_by, buckets, keep)
 
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger is not None:
@@ -80,4 +53,4 @@ def stream_upsert(spark: SparkSession, source_dir: str, target: str, checkpoint:
          .foreachBatch(apply).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return read_target(spark, target, schema)
+    return read_target(spark, target, schema, keys)
