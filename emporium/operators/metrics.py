@@ -160,12 +160,15 @@ RFM_SEGMENTS = ["Champions / Loyal", "Lapsing repeat", "New / recent (one-off)",
                 "Cooling one-off", "Dormant one-off"]
 
 
-def rfm_people(full: DataFrame, person: str = PERSON) -> DataFrame:
-    """A7 per person: recency vs the latest purchase in the data, frequency, monetary."""
+def rfm_people(full: DataFrame, person: str = PERSON, more: Sequence[Column] = ()) -> DataFrame:
+    """A7 per person: recency vs the latest purchase in the data, frequency, monetary.
+
+    ``more``: named aggregates that the same pass over the orders adds per person."""
     snap = full.agg(F.max("purchase_ts").alias("_snapshot"))
     per = full.filter(F.col(person).isNotNull()).groupBy(person).agg(
         F.max("purchase_ts").alias("last_ts"), _cnt().alias("frequency"),
-        F.coalesce(F.sum(F.col("gmv").cast("decimal(18,2)")), F.lit(0)).alias("monetary_d"))
+        F.coalesce(F.sum(F.col("gmv").cast("decimal(18,2)")), F.lit(0)).alias("monetary_d"), *more)
+    added = [c for c in per.columns if c not in (person, "last_ts", "frequency", "monetary_d")]
     per = attach_scalar(per, snap)
     rec = X.days_between("last_ts", "_snapshot", "floor")
     seg = (F.when((F.col("frequency") >= 2) & (F.col("recency") <= 120), RFM_SEGMENTS[0])
@@ -173,7 +176,7 @@ def rfm_people(full: DataFrame, person: str = PERSON) -> DataFrame:
            .when(F.col("recency") <= 90, RFM_SEGMENTS[2])
            .when(F.col("recency") <= 240, RFM_SEGMENTS[3]).otherwise(RFM_SEGMENTS[4]))
     return (per.withColumn("recency", rec).withColumn("segment", seg)
-            .select(person, "recency", "frequency", "monetary_d", "segment"))
+            .select(person, "recency", "frequency", "monetary_d", "segment", *added))
 
 
 def rfm(full: DataFrame, person: str = PERSON) -> DataFrame:

@@ -1,13 +1,16 @@
 """Per-call build context: bound sources → gold → order-grain frames (all lazy)."""
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from emporium.operators import gold as G
 from emporium.operators import orders as O
+from emporium.plans.rollup import Rollup, fingerprint, open_rollup
 from emporium.sources import binding
+from emporium.sources.versioned import children
 
 
 class Ctx:
@@ -33,6 +36,11 @@ class Ctx:
     def category(self) -> DataFrame:
         return O.category(self.fact, self.gold.dim_products, self.gold.dim_customers)
 
+    def rollup(self, dataset: str, source: Callable[[], DataFrame]) -> Rollup:
+        """The dataset's rollup, shared by all contexts of the same state of the source files."""
+        state = fingerprint(self.spark, [f"{self.sf_dir}/{t}" for t in children(self.spark, self.sf_dir)])
+        return open_rollup(self.spark, dataset, state, source)
+
     @cached_property
     def review_texts(self) -> DataFrame:
         return binding.review_texts(self.src.read)

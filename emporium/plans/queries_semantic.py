@@ -1,9 +1,11 @@
 """Registered queries: semantic datasets, metric queries (M1–M6) and marts."""
 from __future__ import annotations
 
+from emporium.operators import persons as P
+from emporium.plans import rollup as R
 from emporium.plans import semantic as S
 from emporium.plans.catalog import query
-from emporium.plans.queries_metrics import _COHORT, _RFM
+from emporium.plans.queries_metrics import _COHORT, _RFM, F_END, F_START, F_STATES
 
 _VCUST = _RFM + """
 , vc AS (
@@ -65,6 +67,12 @@ _CHARTS = [
     ("m6_kpi_review", "v_orders", ["avg_review"], [], [], None, True, None),
     # A metric query with a filter, and one of two metrics.
     ("m6_delivered_orders", "v_orders", ["order_count", "on_time_rate"], [], ["is_delivered"], None, True, None),
+    # Months and states of the dashboard's filter (P25), and a filter that no set covers.
+    ("m6_filtered_gmv_by_repeat", "v_orders", ["gmv_total", "aov", "reorder_rate"], ["order_month", "is_repeat_order"],
+     R.filter_sql(F_START, F_END, F_STATES), None, True, None),
+    ("m6_filtered_reviews", "v_orders", ["avg_review", "order_count", "avg_lead_days"], ["delivery_bucket"],
+     R.filter_sql("1995-01-01", "1996-06-01"), "order_count", True, 3),
+    ("m6_orders_of_one_item", "v_orders", ["gmv_total"], ["order_month"], ["n_items = 1"], None, True, None),
     ("m6_customer_totals", "v_customers", ["repeat_customer_rate", "total_monetary"], [], [], None, True, None),
 ]
 _SRC = {"v_orders": (_VORD, "vo", lambda c: S.v_orders(c.enriched)),
@@ -88,7 +96,8 @@ def _chart_sql(ds, metrics, dims, filters, order_by, desc, limit):
 
 for (_n, _ds, _m, _d, _f, _o, _desc, _lim) in _CHARTS:
     def _fn(c, _ds=_ds, _m=_m, _d=_d, _f=_f, _o=_o, _desc=_desc, _lim=_lim):
-        return S.metric_query(_SRC[_ds][2](c), _ds, _m, _d, _f, _o, _desc, _lim)
+        return R.metric_query(c.rollup(_ds, lambda: _SRC[_ds][2](c)), lambda: _SRC[_ds][2](c), _m, _d, _f, _o, _desc,
+                              _lim)
     query(_n, _chart_sql(_ds, _m, _d, _f, _o, _desc, _lim))(_fn)
 
 query("g8_customer_360", _VCUST + """
@@ -103,3 +112,28 @@ SELECT order_month, product_category, CAST(sum(CAST(gmv AS DECIMAL(18,2))) AS DO
        CAST(sum(n_items) AS BIGINT) AS items
 FROM category GROUP BY 1, 2
 """)(lambda c: S.monthly_revenue(c.category))
+
+# Distinct persons by bitmaps: the same rows as A6, A16 and A28, and counts under filters
+# that merge months and states.
+query("a6_orders_per_customer_bitmap", """
+, per AS (SELECT customer_unique_id, count(*) AS n FROM orders_e
+          WHERE customer_unique_id IS NOT NULL GROUP BY 1)
+SELECT CAST(least(n, 5) AS BIGINT) AS orders_placed, count(*) AS customers,
+       CASE WHEN least(n, 5) >= 5 THEN '5+' ELSE CAST(least(n, 5) AS VARCHAR) END AS label
+FROM per GROUP BY 1, 3""")(lambda c: P.orders_per_customer(P.bitmaps(c.enriched)))
+query("a16_acquisition_treadmill_bitmap", """
+SELECT order_month,
+       count(DISTINCT customer_unique_id) FILTER (WHERE NOT is_repeat_order) AS "new",
+       count(DISTINCT customer_unique_id) FILTER (WHERE is_repeat_order) AS "repeat"
+FROM orders_e WHERE customer_unique_id IS NOT NULL GROUP BY 1
+""")(lambda c: P.treadmill(P.bitmaps(c.enriched)))
+query("a28_repeat_customer_rate_bitmap", """
+, per AS (SELECT customer_unique_id, count(*) AS n FROM orders_e WHERE customer_unique_id IS NOT NULL GROUP BY 1)
+SELECT count(*) AS customers, count(*) FILTER (WHERE n > 1) AS repeat_customers,
+       count(*) FILTER (WHERE n > 1) / nullif(count(*), 0) AS repeat_customer_rate FROM per
+""")(lambda c: P.repeat_customer_rate(P.bitmaps(c.enriched)))
+query("a16_persons_by_state_filtered", """
+SELECT customer_state, count(DISTINCT customer_unique_id) AS persons FROM orders_e
+WHERE customer_unique_id IS NOT NULL AND order_month >= DATE '1994-01-01' AND order_month <= DATE '1995-06-01'
+GROUP BY 1
+""")(lambda c: P.count_persons(P.bitmaps(c.enriched), ["customer_state"], R.filter_sql("1994-01-01", "1995-06-01")))

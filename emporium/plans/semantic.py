@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporium.functions import expr as X
@@ -58,19 +58,22 @@ def v_orders(enriched: DataFrame) -> DataFrame:
 
 def v_customers(enriched: DataFrame, person: str = M.PERSON) -> DataFrame:
     """M2: one row per person: state, frequency, monetary, recency, cohort, segment."""
-    people = M.rfm_people(enriched, person)
-    extra = (enriched.filter(F.col(person).isNotNull()).groupBy(person)
-             .agg(F.max("customer_state").alias("customer_state"),
-                  F.min("order_month").alias("cohort_month")))
-    j = people.join(extra, person)
-    return j.select(
+    return _customers(enriched, person)
+
+
+def _customers(enriched: DataFrame, person: str, more: Sequence[Column] = ()) -> DataFrame:
+    """v_customers and the aggregates ``more``, in one pass over the orders."""
+    people = M.rfm_people(enriched, person, [F.max("customer_state").alias("customer_state"),
+                                             F.min("order_month").alias("cohort_month"), *more])
+    known = {person, "recency", "frequency", "monetary_d", "segment", "customer_state", "cohort_month"}
+    return people.select(
         person, "customer_state", "frequency",
         F.col("monetary_d").cast("double").alias("monetary"),
         F.col("recency").alias("recency_days"), "cohort_month",
         (F.col("frequency") > 1).alias("is_repeat_customer"),
         F.when(F.col("frequency") >= 5, F.lit("5+"))
         .otherwise(F.col("frequency").cast("string")).alias("orders_placed_bucket"),
-        "segment")
+        "segment", *[c for c in people.columns if c not in known])
 
 
 def v_cohort(enriched: DataFrame) -> DataFrame:
@@ -93,7 +96,11 @@ def metric_query(ds: DataFrame, dataset: str, metrics: Sequence[str],
     for f in filters:
         d = d.filter(F.expr(f))
     aggs = [metric(dataset, m) for m in metrics]
-    out = d.groupBy(*dims).agg(*aggs) if dims else d.agg(*aggs)
+    return ordered(d.groupBy(*dims).agg(*aggs) if dims else d.agg(*aggs), dims, order_by, desc, limit)
+
+
+def ordered(out: DataFrame, dims: Sequence[str], order_by: str | None, desc: bool, limit: int | None) -> DataFrame:
+    """The first ``limit`` rows by a metric, ties by the dimensions; all rows without a limit."""
     if order_by is not None and limit is not None:
         key = F.col(order_by).desc_nulls_last() if desc else F.col(order_by).asc_nulls_last()
         return out.orderBy(key, *[F.col(x).asc_nulls_first() for x in dims]).limit(limit)
@@ -102,12 +109,9 @@ def metric_query(ds: DataFrame, dataset: str, metrics: Sequence[str],
 
 def customer_360(enriched: DataFrame, person: str = M.PERSON) -> DataFrame:
     """v_customers plus first/last purchase and lifetime average order value."""
-    base = v_customers(enriched, person)
-    life = (enriched.filter(F.col(person).isNotNull()).groupBy(person)
-            .agg(F.min("purchase_ts").alias("first_purchase_ts"),
-                 F.max("purchase_ts").alias("last_purchase_ts")))
-    return (base.join(life, person)
-            .withColumn("avg_order_value", X.safe_div(F.col("monetary"), F.col("frequency"))))
+    base = _customers(enriched, person, [F.min("purchase_ts").alias("first_purchase_ts"),
+                                         F.max("purchase_ts").alias("last_purchase_ts")])
+    return base.withColumn("avg_order_value", X.safe_div(F.col("monetary"), F.col("frequency")))
 
 
 def monthly_revenue(category: DataFrame) -> DataFrame:

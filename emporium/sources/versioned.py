@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -53,12 +54,13 @@ def age_seconds(spark: SparkSession, folder: str) -> float:
 
 
 def write_version(df: DataFrame, target: str, writer: str | None = None, fmt: str = "parquet",
-                  options: dict[str, object] | None = None) -> str:
+                  options: dict[str, object] | None = None, partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` as the next version and return its folder."""
     done = versions(df.sparkSession, target)
     number = done[-1][0] + 1 if done else 0
     folder = f"{target.rstrip('/')}/v={number},{writer or uuid.uuid4().hex[:12]}"
-    df.write.mode("overwrite").options(**(options or {})).format(fmt).save(folder)  # what an attempt left goes
+    writer_ = df.write.mode("overwrite").options(**(options or {})).format(fmt)  # what an attempt left goes
+    (writer_.partitionBy(*partition_by) if partition_by else writer_).save(folder)
     return folder
 
 
