@@ -40,6 +40,8 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str],
     spec = _sort_spec(order_by or [])
     named = [c for c, _ in spec]
     spec += [(c, descending) for c in df.columns if c not in keys and c not in named]
+    if not spec:  # nothing but keys
+        return df.dropDuplicates(keys)
     order_cols: list[Column] = [
         F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_first() for c, d in spec]
     w = Window.partitionBy(*keys).orderBy(*order_cols)

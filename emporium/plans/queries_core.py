@@ -7,6 +7,7 @@ from emporium.functions import expr as X
 from emporium.operators import gold as G
 from emporium.operators import orders as O
 from emporium.operators import scd2, staging
+from emporium.operators.incremental import new_store
 from emporium.plans.catalog import query
 from emporium.session import scratch_path
 from emporium.sources import binding
@@ -274,3 +275,27 @@ def v5_best_review(c):
 
 query("p2_star_minus", "SELECT * EXCLUDE (order_status, order_approved_at) FROM b_orders")(
     lambda c: X.drop_cols(c.src.orders, "order_status", "order_approved_at"))
+
+
+# ------------------------------------------------------------- increments --
+FIRST_LOAD_BEFORE = "1996-01-01"
+
+
+def _two_loads(c):
+    """All five tables in two loads, cut by different columns, the second one repeated."""
+    src, day = c.src, F.lit(FIRST_LOAD_BEFORE).cast("timestamp_ntz")
+    early = {"orders": F.col("order_purchase_timestamp") < day, "order_items": F.col("shipping_limit_date") < day,
+             "order_payments": F.col("payment_sequential") <= 1,
+             "order_reviews": F.col("review_answer_timestamp") < F.lit("2024-01-15").cast("timestamp_ntz"),
+             "customers": F.col("customer_state") != "NATION_3"}
+    tables = {n: getattr(src, n) for n in early}
+    store = new_store(c.spark, {n: t.schema for n, t in tables.items()})
+    store.load({n: t.where(early[n]) for n, t in tables.items()}, "load-1")
+    late = {n: t.where(~F.coalesce(early[n], F.lit(False))) for n, t in tables.items()}
+    store.load(late, "load-2")
+    store.load(late, "load-2")
+    return store
+
+
+query("a1_orders_incremental", "SELECT * FROM orders_o")(lambda c: _two_loads(c).grain.read())
+query("m1_v_orders_incremental", "SELECT * FROM orders_e")(lambda c: _two_loads(c).enriched.read())

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from emporium.operators import scd2
 from emporium.session import scratch_path
-from emporium.sources.keyed_table import BUCKET, ROWS, KeyedTable
+from emporium.sources.keyed_table import KeyedTable
 
 CLOSED = "closed"
 
@@ -70,8 +70,5 @@ class HistoryTable:
         old = table.read(buckets=buckets)
         same = [old[k].eqNullSafe(keys[f"_{k}"]) for k in self.key]
         kept = old.join(keys, scd2.all_of(same), "left_anti")
-        table.commit(writer, table.stage(kept.unionByName(begun), ROWS), buckets, appended)
+        table.commit(writer, table.stage(kept.unionByName(begun)), buckets, appended)
         return True
-
-
-__all__ = ["BUCKET", "CLOSED", "HistoryTable"]

@@ -21,7 +21,7 @@ import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,12 +42,17 @@ class Entry:
 
 
 class KeyedTable:
-    """The table at ``path``; ``buckets`` holds for a new one, later the number it was made with."""
+    """The table at ``path``; ``buckets`` holds for a new one, later the number it was made with.
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 64):
+    ``bucket_by``: what decides a row's bucket, a function of its key (default: the whole key)."""
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], buckets: int = 64,
+                 bucket_by: Column | None = None):
         self.spark, self.path, self.schema, self.keys = spark, path.rstrip("/"), schema, list(keys)
+        self.bucket_by = [F.col(k) for k in self.keys] if bucket_by is None else [bucket_by]
         if {BUCKET, "_new"} & set(schema.names):
             raise ValueError(f"{BUCKET} and _new are names of the table's own columns")
+        self._manifest_of: dict[str, list] = {}  # a committed manifest never changes
         rows = self._manifest_rows()
         self.buckets = rows[0].buckets if rows else buckets
 
@@ -68,7 +73,9 @@ class KeyedTable:
             if number is not None:
                 raise ValueError(f"there is no version {number} of {self.path}")
             return []
-        return self.spark.read.schema(MANIFEST).parquet(done[-1]).collect()
+        if done[-1] not in self._manifest_of:
+            self._manifest_of[done[-1]] = self.spark.read.schema(MANIFEST).parquet(done[-1]).collect()
+        return self._manifest_of[done[-1]]
 
     def entries(self, number: int | None = None) -> list[Entry]:
         """What a version consists of; the newest one without a number."""
@@ -90,23 +97,25 @@ class KeyedTable:
         return self._read([e for e in self.entries(number) if e.part == part], schema)
 
     # ---------------------------------------------------------------- writes --
-    def bucket_of(self) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(self.buckets)).cast("int")
+    def bucket_of(self, *values: Column) -> Column:
+        """The bucket of a row, or of given values of what decides it."""
+        return F.pmod(F.xxhash64(*(values or self.bucket_by)), F.lit(self.buckets)).cast("int")
 
     def conform(self, rows: DataFrame) -> DataFrame:
         """``rows`` in the columns and types of the table: equal keys hash alike."""
         return rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in self.schema.fields])
 
-    def touched(self, rows: DataFrame) -> list[int]:
-        """The buckets that the keys of ``rows`` fall into, at most all of them."""
-        return sorted(r[0] for r in rows.select(self.bucket_of()).distinct().collect())
+    def touched(self, rows: DataFrame, *values: Column) -> list[int]:
+        """The buckets that ``rows`` (or ``values`` over them) fall into, at most all of them."""
+        return sorted(r[0] for r in rows.select(self.bucket_of(*values)).distinct().collect())
 
-    def stage(self, rows: DataFrame, name: str = "rows") -> str:
-        """Write ``rows`` to a new data folder, one file a bucket."""
-        folder = f"{self.path}/data/{name}-{uuid.uuid4().hex[:12]}"
-        # null keys: a row's own bucket column, as the names of the folders
+    def stage(self, rows: DataFrame, files: int = 1) -> str:
+        """Write ``rows`` to a new data folder; ``files``: by how many tasks a bucket is written,
+        where one key may hold most of it."""
+        folder = f"{self.path}/data/{ROWS}-{uuid.uuid4().hex[:12]}"
         placed = self.conform(rows).withColumn(BUCKET, self.bucket_of())
-        placed.repartition(BUCKET).write.partitionBy(BUCKET).parquet(folder)
+        part = F.pmod(F.xxhash64(*[F.col(k) for k in self.keys]), F.lit(files))
+        placed.repartition(BUCKET, *([part] if files > 1 else [])).write.partitionBy(BUCKET).parquet(folder)
         return folder
 
     def append(self, rows: DataFrame, part: str) -> Entry:
@@ -123,14 +132,20 @@ class KeyedTable:
         entries += [Entry(ROWS, b, f"{folder}/{BUCKET}={b}") for b in sorted(gone) if f"{BUCKET}={b}" in there]
         entries += appended
         rows = [(e.part, e.bucket, self.buckets, e.folder) for e in entries] or [(ROWS, None, self.buckets, None)]
-        versioned.write_version(self.spark.createDataFrame(rows, MANIFEST).coalesce(1), self._manifests, writer)
+        made = self.spark.createDataFrame(rows, MANIFEST).coalesce(1)
+        folder = versioned.write_version(made, self._manifests, writer)
+        self._manifest_of[folder] = [Row(part=p, bucket=b, buckets=n, folder=f) for p, b, n, f in rows]
         return self.versions()[-1][0]
 
     def upsert(self, batch: DataFrame, writer: str | None = None,
-               order_by: Sequence[str | tuple[str, bool]] | None = None, descending: bool = True) -> bool:
+               order_by: Sequence[str | tuple[str, bool]] | None = None, descending: bool = True,
+               batch_wins: bool = True) -> bool:
         """Merge ``batch`` by key: of a key's rows in table and batch the first by ``order_by``
         stays, of equal ones that of the batch; without ``order_by`` the batch wins.
 
+        Without ``batch_wins`` the rest of the columns decide also between table and batch:
+        the table then is what ``dedupe_latest`` makes of all rows ever loaded.
+
         Of equal rows by ``order_by`` within a batch the rest of the columns decide, in the
         direction of ``descending``.  False if ``writer`` had been committed before.
         """
@@ -145,18 +160,18 @@ class KeyedTable:
         both = (self.read(buckets=buckets).withColumn("_new", F.lit(0))
                 .unionByName(fresh.withColumn("_new", F.lit(1))).withColumn(BUCKET, self.bucket_of()))
         # By bucket once: the ranking and the files need no further exchange.
-        ranked = dedupe_latest(both.repartition(BUCKET), [BUCKET, *self.keys], [*(order_by or []), ("_new", True)],
+        ranked = dedupe_latest(both.repartition(BUCKET), [BUCKET, *self.keys], [*(order_by or []), *([("_new", True)] if batch_wins else [])],
                                descending=descending).drop("_new")
         folder = f"{self.path}/data/{ROWS}-{uuid.uuid4().hex[:12]}"
         ranked.write.partitionBy(BUCKET).parquet(folder)
         self.commit(writer, folder, buckets)
         return True
 
-    def replace(self, rows: DataFrame, buckets: Sequence[int], writer: str) -> bool:
+    def replace(self, rows: DataFrame, buckets: Sequence[int], writer: str, files: int = 1) -> bool:
         """Make ``rows`` the whole content of ``buckets``; False if ``writer`` had been committed."""
         if self.committed(writer):
             return False
-        self.commit(writer, self.stage(rows), buckets)
+        self.commit(writer, self.stage(rows, files), buckets)
         return True
 
     def vacuum(self, keep: int = 2) -> list[str]:
