@@ -211,6 +211,11 @@ class Gold:
         self.as_of = as_of
         self.high_value = high_value
         self._cache: dict[str, DataFrame] = {}
+        self.staged: dict[str, DataFrame] = {}  # staging views that have been written, by name
+
+    def stage(self, name: str) -> DataFrame:
+        """A staging view."""
+        return self.staged[name] if name in self.staged else getattr(staging, name)(self.src)
 
     def _get(self, name, fn):
         if name not in self._cache:
@@ -220,17 +225,17 @@ class Gold:
     @property
     def fact_orders(self) -> DataFrame:
         return self._get("fact", lambda: build_fact_orders(
-            staging.stg_orders(self.src), staging.stg_order_items(self.src),
-            staging.stg_order_payments(self.src), self.as_of, self.high_value))
+            self.stage("stg_orders"), self.stage("stg_order_items"),
+            self.stage("stg_order_payments"), self.as_of, self.high_value))
 
     @property
     def dim_customers(self) -> DataFrame:
-        return self._get("cust", lambda: build_dim_customers(staging.stg_customers(self.src)))
+        return self._get("cust", lambda: build_dim_customers(self.stage("stg_customers")))
 
     @property
     def dim_sellers(self) -> DataFrame:
         return self._get("sell", lambda: build_dim_sellers(
-            staging.stg_sellers(self.src), staging.stg_geolocation(self.src)))
+            self.stage("stg_sellers"), self.stage("stg_geolocation")))
 
     @property
     def reviews_history(self) -> DataFrame:
@@ -245,21 +250,21 @@ class Gold:
 
     @property
     def dim_reviews_current(self) -> DataFrame:
-        return self._get("rev_cur", lambda: current_reviews(staging.stg_order_reviews(self.src)))
+        return self._get("rev_cur", lambda: current_reviews(self.stage("stg_order_reviews")))
 
     @property
     def products_history(self) -> DataFrame:
         def run():
             first = scd2.scd2_check(None, staging.stg_products(self.src, current=False),
                                     ["product_id"], PRODUCT_ATTRS, binding.PRODUCTS_V1_AT)
-            return scd2.scd2_check(first, staging.stg_products(self.src, current=True),
+            return scd2.scd2_check(first, self.stage("stg_products"),
                                    ["product_id"], PRODUCT_ATTRS, binding.PRODUCTS_V2_AT)
         return self._get("prod_hist", run)
 
     @property
     def dim_products(self) -> DataFrame:
         return self._get("prod", lambda: build_dim_products(
-            self.products_history, staging.stg_category_translation(self.src)))
+            self.products_history, self.stage("stg_category_translation")))
 
     @property
     def geolocation_history(self) -> DataFrame:

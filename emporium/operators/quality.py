@@ -10,11 +10,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+REPORT = ("check string, table string, column string, severity string, n_rows long, n_failed long, "
+          "status string")
 RESULT_COLUMNS = ["check", "table", "column", "severity", "n_rows", "n_failed", "status"]
 
 
@@ -69,6 +72,58 @@ def run_checks(df: DataFrame, table: str, checks: Sequence[Check]) -> DataFrame:
     return out.withColumn("status", status).select(*RESULT_COLUMNS)
 
 
+class Watch:
+    """Row predicates, column profiles and totals of a table, measured while it is written.
+
+    ``on`` attaches them to the frame (``DataFrame.observe``), so the one pass that writes
+    the table also checks it: no further scan.  They are final once the write has ended;
+    put the frame into one action only.
+    """
+
+    def __init__(self, table: str, checks: Sequence[Check] = (), profile: Sequence[str] = (),
+                 where: Column | None = None, totals: dict[str, Column] | None = None):
+        self.table, self.checks, self.columns, self.totals = table, list(checks), list(profile), dict(totals or {})
+        self.where = F.lit(True) if where is None else where
+        self._seen = Observation()
+
+    def on(self, df: DataFrame) -> DataFrame:
+        aggs = [F.count(F.lit(1)).alias("n"), F.count(F.when(self.where, 1)).alias("n_where")]
+        aggs += [F.count(F.when(ch.bad, 1)).alias(f"bad_{i}") for i, ch in enumerate(self.checks)]
+        for i, c in enumerate(self.columns):
+            v = F.when(self.where, F.col(c).cast("double"))
+            aggs += [F.count(v).alias(f"nn_{i}"), F.min(v).alias(f"min_{i}"), F.max(v).alias(f"max_{i}"),
+                     F.avg(v).alias(f"mean_{i}")]
+        aggs += [F.sum(v.cast("decimal(18,2)")).alias(f"total_{name}") for name, v in self.totals.items()]
+        return df.observe(self._seen, *aggs)
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """One row a check, as ``run_checks`` gives them."""
+        seen, rows = self._seen.get, []
+        for i, ch in enumerate(self.checks):
+            bad = seen[f"bad_{i}"]
+            status = "pass" if bad == 0 else "warn" if ch.severity == "warn" else "fail"
+            rows.append((ch.name, self.table, ch.column, ch.severity, seen["n"], bad, status))
+        return spark.createDataFrame(rows, REPORT)
+
+    def profiled(self, spark: SparkSession) -> DataFrame:
+        """C14: one row a column, as ``profile`` gives them."""
+        seen = self._seen.get
+        n = seen["n_where"]
+        rows = [(c, 1 - seen[f"nn_{i}"] / n if n else None, seen[f"min_{i}"], seen[f"max_{i}"],
+                 None if seen[f"mean_{i}"] is None else round(seen[f"mean_{i}"], 9)) for i, c in enumerate(self.columns)]
+        return spark.createDataFrame(rows, "column string, null_rate double, min double, max double, mean double")
+
+    def total(self, name: str) -> Decimal:
+        return self._seen.get[f"total_{name}"] or Decimal(0)
+
+
+def reconciled(spark: SparkSession, a: Decimal, b: Decimal, name: str, columns: str, tol: str = "0.01",
+               severity: str = "error") -> DataFrame:
+    """C12 of two totals that have been measured."""
+    counts = spark.createDataFrame([(1, int(abs(a - b) > Decimal(tol)))], "n_rows int, n_failed int")
+    return _result(counts, "reconcile", name, columns, severity)
+
+
 # ------------------------------------------------------------ C1 – C11 ----
 def not_null(df: DataFrame, table: str, col: str, severity: str = "error") -> DataFrame:
     """C1."""

@@ -1,7 +1,8 @@
 """Per-call build context: bound sources → gold → order-grain frames (all lazy)."""
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from emporium.operators import gold as G
 from emporium.operators import orders as O
 from emporium.plans.rollup import Rollup, fingerprint, open_rollup
 from emporium.sources import binding
+from emporium.sources.io import materialize
 from emporium.sources.versioned import children
 
 
@@ -46,21 +48,34 @@ class Ctx:
         return binding.review_texts(self.src.read)
 
 
-def materialize_gold(c: Ctx, base: str) -> Ctx:
-    """Write the gold tables and order grain once and re-point the context at them.
+STAGING = ["stg_customers", "stg_orders", "stg_order_items", "stg_order_payments", "stg_order_reviews",
+           "stg_products", "stg_category_translation", "stg_sellers", "stg_geolocation"]
 
-    This is the nightly shape: checks and marts read written tables, which
-    also cuts the lineage (a lost executor re-reads parquet instead of
-    recomputing the whole build).
+
+def materialize_gold(c: Ctx, base: str, watch: Mapping[str, Callable[[DataFrame], DataFrame]] | None = None) -> Ctx:
+    """Write staging, gold and order grain once each and re-point the context at them.
+
+    This is the nightly shape: each layer is built from the written one below, tables of
+    a layer side by side, and checks and marts read written tables, which also cuts the
+    lineage (a lost executor re-reads parquet instead of recomputing the whole build).
+    ``watch`` maps a table to what is attached to its frame, to be measured by the write.
     """
-    from emporium.sources.io import materialize
-    g = c.gold
-    tables = {"fact": c.fact, "cust": g.dim_customers, "sell": g.dim_sellers,
-              "prod": g.dim_products, "rev": g.dim_reviews, "rev_cur": g.dim_reviews_current, "geo": g.dim_geolocation}
-    written = {k: materialize(v, k, "gold", base) for k, v in tables.items()}
-    c.__dict__["fact"] = written.pop("fact")
-    g._cache["fact"] = c.fact
-    g._cache.update(written)
-    c.__dict__["orders"] = materialize(c.orders, "orders", "mart", base)
-    c.__dict__["enriched"] = materialize(c.enriched, "orders_enriched", "mart", base)
+    g, watch = c.gold, watch or {}
+
+    def written(tables: Mapping[str, Callable[[], DataFrame]], layer: str) -> dict[str, DataFrame]:
+        def one(name: str) -> DataFrame:
+            return materialize(watch.get(name, lambda df: df)(tables[name]()), name, "gold", f"{base}/{layer}")
+        with ThreadPoolExecutor(len(tables)) as pool:
+            return dict(zip(tables, pool.map(one, tables)))
+
+    g.staged.update(written({n: lambda n=n: g.stage(n) for n in STAGING}, "staging"))
+    gold = written({"fact_orders": lambda: c.fact, "dim_customers": lambda: g.dim_customers,
+                    "dim_sellers": lambda: g.dim_sellers, "dim_products": lambda: g.dim_products,
+                    "dim_reviews": lambda: g.dim_reviews, "dim_geolocation": lambda: g.dim_geolocation}, "gold")
+    c.__dict__["fact"] = gold["fact_orders"]
+    g._cache.update({"fact": gold["fact_orders"], "cust": gold["dim_customers"], "sell": gold["dim_sellers"],
+                     "prod": gold["dim_products"], "rev": gold["dim_reviews"], "geo": gold["dim_geolocation"]})
+    g._cache["rev_cur"] = G.current_reviews(g.stage("stg_order_reviews"))
+    c.__dict__["orders"] = written({"orders_grain": lambda: c.orders}, "mart")["orders_grain"]
+    c.__dict__["enriched"] = written({"orders": lambda: c.enriched}, "mart")["orders"]
     return c

@@ -12,7 +12,7 @@ from emporium.operators import business as B
 from emporium.operators import monitor as MO
 from emporium.plans.catalog import query
 from emporium.session import scratch_path
-from emporium.sources import io
+from emporium.sources import io, reconcile
 from emporium.sources.keyed_table import KeyedTable
 from emporium.streaming.upsert_stream import stream_upsert
 
@@ -292,3 +292,45 @@ SELECT p.*, s.runs, s.success_ratio, s.avg_duration_s FROM per p JOIN (
   SELECT pipeline, count(*) AS runs, count(*) FILTER (WHERE status = 'success') / count(*) AS success_ratio,
          avg(duration_s) AS avg_duration_s FROM per GROUP BY 1) s ON p.pipeline = s.pipeline
 """)(lambda c: MO.run_stats(_runs(c)))
+
+
+# ---------------------------------------------------------- reconciliation --
+_KEYS = {"orders": ["order_id"], "customers": ["customer_id"], "order_items": ["order_id", "order_item_id"],
+         "order_payments": ["order_id", "payment_sequential"], "sellers": ["seller_id"]}
+
+
+def _faulty_loads(c):
+    """Loads of five sources: exact but shuffled, with added, with lost and with altered rows, and none."""
+    s = {n: getattr(c.src, n) for n in _KEYS}
+    boleto = F.col("payment_type") == "boleto"
+    more = s["customers"].withColumn("customer_id", F.concat("customer_id", F.lit("-copy")))
+    return s, {
+        "orders": s["orders"].repartition(5, "customer_id"),
+        "customers": s["customers"].unionByName(more),
+        "order_items": s["order_items"].where("NOT coalesce(price < 20000, false)"),
+        "order_payments": s["order_payments"].withColumn(
+            "payment_value", F.when(boleto, F.col("payment_value") + 1).otherwise(F.col("payment_value")))}
+
+
+query("s10_reconcile_rows", """
+SELECT 'orders' AS "table", count(*) AS src_n, count(*) AS tgt_n, CAST(0 AS BIGINT) AS missing_keys,
+       CAST(0 AS BIGINT) AS extra_keys, CAST(0 AS BIGINT) AS changed_keys, 'exact' AS status FROM b_orders
+UNION ALL SELECT 'customers', count(*), 2 * count(*), 0, count(DISTINCT customer_id), 0, 'appended' FROM b_customers
+UNION ALL
+SELECT 'order_items', CAST(sum(n) AS BIGINT), CAST(sum(k) AS BIGINT), count(*) FILTER (WHERE k = 0), 0, count(*) FILTER (WHERE k BETWEEN 1 AND n - 1),
+       CASE WHEN count(*) FILTER (WHERE k BETWEEN 1 AND n - 1) > 0 THEN 'changed'
+            WHEN count(*) FILTER (WHERE k = 0) > 0 THEN 'missing' ELSE 'exact' END
+FROM (SELECT order_id, order_item_id, count(*) AS n, count(*) FILTER (WHERE NOT coalesce(price < 20000, false)) AS k
+      FROM b_items GROUP BY 1, 2)
+UNION ALL
+SELECT 'order_payments', CAST(sum(n) AS BIGINT), CAST(sum(n) AS BIGINT), 0, 0, count(*) FILTER (WHERE b > 0), 'changed'
+FROM (SELECT order_id, payment_sequential, count(*) AS n,
+             count(*) FILTER (WHERE payment_type = 'boleto' AND payment_value IS NOT NULL) AS b FROM b_payments GROUP BY 1, 2)
+UNION ALL SELECT 'sellers', count(*), 0, count(DISTINCT seller_id), 0, 0, 'missing' FROM b_sellers
+""")(lambda c: reconcile.reconcile_rows(*_faulty_loads(c), _KEYS))
+query("s10_changed_rows", """
+SELECT order_id, payment_sequential, 'changed' AS kind, count(*) AS source_rows, count(*) AS loaded_rows
+FROM b_payments GROUP BY 1, 2
+HAVING count(*) FILTER (WHERE payment_type = 'boleto' AND payment_value IS NOT NULL) > 0
+""")(lambda c: (lambda s, t: reconcile.differing_rows(
+    s["order_payments"], t["order_payments"], _KEYS["order_payments"]))(*_faulty_loads(c)))

@@ -1,12 +1,14 @@
 """Registered queries: the gold-layer test suite (C1–C15, S15) with its oracle."""
 from __future__ import annotations
 
+from collections import defaultdict
+
 from pyspark.sql import functions as F
 
 from emporium.operators import metrics as M
 from emporium.operators import quality as Q
-from emporium.operators import staging
 from emporium.plans.catalog import query
+from emporium.plans.context import materialize_gold
 from emporium.plans.queries_metrics import _RFM
 from emporium.session import scratch_path
 from emporium.sources import binding
@@ -30,7 +32,7 @@ _REL = {"fact_orders": "fact_orders", "dim_customers": "dim_customers",
 def _frame(c, table):
     g = c.gold
     if table.startswith("stg_"):
-        return getattr(staging, table)(c.src)
+        return g.stage(table)
     return {"fact_orders": lambda: c.fact, "dim_customers": lambda: g.dim_customers,
             "dim_sellers": lambda: g.dim_sellers, "dim_products": lambda: g.dim_products,
             "dim_reviews": lambda: g.dim_reviews, "dim_geolocation": lambda: g.dim_geolocation,
@@ -233,10 +235,16 @@ PROFILE_COLS = ["gmv", "freight", "review_score", "delivery_days"]
 _BOUNDS = {"review_score": ["NOT (round(avg(CAST(review_score AS DOUBLE)), 9) BETWEEN 1.0 AND 5.0)",
                             "min(review_score) < 1.0", "max(review_score) > 5.0"],
            "freight": ["min(freight) < 0.0", "max(freight) > 1000000.0"]}
+
+
+def _envelope(profile):
+    return Q.envelope(profile, "orders", 0.9, {"review_score": (1.0, 5.0)},
+                      ranges={"review_score": (1.0, 5.0), "freight": (0.0, 1e6)})
+
+
 spec("c14_envelope_orders",
-     lambda c: Q.envelope(Q.profile(c.enriched.filter(F.col("purchase_ts") < F.lit(
-         binding.AS_OF_ORDERS).cast("timestamp_ntz")), PROFILE_COLS), "orders", 0.9,
-         {"review_score": (1.0, 5.0)}, ranges={"review_score": (1.0, 5.0), "freight": (0.0, 1e6)}),
+     lambda c: _envelope(Q.profile(c.enriched.filter(F.col("purchase_ts") < F.lit(
+         binding.AS_OF_ORDERS).cast("timestamp_ntz")), PROFILE_COLS)),
      _wrap("envelope", "orders", "*", "warn",
            "SELECT 4 AS n_rows, " + " + ".join(
                "CASE WHEN coalesce(" + " OR ".join([f"1 - count({col}) / count(*) > 0.9", *_BOUNDS.get(col, [])])
@@ -262,19 +270,29 @@ for _name, _fn, _sql in SPECS:
     query(_name, (_GEO_Q if "dim_geolocation_q" in _sql else "") + (_RFM if "FROM seg" in _sql else "") + _sql)(_fn)
 
 
+#: Checks that the writes of the suite's tables measure beside their row predicates.
+_BY_WRITE = {"c12_reconcile_gmv", "c14_envelope_orders"}
+
+
 def _c15(c):
-    """C15 over written gold tables; predicate checks folded into one scan per table."""
-    from collections import defaultdict
-
-    from emporium.plans.context import materialize_gold
-    from emporium.session import scratch_path
-    c = materialize_gold(c, scratch_path(c.spark, "gold"))
-    by_table, folded = defaultdict(list), set()
-    for name, table, make in PRED:
+    """Row predicates, totals and profile are measured by the writes of the tables;
+    keys and relationships are then counted over the written ones, in one job."""
+    by_table = defaultdict(list)
+    for _, table, make in PRED:
         by_table[table].append(make())
-        folded.add(name)
-    parts = [Q.run_checks(_frame(c, t), t, checks) for t, checks in by_table.items()]
-    parts += [fn(c) for name, fn, _ in SPECS if name not in folded]
+    before = F.col("purchase_ts") < F.lit(binding.AS_OF_ORDERS).cast("timestamp_ntz")
+    watches = {t: Q.Watch(t, checks) for t, checks in by_table.items()}
+    watches["orders"] = Q.Watch("orders", by_table["orders"], PROFILE_COLS, before)
+    watches["orders_grain"] = Q.Watch("orders_grain", totals={"gmv": F.col("gmv")})
+    watches["fact_orders"] = Q.Watch("fact_orders", by_table["fact_orders"], totals={
+        "price": F.when(F.col("order_purchase_timestamp").isNotNull(), F.col("price"))})
+    c = materialize_gold(c, scratch_path(c.spark, "gold"), {t: w.on for t, w in watches.items()})
+    parts = [w.report(c.spark) for w in watches.values() if w.checks]
+    parts.append(Q.reconciled(c.spark, watches["orders_grain"].total("gmv"), watches["fact_orders"].total("price"),
+                              "orders_vs_fact", "gmv=price"))
+    parts.append(_envelope(watches["orders"].profiled(c.spark)))
+    done = {name for name, _, _ in PRED} | _BY_WRITE
+    parts += [fn(c) for name, fn, _ in SPECS if name not in done]
     return Q.run_suite(parts)
 
 

@@ -4,7 +4,8 @@ from emporium.plans import catalog
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
              "ArrowEvalPython", "PythonUDF"]
 # queries that write under the checkpoint folder while being built
-WRITES = ("s1_", "s2_", "s7_", "s11_", "s12_", "s13_", "s14_", "s15_", "s16_", "s6_", "r1_", "c15_")
+WRITES = ("s1_", "s2_", "s7_", "s11_", "s12_", "s13_", "s14_", "s15_", "s16_", "s6_", "r1_", "c15_", "s5_upsert", "s9_", "h1_", "a1_orders_incremental",
+          "m1_v_orders_incremental", "h2_scd2_check_idempotent", "h2_scd2_check_history_table")
 
 
 def test_no_cross_joins_or_python_udfs(spark, sf_dir, shared_context):
@@ -38,7 +39,7 @@ def test_metrics_read_the_written_order_grain(spark, sf_dir, shared_context):
     assert scans <= 4
     for name in ("a2_kpis", "a7_rfm", "m2_v_customers", "a49_headline_ratios"):
         s, x = size(name)
-        assert s <= 12 * scans and x <= 60, (name, s, x)
+        assert s <= 5 * scans and x <= 25, (name, s, x)
 
 
 def test_bigrams_need_one_exchange(spark, sf_dir):
