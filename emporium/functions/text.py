@@ -67,11 +67,11 @@ def strip_accents(c) -> Column:
     return F.translate(_c(c), ACCENTED, UNACCENTED)
 
 
-def raw_tokens(c) -> Column:
-    """X4 first half: lower-case, regex tokens of length ≥ 3, accents stripped.
+def plain_tokens(c) -> Column:
+    """Lower-case, regex tokens of length ≥ 3, accents as they are."""
+    return F.regexp_extract_all(F.lower(_c(c)), F.lit(TOKEN_PATTERN), 0)
+
 
-    Stop words are removed by an anti-join with the (fixed-size, broadcast)
-    stop-word table, which is a hash lookup instead of a per-token scan.
-    """
-    toks = F.regexp_extract_all(F.lower(_c(c)), F.lit(TOKEN_PATTERN), 0)
-    return F.transform(toks, strip_accents)
+def raw_tokens(c) -> Column:
+    """X4 first half: lower-case, regex tokens of length ≥ 3, accents stripped."""
+    return F.transform(plain_tokens(c), strip_accents)

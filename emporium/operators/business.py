@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from emporium.functions import expr as X
 from emporium.operators import gold as G
 from emporium.operators import orders as O
+from emporium.operators.windows import running_sum
 from emporium.operators.metrics import attach_scalar, share, top_k
 
 PERSON = "customer_unique_id"
@@ -331,22 +332,36 @@ def kde(df: DataFrame, col: str, bandwidth: float, lo: float, hi: float,
 
 
 def box_stats(df: DataFrame, group: str, col: str) -> DataFrame:
-    """Exact quartiles, 1.5·IQR whiskers and outlier count per group (two passes)."""
-    q = df.filter(F.col(col).isNotNull()).groupBy(group).agg(
-        F.percentile(F.col(col).cast("double"), F.lit(0.25)).alias("q1"),
-        F.percentile(F.col(col).cast("double"), F.lit(0.5)).alias("median"),
-        F.percentile(F.col(col).cast("double"), F.lit(0.75)).alias("q3"),
-        _cnt().alias("n"))
-    q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
-    j = df.filter(F.col(col).isNotNull()).select(group, F.col(col).cast("double").alias("_v")) \
-        .join(q, group)
+    """Exact quartiles, 1.5·IQR whiskers and outlier count per group.
+
+    Rows become counts of (group, value), combined map-side.  A running sum over the
+    values gives each value the ranks that it holds, and a quartile is the value at its
+    rank (between two ranks: in between).  The sum is sliced, so a group with a third of
+    all rows, or with many values, lies in many tasks.
+    """
+    counts = (df.where(F.col(col).isNotNull() & F.col(group).isNotNull())
+              .groupBy(group, F.col(col).cast("double").alias("_v")).agg(_cnt().alias("_c")))
+    ranked = running_sum(counts, group, ["_v"], "_c", "_upto", "n")
+
+    def quartile(q: float) -> Column:
+        at = (F.col("n") - 1) * F.lit(q)
+        low, high = F.floor(at), F.ceil(at)
+
+        def value(rank: Column) -> Column:
+            return F.max(F.when((rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto")), F.col("_v")))
+        part = F.max(at - low)
+        return value(low) + (value(high) - value(low)) * part
+
+    quartiles = ranked.groupBy(group).agg(quartile(0.25).alias("q1"), quartile(0.5).alias("median"),
+                                          quartile(0.75).alias("q3"), F.max("n").alias("n"))
+    q = quartiles.withColumn("iqr", F.col("q3") - F.col("q1"))
+    j = ranked.drop("n").join(q, group)
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
-    w = j.groupBy(group).agg(
+    return j.groupBy(group, "q1", "median", "q3", "n", "iqr").agg(
         F.min(F.when(F.col("_v") >= lo_f, F.col("_v"))).alias("whisker_lo"),
         F.max(F.when(F.col("_v") <= hi_f, F.col("_v"))).alias("whisker_hi"),
-        count_if((F.col("_v") < lo_f) | (F.col("_v") > hi_f)).alias("outliers"))
-    return q.join(w, group)
+        F.coalesce(F.sum(F.when((F.col("_v") < lo_f) | (F.col("_v") > hi_f), F.col("_c"))), F.lit(0)).alias("outliers"))
 
 
 # ------------------------------------------------------------ A43 – A48 ----

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from emporium.functions import text as T
@@ -46,8 +46,12 @@ def tokens(df: DataFrame, text_col: str, key: str = "review_id") -> DataFrame:
 
 def token_rows(df: DataFrame, text_col: str, key: str = "review_id",
                extra: Sequence[str] = ()) -> DataFrame:
-    """X4 exploded: one row per kept token: (key, *extra, term)."""
-    return df.select(key, *extra, F.explode(kept_tokens(text_col)).alias("term"))
+    """X4 exploded: one row per kept token: (key, *extra, term).
+
+    Accents and stop words are handled after the explode, in generated code."""
+    rows = df.select(key, *extra, F.explode(T.plain_tokens(text_col)).alias("_t"))
+    return (rows.select(key, *extra, T.strip_accents("_t").alias("term"))
+            .where(~F.col("term").isin(list(T.STOPWORDS))))
 
 
 def term_freq(df: DataFrame, text_col: str, key: str = "review_id") -> DataFrame:
@@ -133,10 +137,7 @@ def terms_by_band(df: DataFrame, text_col: str, n: int = 20,
     b = df.withColumn("band", band).filter(F.col("band").isNotNull())
     g = (token_rows(b, text_col, key, ["band"]).groupBy("band", "term")
          .agg(F.count(F.lit(1)).alias("count")))
-    # One bounded top-k per band (a fixed, small set) instead of a window
-    # whose partition would hold a band's whole vocabulary.
-    out = None
-    for name in bands:
-        top = top_k(g.filter(F.col("band") == name), [F.col("count").desc(), F.col("term")], n)
-        out = top if out is None else out.unionByName(top)
-    return out
+    # One count table; the rank filter is pushed below the exchange, so a task passes on
+    # n rows a band, whatever the vocabulary.
+    by = Window.partitionBy("band").orderBy(F.desc("count"), "term")
+    return g.withColumn("_r", F.row_number().over(by)).where(F.col("_r") <= n).drop("_r")

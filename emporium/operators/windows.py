@@ -87,6 +87,23 @@ def seq_number(df: DataFrame, key: str | Sequence[str], order: Sequence[str], ou
         *[F.coalesce(f"_all_{o}", f"_min_{o}").alias(o) for o in mins])
 
 
+def running_sum(df: DataFrame, key: str | Sequence[str], order: Sequence[str], col: str, out: str,
+                total: str) -> DataFrame:
+    """Sum of ``col`` over a key's rows up to and with this one by ``order``, and over all of them."""
+    keys = _keys(key)
+    rows = sliced(df, keys, order)
+    own = Window.partitionBy(SLICE, *keys)
+    upto = own.orderBy(*_asc(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumns({"_local": F.sum(col).over(upto), "_part": F.sum(col).over(own)})
+    of_key = Window.partitionBy(*keys)
+    earlier = of_key.orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    spans = _spans(rows, keys, [F.sum(col).alias("_n")],
+                   [F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_off"), F.sum("_n").over(of_key).alias("_all")])
+    j = rows.join(F.broadcast(spans), _match(rows, spans, [SLICE, *keys]), "left")
+    return j.select(*df.columns, (F.coalesce("_off", F.lit(0)) + F.col("_local")).alias(out),
+                    F.coalesce("_all", "_part").alias(total))
+
+
 def neighbour(rows: DataFrame, key: str | Sequence[str], order: Sequence[str], cols: Sequence[str],
               offset: int, prefix: str) -> DataFrame:
     """LAG (offset -1) or LEAD (offset +1) of ``cols`` within ``key`` by ``order``.

@@ -199,9 +199,16 @@ def category_translation(read: Read) -> DataFrame:
                     F.col("e").alias("product_category_name_english")))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in as many partitions as there are cores, if its scan has fewer (a few
+    files of one row group): for work that costs far more than moving its rows once."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def review_texts(read: Read) -> DataFrame:
     """Free-text corpus for the text operators: documents ⟕ labels."""
-    d = read("documents").select("doc_id", "text", "source")
+    d = spread(read("documents").select("doc_id", "text", "source"))
     lab = read("labels").select("doc_id", "quality")
     score = (F.when(F.col("quality") == 1, F.lit(5)).when(F.col("quality") == 0, F.lit(1))
              .otherwise(F.col("doc_id") % 5 + 1)).cast("long")
