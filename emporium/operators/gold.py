@@ -10,7 +10,7 @@ broadcast decision is a runtime size check with sort-merge beyond it.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emporium.functions import expr as X
@@ -45,10 +45,8 @@ def one_payment_per_order(payments: DataFrame) -> DataFrame:
                     "_p.payment_installments", "_p.payment_value"))
 
 
-def build_fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
-                      as_of: str, high_value: float = 10000.0,
-                      long_days: int = 30) -> DataFrame:
-    """G1: order fact at item grain; an order without items gives one row."""
+def order_parts(orders: DataFrame, items: DataFrame, payments: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Staged orders, items and payments with keys and types of the gold layer."""
     o = X.require(orders.select(
         X.norm_key("order_id").alias("order_id"),
         X.norm_key("customer_id").alias("customer_id"),
@@ -75,7 +73,20 @@ def build_fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
         X.to_long("payment_installments").alias("payment_installments"),
         X.to_double("payment_value").alias("payment_value"),
     ), ["order_id"])
+    return o, i, p
+
+
+def plausible_money() -> dict[str, Column]:
+    """An item's price and freight, null where they can't be."""
+    return {"price": X.null_if("price", F.col("price") <= 0),
+            "freight_value": X.null_if("freight_value", F.col("freight_value") < 0)}
 
+
+def build_fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
+                      as_of: str, high_value: float = 10000.0,
+                      long_days: int = 30) -> DataFrame:
+    """G1: order fact at item grain; an order without items gives one row."""
+    o, i, p = order_parts(orders, items, payments)
     item_cols = ["order_item_id", "product_id", "seller_id", "shipping_limit_date",
                  "price", "freight_value"]
     # Orders with items: items stream, orders (unique per key) are the build side.
@@ -88,8 +99,7 @@ def build_fact_orders(orders: DataFrame, items: DataFrame, payments: DataFrame,
     pay = one_payment_per_order(p)
     fact = (lines.join(pay, "order_id", "left")
             .withColumn("payment_type", X.std_enum("payment_type", "not_defined"))
-            .withColumn("price", X.null_if("price", F.col("price") <= 0))
-            .withColumn("freight_value", X.null_if("freight_value", F.col("freight_value") < 0))
+            .withColumns(plausible_money())
             .withColumnRenamed("order_id", "id"))
     fact = fact.select(*FACT_COLUMNS)
     return X.quality_flags(fact, as_of, high_value, long_days)

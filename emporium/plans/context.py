@@ -21,6 +21,7 @@ class Ctx:
         self.sf_dir = sf_dir
         self.src = binding.load_sources(spark, sf_dir)
         self.gold = G.Gold(self.src)
+        self.fact_written = False
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -28,7 +29,11 @@ class Ctx:
 
     @cached_property
     def orders(self) -> DataFrame:
-        return O.orders(self.fact, self.gold.dim_customers, self.gold.dim_reviews_current)
+        g = self.gold
+        if self.fact_written:
+            return O.orders(self.fact, g.dim_customers, g.dim_reviews_current)
+        return O.orders_from_staging(*[g.stage(f"stg_{n}") for n in ("orders", "order_items", "order_payments")],
+                                     g.dim_customers, g.dim_reviews_current)
 
     @cached_property
     def enriched(self) -> DataFrame:
@@ -72,7 +77,7 @@ def materialize_gold(c: Ctx, base: str, watch: Mapping[str, Callable[[DataFrame]
     gold = written({"fact_orders": lambda: c.fact, "dim_customers": lambda: g.dim_customers,
                     "dim_sellers": lambda: g.dim_sellers, "dim_products": lambda: g.dim_products,
                     "dim_reviews": lambda: g.dim_reviews, "dim_geolocation": lambda: g.dim_geolocation}, "gold")
-    c.__dict__["fact"] = gold["fact_orders"]
+    c.__dict__["fact"], c.fact_written = gold["fact_orders"], True
     g._cache.update({"fact": gold["fact_orders"], "cust": gold["dim_customers"], "sell": gold["dim_sellers"],
                      "prod": gold["dim_products"], "rev": gold["dim_reviews"], "geo": gold["dim_geolocation"]})
     g._cache["rev_cur"] = G.current_reviews(g.stage("stg_order_reviews"))

@@ -451,3 +451,23 @@ def test_translation_sums_before_any_cut(spark):
     assert [tuple(r) for r in TX.translate_freq(freq, gl, 1).collect()] == [("x", 5)]
     two = spark.createDataFrame([("a b", 3), ("b a", 2), ("a c", 1)], "bigram string, count long")
     assert sorted(map(tuple, TX.translate_freq(two, gl, None, "bigram").collect())) == [("x c", 1), ("x x", 5)]
+
+
+def test_orders_from_staging_equal_those_of_the_fact(spark, sf_dir):
+    from emporium.operators import gold as G
+    from emporium.operators import orders as O
+    from emporium.plans.context import Ctx
+    c = Ctx(spark, sf_dir)
+    staged = {n: c.gold.stage(f"stg_{n}").limit(400) for n in ("orders", "order_items", "order_payments")}
+    # ids that differ in blanks only, orders without items, no purchase time, money that can't be
+    staged["orders"] = staged["orders"].unionByName(staged["orders"].limit(30).withColumn(
+        "order_id", F.concat(F.lit(" "), "order_id"))).withColumn(
+        "order_purchase_timestamp", F.when(F.col("order_id").cast("int") % 11 != 0, F.col("order_purchase_timestamp")))
+    staged["order_items"] = staged["order_items"].withColumn("price", F.when(F.rand(1) > 0.1, F.col("price")).otherwise(-1.0))
+    staged = {n: spark.createDataFrame(d.collect(), d.schema) for n, d in staged.items()}
+    cust, rev = c.gold.dim_customers, c.gold.dim_reviews_current
+    fact = G.build_fact_orders(*staged.values(), "2024-01-01 00:00:00")
+    want = O.orders(fact, cust, rev)
+    got = O.orders_from_staging(*staged.values(), cust, rev)
+    assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 100
