@@ -12,7 +12,9 @@ from emporium.operators import business as B
 from emporium.operators import monitor as MO
 from emporium.plans.catalog import query
 from emporium.session import scratch_path
+from emporium.plans.queries_text import RT
 from emporium.sources import io, reconcile
+from emporium.sources.csv_split import infer_schema_split, read_csv_split
 from emporium.sources.keyed_table import KeyedTable
 from emporium.streaming.upsert_stream import stream_upsert
 
@@ -41,6 +43,29 @@ def s2_infer_schema(c):
     return c.spark.createDataFrame(rows, "column string, type string")
 
 
+@query("s1_csv_split", "SELECT * FROM b_orders")
+def s1_csv_split(c):
+    """The same round trip by the reader that finds records in splits of a file."""
+    path = io.write_csv(c.src.orders, scratch_path(c.spark, "csv-orders"))
+    return read_csv_split(c.spark, path, ORDERS_SCHEMA)
+
+
+@query("s1_csv_split_texts", f"SELECT review_id, review_score, title, message FROM {RT}")
+def s1_csv_split_texts(c):
+    """Texts with newlines and quotes in one file."""
+    path = io.write_csv(c.review_texts.coalesce(1), scratch_path(c.spark, "csv-texts"))
+    return read_csv_split(c.spark, path, "review_id string, review_score long, title string, message string")
+
+
+@query("s2_infer_schema_split", """
+SELECT * FROM (VALUES ('seller_id', 'int'), ('seller_zip_code_prefix', 'int'), ('seller_city', 'string'),
+                      ('seller_state', 'string')) t("column", "type")""")
+def s2_infer_schema_split(c):
+    path = io.write_csv(c.src.sellers, scratch_path(c.spark, "csv-sellers"))
+    rows = [(f.name, f.dataType.simpleString()) for f in infer_schema_split(c.spark, path)]
+    return c.spark.createDataFrame(rows, "column string, type string")
+
+
 _FIRST = f"(SELECT * FROM b_reviews WHERE review_answer_timestamp < TIMESTAMP '{FIRST_LOAD_BEFORE}')"
 
 
