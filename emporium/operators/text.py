@@ -64,6 +64,49 @@ def top_words(df: DataFrame, text_col: str, n: int = 20, key: str = "review_id")
     return top_k(term_freq(df, text_col, key), [F.col("count").desc(), F.col("term")], n)
 
 
+#: Items that a frequent-items sketch tracks, and how many of them are counted exactly.
+SKETCH_ITEMS, CANDIDATES = 1 << 16, 1000
+#: The sketch's error is at most this many times its rows, by its items.
+ERROR = 3.5
+
+
+def top_by_sketch(rows: DataFrame, col: str, n: int, by: str | None = None, items: int = SKETCH_ITEMS,
+                  candidates: int = CANDIDATES) -> DataFrame:
+    """The exact top-n of ``col`` (ties by value) without shuffling its vocabulary.
+
+    1. One sketch a task, merged: the most frequent ``candidates`` values with estimates.
+    2. The candidates alone are counted exactly, in a second pass.
+    3. A value that is no candidate occurs at most as often as the least estimate plus the
+       sketch's error.  If the n-th exact count is above that, no other value can enter.
+       Else everything is counted, as without a sketch.
+
+    ``by``: one list a group of few groups (score bands).  What reaches the driver is
+    ``candidates`` values a group; n must be smaller.
+    """
+    if n >= candidates or candidates > items:
+        raise ValueError("n < candidates <= items")
+    groups = [by] if by else []
+    top = F.expr(f"approx_top_k(`{col}`, {candidates}, {items})").alias("top")
+    sketch = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows"), top).collect()
+    found = None
+    for r in sketch:
+        own = rows.where(F.col(by).eqNullSafe(F.lit(r[by]))) if by else rows
+        names = [t["item"] for t in r["top"]]
+        counted = top_k(own.where(F.col(col).isin(names)).groupBy(*groups, col).agg(F.count(F.lit(1)).alias("count")),
+                        [F.col("count").desc(), F.col(col)], n)
+        best = counted.collect()  # n rows
+        # fewer values than asked for: the sketch lost none above its error
+        least = min((t["count"] for t in r["top"]), default=0) if len(names) == candidates else 0
+        exact = len(names) < candidates and r["rows"] <= 0.75 * items  # the sketch is not full: it holds all
+        certain = exact or (len(best) == n and best[-1]["count"] > least + ERROR / items * r["rows"])
+        part = rows.sparkSession.createDataFrame(best, counted.schema) if certain else top_k(
+            own.groupBy(*groups, col).agg(F.count(F.lit(1)).alias("count")), [F.col("count").desc(), F.col(col)], n)
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        return rows.groupBy(*groups, col).agg(F.count(F.lit(1)).alias("count")).limit(0)
+    return found
+
+
 def bigram_rows(df: DataFrame, text_col: str, key: str = "review_id",
                 extra: Sequence[str] = ()) -> DataFrame:
     """Adjacent pairs of *kept* tokens within one text, paired in its own row."""
@@ -126,17 +169,21 @@ def length_by_score(df: DataFrame, field: str = "both") -> DataFrame:
             .agg(F.avg("length").alias("avg_length"), F.count(F.lit(1)).alias("reviews")))
 
 
+def band_tokens(df: DataFrame, text_col: str, bands: Mapping[str, Sequence[int]] | None = None,
+                key: str = "review_id") -> DataFrame:
+    """One row per kept token of a scored text: (key, band, term)."""
+    band = F.lit(None).cast("string")
+    for name, scores in (bands or T.SCORE_BANDS).items():
+        band = F.when(F.col("review_score").isin(list(scores)), F.lit(name)).otherwise(band)
+    b = df.withColumn("band", band).filter(F.col("band").isNotNull())
+    return token_rows(b, text_col, key, ["band"])
+
+
 def terms_by_band(df: DataFrame, text_col: str, n: int = 20,
                   bands: Mapping[str, Sequence[int]] | None = None,
                   key: str = "review_id") -> DataFrame:
     """Top-n terms per score band (rank within band over aggregated counts)."""
-    bands = bands or T.SCORE_BANDS
-    band = F.lit(None).cast("string")
-    for name, scores in bands.items():
-        band = F.when(F.col("review_score").isin(list(scores)), F.lit(name)).otherwise(band)
-    b = df.withColumn("band", band).filter(F.col("band").isNotNull())
-    g = (token_rows(b, text_col, key, ["band"]).groupBy("band", "term")
-         .agg(F.count(F.lit(1)).alias("count")))
+    g = band_tokens(df, text_col, bands, key).groupBy("band", "term").agg(F.count(F.lit(1)).alias("count"))
     # One count table; the rank filter is pushed below the exchange, so a task passes on
     # n rows a band, whatever the vocabulary.
     by = Window.partitionBy("band").orderBy(F.desc("count"), "term")

@@ -150,3 +150,18 @@ g AS (SELECT band, term, count(*) AS count FROM tk GROUP BY 1, 2)
 SELECT band, term, count FROM g
 QUALIFY row_number() OVER (PARTITION BY band ORDER BY count DESC, term) <= 20
 """)(lambda c: TX.terms_by_band(c.review_texts, "message", 20))
+
+# The same lists by a frequent-items sketch, exact counts of its candidates and a bound.
+query("x6_top_words_sketch", _TF + " SELECT term, count(*) AS count FROM tk GROUP BY 1 "
+      "ORDER BY count DESC, term LIMIT 20")(
+    lambda c: TX.top_by_sketch(TX.token_rows(c.review_texts, "message"), "term", 20))
+query("x7_top_bigrams_sketch", _BG + " SELECT bigram, count(*) AS count FROM bg GROUP BY 1 "
+      "ORDER BY count DESC, bigram LIMIT 20")(
+    lambda c: TX.top_by_sketch(TX.bigram_rows(c.review_texts, "message"), "bigram", 20))
+query("x12_terms_by_band_sketch", f"""
+, rb AS (SELECT *, CASE {_BANDS} END AS band FROM {RT}),
+tk AS ({_tokens_sql("(SELECT * FROM rb WHERE band IS NOT NULL)", "message", "band,")}),
+g AS (SELECT band, term, count(*) AS count FROM tk GROUP BY 1, 2)
+SELECT band, term, count FROM g
+QUALIFY row_number() OVER (PARTITION BY band ORDER BY count DESC, term) <= 20
+""")(lambda c: TX.top_by_sketch(TX.band_tokens(c.review_texts, "message"), "term", 20, "band"))

@@ -471,3 +471,41 @@ def test_orders_from_staging_equal_those_of_the_fact(spark, sf_dir):
     got = O.orders_from_staging(*staged.values(), cust, rev)
     assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 100
+
+
+def test_top_terms_by_sketch_are_exact(spark):
+    import random
+    rng = random.Random(5)
+    words = [f"w{int(rng.paretovariate(0.7)) % 20000}" for _ in range(40_000)]  # many rare words
+    flat = [f"f{i % 3000}" for i in range(30_000)]  # no word stands out: the bound can't prove it
+    for rows in (words, flat, words[:50], [], ["a", "a", "b"]):
+        df = spark.createDataFrame([(w, i % 2) for i, w in enumerate(rows)], "term string, band int")
+        for by in (None, "band"):
+            got = TX.top_by_sketch(df, "term", 10, by, items=1024, candidates=100)
+            keys = [by] if by else []
+            want = df.groupBy(*keys, "term").agg(F.count(F.lit(1)).alias("count")).toPandas()
+            want = want.sort_values(["count", "term"], ascending=[False, True])
+            want = want.groupby(keys).head(10) if by else want.head(10)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want[got.columns].itertuples(index=False)))
+    assert got.columns == ["band", "term", "count"]
+    with pytest.raises(ValueError):
+        TX.top_by_sketch(df, "term", 100, candidates=100)
+
+
+def test_box_statistics_equal_percentiles(spark):
+    import random
+    rng = random.Random(2)
+    rows = [("hot", rng.randrange(40)) for _ in range(4000)] + [("one", 5), ("two", 1), ("two", 4), ("none", None), (None, 3)]
+    rows += [(f"g{i % 7}", rng.randrange(10_000)) for i in range(700)]
+    df = spark.createDataFrame(rows, "g string, v int").repartition(6)
+    got = {r.g: r for r in B.box_stats(df, "g", "v").collect()}
+    assert set(got) == {g for g, v in rows if g is not None and v is not None}
+    for g, r in got.items():
+        v = np.array([x for k, x in rows if k == g and x is not None], float)
+        q1, q2, q3 = np.percentile(v, [25, 50, 75])
+        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        assert np.allclose([r.q1, r.median, r.q3, r.iqr], [q1, q2, q3, q3 - q1]) and r.n == len(v)
+        assert (r.whisker_lo, r.whisker_hi) == (v[v >= lo].min(), v[v <= hi].max())
+        assert r.outliers == ((v < lo) | (v > hi)).sum()
+    plan = B.box_stats(df, "g", "v")._jdf.queryExecution().executedPlan().toString()
+    assert "percentile" not in plan
