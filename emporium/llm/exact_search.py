@@ -12,11 +12,12 @@
    classes, whose exact scores give a sharper threshold, then every class whose
    upper bound still reaches it.  All others are certain to lose.
 
-Scores are 64-bit integers; vectors of different lengths are never compared.
+Scores are 64-bit integers, and sums beyond their range wrap; vectors of different
+lengths are never compared.
 
-Defined results: vectors that are null or hold null or non-finite components
-take no part; fewer than k candidates give fewer rows; ties go to the smaller
-id; repeated ids are separate rows; empty tables give empty results; other
+Defined results: vectors that are null or hold null or non-finite components, or one
+that scaled reaches 2^62 (no 64-bit integer could hold its scores), take no part; fewer than k candidates give fewer rows; ties go to the smaller
+id; rows that share an id, of one vector or of several, are separate rows; empty tables give empty results; other
 columns of the input are ignored.
 """
 from __future__ import annotations
@@ -34,14 +35,14 @@ from emporium.llm.common import scratch_table
 _SAFE = float(1 << 52)
 
 
-def _usable(vec: Column) -> Column:
+def _usable(vec: Column, scale: int) -> Column:
     return vec.isNotNull() & F.forall(
-        vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
+        vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < F.lit(2.0 ** 62 / scale)))
 
 
 def _integers(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
     """(id, dim, code): code holds ``floor(scale * x)`` as little-endian 64-bit integers."""
-    rows = df.where(_usable(F.col(vec_col))).select(
+    rows = df.where(_usable(F.col(vec_col), scale)).select(
         F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +60,11 @@ def _integers(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame
 
 
 def _classes(rows: DataFrame, keep: int) -> DataFrame:
-    """(cid, dim, code, ids): one row per distinct vector; cid is its smallest id."""
+    """(cid, dim, code, ids): one row per distinct vector, numbered by cid.
+
+    Ids may repeat over vectors, so none of them can name a class.  The numbers
+    hold once the table is written.
+    """
 
     def thin(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:  # map-side: a batch keeps its smallest ids of each vector
@@ -69,9 +74,8 @@ def _classes(rows: DataFrame, keep: int) -> DataFrame:
     w = Window.partitionBy("dim", "code").orderBy("id")
     ranked = (rows.mapInPandas(thin, rows.schema)
               .withColumn("r", F.row_number().over(w)).where(F.col("r") <= keep))
-    return ranked.groupBy("dim", "code").agg(
-        F.min("id").alias("cid"), F.array_sort(F.collect_list("id")).alias("ids")
-    ).select("cid", "dim", "code", "ids")
+    return ranked.groupBy("dim", "code").agg(F.array_sort(F.collect_list("id")).alias("ids")).select(
+        F.monotonically_increasing_id().alias("cid"), "dim", "code", "ids")
 
 
 def _matrix(codes, dim: int) -> np.ndarray:
@@ -85,13 +89,15 @@ def _ranges(classes: DataFrame) -> DataFrame:
     schema = "dim int, low binary, high binary"
 
     def local(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ends: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # a row a task and length
         for f in frames:
-            out = []
             for dim, g in f.groupby("dim"):
                 m = _matrix(list(g.code), int(dim))
-                out.append((int(dim), m.min(axis=0).tobytes(), m.max(axis=0).tobytes()))
-            if out:
-                yield pd.DataFrame(out, columns=["dim", "low", "high"])
+                low, high = ends.get(int(dim), (m[0], m[0]))
+                ends[int(dim)] = np.minimum(low, m.min(axis=0)), np.maximum(high, m.max(axis=0))
+        if ends:
+            yield pd.DataFrame([(d, low.tobytes(), high.tobytes()) for d, (low, high) in ends.items()],
+                               columns=["dim", "low", "high"])
 
     def merge(f: pd.DataFrame) -> pd.DataFrame:
         dim = int(f.dim.iloc[0])

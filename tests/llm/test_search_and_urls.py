@@ -29,6 +29,21 @@ def test_top_k_equals_brute_force(spark):
     assert sorted(tuple(r) for r in got.collect()) == brute_top(rows, 5)
 
 
+def test_rows_that_share_an_id(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.3, 6)]) for i in range(40)]
+    rows += [(50, rows[3][1]), (50, rows[4][1]), (50, rows[4][1]), (7, rows[9][1]), (9, rows[3][1]), (5, [1e30] * 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    use = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows if v[0] < 1e9]
+    want = []
+    for n, (i, v) in enumerate(use):
+        if i % 50 == 0:
+            s = sorted((-sum(a * b for a, b in zip(v, w)), j) for m, (j, w) in enumerate(use) if m != n)
+            want += [(i, r + 1, j, -x) for r, (x, j) in enumerate(s[:5])]
+    got = exact_search.top_k(df, F.col("id") % 50 == 0, data_block=16, query_block=2, cell_bits=3)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+
+
 def test_top_k_of_an_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert exact_search.top_k(df, F.col("id") % 50 == 0).collect() == []
