@@ -27,6 +27,7 @@ document count as toxic if one does; other columns are ignored or, in
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -99,7 +100,12 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, folds: int, h
 
 
 def _select_features(sample: DataFrame, n_features: int) -> np.ndarray:
-    """Hashes of the features that tell toxic texts best, in ascending order."""
+    """Hashes of the features that tell toxic texts best, in ascending order.
+
+    A feature's log-likelihood ratio must exceed what the best of as many features
+    reaches by chance (2 ln of their number, at most 20); if none does, as with a
+    handful of labels, the best ones are taken as they are.
+    """
 
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -119,6 +125,7 @@ def _select_features(sample: DataFrame, n_features: int) -> np.ndarray:
 
     counted = (sample.select("text", "y").mapInArrow(tidy(local), "h long, toxic long, n long")
                .groupBy("h").agg(F.sum("toxic").alias("a"), F.sum("n").alias("n")))
+    counted = scratch_table(counted, "toxic-features")
     size = sample.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("y") > 0).cast("long")).alias("t")).first()
     if not size.n or not size.t or size.t == size.n:
         return np.zeros(0, np.uint64)
@@ -127,8 +134,11 @@ def _select_features(sample: DataFrame, n_features: int) -> np.ndarray:
     # Log-likelihood ratio of the feature's toxic share against that of all texts.
     ratio = 2 * (F.when(a > 0, a * F.log(a / (n * share))).otherwise(0.0)
                  + F.when(n > a, (n - a) * F.log((n - a) / (n * (1 - share)))).otherwise(0.0))
-    best = (counted.where(F.col("n") >= 3).withColumn("g", ratio).where(F.col("g") > 20)
-            .orderBy(F.desc("g"), "h").limit(n_features).select("h").collect())
+    telling = a > n * share  # of toxic texts
+    rated = counted.withColumn("g", F.when(telling | (n >= 3), ratio).otherwise(0.0))
+    chance = min(20.0, 2 * math.log(max(2, counted.count())))
+    best = (rated.where(F.col("g") > chance).orderBy(F.desc("g"), "h").limit(n_features).select("h").collect()
+            or rated.where(telling).orderBy(F.desc("g"), "h").limit(n_features).select("h").collect())
     return np.sort(np.array([r.h for r in best], np.int64).view(np.uint64))
 
 

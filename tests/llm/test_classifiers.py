@@ -92,3 +92,18 @@ def test_quality_on_the_given_labels(spark, sf_dir):
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
     got = held(quality.score(docs, quality.fit(docs, labels)).join(labels, "doc_id"))
     assert got.agg(F.avg(((F.col("score") >= 0.5) == (F.col("quality") == 1)).cast("int"))).first()[0] > 0.8
+
+
+def test_toxicity_from_few_labels(spark):
+    rng = random.Random(4)
+    docs, labels, n = [], [], 0
+    for i in range(120):
+        toxic = i % 12 == 0
+        docs.append((i, prose(rng, 12) + (" scumbag " if toxic else " friend ") + prose(rng, 12)))
+        if i < 48:  # four toxic labels, some of them in the held-out fold
+            labels.append((i, 1, int(toxic)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, labels)
+    got = {r.doc_id for r in toxicity.score(docs, model).where("rejected").collect()}
+    assert got == set(range(0, 120, 12))
