@@ -99,3 +99,35 @@ def test_empty_tables(spark):
     assert decontaminate.find(docs, bench.limit(0)).collect() == []
     assert decontaminate.keep_clean(docs, bench.limit(0)).count() == docs.count()
     assert decontaminate.keep_clean(docs, bench).columns == docs.columns
+
+
+def test_recall_of_short_items():
+    rng = random.Random(9)
+    for n in (4, 5, 7, 8, 10, 12, 15):
+        items = [prose(rng, n) for _ in range(60)]
+        index = decontaminate.Items(list(range(len(items))), items, decontaminate.Settings())
+        for rate, least in ((0, 1.0), (0.2, 0.9)):
+            hit = total = 0
+            for k, text in planted(n, items, (rate,)):
+                p, t = plain_words(items[k]), plain_words(text)
+                if closest(p, t) <= len(p) // 5:
+                    total += 1
+                    hit += any(x[1] == k for x in decontaminate._finds(index, *string_buffers(pa.array([text]))))
+            assert total >= 50 and hit >= least * total, (n, rate, hit, total)
+
+
+def test_items_of_few_words_and_scripts_without_spaces(spark):
+    items = [(1, "Paris is big"), (2, "机器学习模型需要大量的训练数据。"), (3, "猫很大"), (None, "Osmium weighs most"),
+             (5, "ประเทศไทยมีอากาศร้อน"), (6, "?!"), (7, "Paris is big"), (8, "zyx")]
+    docs = [(1, "He says Paris IS big, and so on"), (2, "我们知道，机器学习模型需要大量的训练数据！所以"), (3, "那只猫很大。"),
+            (4, "osmium weighs most of all"), (5, "ก็ประเทศไทยมีอากาศร้อนมาก"), (6, "Paris is"), (7, "big Paris was"),
+            (8, "机器学习模型需要大最的训练数据"), (9, "猫很小"), (10, None), (11, "?!"), (12, "zyx, zyx " * 3),
+            (13, "the big"), (14, "Paris"), (15, "is big")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find(frame, bench).collect()
+    assert {(r.doc_id, r.item_id, r.edits) for r in got} == {
+        (1, 1, 0), (1, 7, 0), (2, 2, 0), (3, 3, 0), (4, None, 0), (5, 5, 0), (8, 2, 1), (12, 8, 0)}
+    assert [(r.start_word, r.end_word) for r in got if r.doc_id in (1, 12)] == [(2, 5), (2, 5), (0, 1)]
+    kept = {r.doc_id for r in decontaminate.keep_clean(frame, bench).collect()}
+    assert kept == {6, 7, 9, 10, 11, 13, 14, 15}
