@@ -52,8 +52,8 @@ def s1_csv_split(c):
 
 @query("s1_csv_split_texts", f"SELECT review_id, review_score, title, message FROM {RT}")
 def s1_csv_split_texts(c):
-    """Texts with newlines and quotes in one file."""
-    path = io.write_csv(c.review_texts.coalesce(1), scratch_path(c.spark, "csv-texts"))
+    """Texts with newlines and quotes, written by as many tasks as read them: files of several splits."""
+    path = io.write_csv(c.review_texts, scratch_path(c.spark, "csv-texts"))
     return read_csv_split(c.spark, path, "review_id string, review_score long, title string, message string")
 
 

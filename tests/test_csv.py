@@ -85,3 +85,14 @@ def test_a_written_table_comes_back(spark, shared_context):
     path = io.write_csv(df, scratch_path(spark, "csv"))
     got = read_csv_split(spark, path, df.schema)
     assert rows(got.select("review_id", "review_score")) == rows(df.select("review_id", "review_score"))
+
+
+def test_texts_are_written_by_several_tasks(spark, tmp_path):
+    from emporium.plans import catalog
+    docs = [(i, f'text "{i}"\nline {i}, end', "web") for i in range(400)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality long").write.parquet(
+        str(tmp_path / "labels.parquet"))
+    got = catalog.all_queries()["s1_csv_split_texts"](spark, str(tmp_path))
+    assert len(got.inputFiles()) > 1
+    assert sorted((int(r.review_id), r.message) for r in got.collect()) == [(i, t) for i, t, _ in docs]
