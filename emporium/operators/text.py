@@ -6,7 +6,7 @@ final aggregation, so the only shuffle is that of the counts.
 """
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -71,7 +71,7 @@ ERROR = 3.5
 
 
 def top_by_sketch(rows: DataFrame, col: str, n: int, by: str | None = None, items: int = SKETCH_ITEMS,
-                  candidates: int = CANDIDATES) -> DataFrame:
+                  candidates: int = CANDIDATES, top: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """The exact top-n of ``col`` (ties by value) without shuffling its vocabulary.
 
     1. One sketch a task, merged: the most frequent ``candidates`` values with estimates.
@@ -81,26 +81,31 @@ def top_by_sketch(rows: DataFrame, col: str, n: int, by: str | None = None, item
        Else everything is counted, as without a sketch.
 
     ``by``: one list a group of few groups (score bands).  What reaches the driver is
-    ``candidates`` values a group; n must be smaller.
+    ``candidates`` values a group; n must be smaller.  ``top``: how the top-n of given rows is
+    counted, with its ``count`` last (default: by ``col``, ties by value).
     """
     if n >= candidates or candidates > items:
         raise ValueError("n < candidates <= items")
     groups = [by] if by else []
-    top = F.expr(f"approx_top_k(`{col}`, {candidates}, {items})").alias("top")
-    sketch = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows"), top).collect()
+
+    def by_count(own: DataFrame) -> DataFrame:
+        g = own.groupBy(*groups, col).agg(F.count(F.lit(1)).alias("count"))
+        return top_k(g, [F.col("count").desc(), F.col(col)], n)
+
+    best_of = top or by_count
+    found_top = F.expr(f"approx_top_k(`{col}`, {candidates}, {items})").alias("top")
+    sketch = rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("rows"), found_top).collect()
     found = None
     for r in sketch:
         own = rows.where(F.col(by).eqNullSafe(F.lit(r[by]))) if by else rows
         names = [t["item"] for t in r["top"]]
-        counted = top_k(own.where(F.col(col).isin(names)).groupBy(*groups, col).agg(F.count(F.lit(1)).alias("count")),
-                        [F.col("count").desc(), F.col(col)], n)
+        counted = best_of(own.where(F.col(col).isin(names)))
         best = counted.collect()  # n rows
         # fewer values than asked for: the sketch lost none above its error
         least = min((t["count"] for t in r["top"]), default=0) if len(names) == candidates else 0
         exact = len(names) < candidates and r["rows"] <= 0.75 * items  # the sketch is not full: it holds all
         certain = exact or (len(best) == n and best[-1]["count"] > least + ERROR / items * r["rows"])
-        part = rows.sparkSession.createDataFrame(best, counted.schema) if certain else top_k(
-            own.groupBy(*groups, col).agg(F.count(F.lit(1)).alias("count")), [F.col("count").desc(), F.col(col)], n)
+        part = rows.sparkSession.createDataFrame(best, counted.schema) if certain else best_of(own)
         found = part if found is None else found.unionByName(part)
     if found is None:
         return rows.groupBy(*groups, col).agg(F.count(F.lit(1)).alias("count")).limit(0)
@@ -138,6 +143,23 @@ def translate_freq(freq: DataFrame, mapping: DataFrame, top: int | None = None,
     return out if top is None else top_k(out, [F.col("count").desc(), F.col(label)], top)
 
 
+def top_translated(rows: DataFrame, glossary: Mapping[str, str], n: int, label: str, items: int = SKETCH_ITEMS,
+                   candidates: int = CANDIDATES) -> DataFrame:
+    """The exact top-n of translated labels over one row an occurrence, by ``top_by_sketch``.
+
+    The sketch reads labels translated row by row; only labels that become a candidate are
+    counted, and their counts translated.  ``glossary`` is a fixed list of words.
+    """
+    mapping = rows.sparkSession.createDataFrame([*glossary.items()], "src string, dst string")
+    words = F.create_map(*[F.lit(x) for pair in glossary.items() for x in pair])
+    to = F.array_join(F.transform(F.split(label, " "), lambda w: F.coalesce(F.try_element_at(words, w), w)), " ")
+
+    def top(own: DataFrame) -> DataFrame:
+        return translate_freq(own.groupBy(label).agg(F.count(F.lit(1)).alias("count")), mapping, n, label)
+
+    return top_by_sketch(rows.where(F.col(label).isNotNull()).withColumn("_to", to), "_to", n, None, items, candidates, top)
+
+
 def text_kpis(df: DataFrame) -> DataFrame:
     """Rows, with comment, with title, average score and the two shares."""
     n = F.count(F.lit(1))

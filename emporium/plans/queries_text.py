@@ -113,9 +113,7 @@ query("x8_translate_bigrams", _BG + f"""
 tb AS (SELECT coalesce(a.dst, split_part(bigram, ' ', 1)) || ' ' || coalesce(b.dst, split_part(bigram, ' ', 2)) AS bigram
        FROM bg LEFT JOIN gl a ON a.src = split_part(bigram, ' ', 1) LEFT JOIN gl b ON b.src = split_part(bigram, ' ', 2))
 SELECT bigram, count(*) AS count FROM tb GROUP BY 1 ORDER BY count DESC, bigram LIMIT 50
-""")(lambda c: TX.translate_freq(
-    TX.bigram_rows(c.review_texts, "message").groupBy("bigram").agg(F.count(F.lit(1)).alias("count")),
-    c.spark.createDataFrame(GLOSSARY, "src string, dst string"), 50, "bigram"))
+""")(lambda c: TX.top_translated(TX.bigram_rows(c.review_texts, "message"), dict(GLOSSARY), 50, "bigram"))
 
 query("x9_text_kpis", f"""
 SELECT count(*) AS reviews, count(message) AS with_comment, count(title) AS with_title,

@@ -1,6 +1,7 @@
 """Unit tests with hand-made rows: nulls, ties, empty input, duplicates, properties."""
 import datetime as dt
 import math
+import random
 
 import numpy as np
 import pytest
@@ -453,6 +454,23 @@ def test_translation_sums_before_any_cut(spark):
     assert sorted(map(tuple, TX.translate_freq(two, gl, None, "bigram").collect())) == [("x c", 1), ("x x", 5)]
 
 
+def test_top_translated_equals_all_counted_and_moves_no_vocabulary(spark):
+    rng = random.Random(5)
+    words = ["a", "b", "c", *[f"w{i}" for i in range(60)]]
+    pairs = [f"{rng.choice(words)} {rng.choice(words)}" for _ in range(3000)]
+    pairs += [f"{rng.choice('abc')} {rng.choice('abc')}" for _ in range(900)]
+    rows = spark.createDataFrame([(p,) for p in [*pairs, None]], "bigram string")
+    gl = {"a": "x", "b": "x", "w1": "c"}
+    want = TX.translate_freq(rows.where("bigram IS NOT NULL").groupBy("bigram").agg(F.count(F.lit(1)).alias("count")),
+                             spark.createDataFrame([*gl.items()], "src string, dst string"), 4, "bigram").collect()
+    for items in (8192, 128):  # certain by the sketch, and by counting all
+        got = TX.top_translated(rows, gl, 4, "bigram", items=items, candidates=64)
+        assert [tuple(r) for r in got.collect()] == [tuple(r) for r in want]
+    assert TX.top_translated(rows.limit(0), gl, 4, "bigram").collect() == []
+    few = TX.top_translated(rows, gl, 4, "bigram", items=8192, candidates=64)
+    assert "Exchange" not in few._jdf.queryExecution().executedPlan().toString()  # counted: n rows
+
+
 def test_orders_from_staging_equal_those_of_the_fact(spark, sf_dir):
     from emporium.operators import gold as G
     from emporium.operators import orders as O
