@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporium.session import scratch_path
+from emporium.session import scratch_path, shuffle_partitions
 
 SLICE = "_slice"
 
@@ -35,7 +35,7 @@ def _asc(cols: Sequence[str]) -> list[Column]:
 def sliced(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     """``df`` in slices of the order of (key, order), written once: column ``_slice``."""
     spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    n = shuffle_partitions(spark)
     path = scratch_path(spark, "slices")
     (df.repartitionByRange(n, *_asc([*_keys(key), *order]))
      .withColumn(SLICE, F.spark_partition_id()).write.parquet(path))

@@ -10,15 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from emporium.operators import gold as G
 from emporium.operators import orders as O
 from emporium.plans.rollup import Rollup, fingerprint, open_rollup
+from emporium.session import fit_shuffles
 from emporium.sources import binding
 from emporium.sources.io import materialize
-from emporium.sources.versioned import children
+from emporium.sources.versioned import children, size
 
 
 class Ctx:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        fit_shuffles(spark, size(spark, sf_dir))
         self.src = binding.load_sources(spark, sf_dir)
         self.gold = G.Gold(self.src)
         self.fact_written = False

@@ -29,6 +29,12 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files in a folder; 0 if there is none."""
+    p, fs = hadoop_path(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 def remove(spark: SparkSession, path: str) -> None:
     p, fs = hadoop_path(spark, path)
     fs.delete(p, True)

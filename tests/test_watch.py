@@ -53,3 +53,26 @@ def test_the_suite_scans_its_tables_for_keys_only(spark, sf_dir):
     assert 0 < len(scans) <= 34
     for column in ("price", "freight_value", "payment_value", "delivery_days", "order_status", "payment_type"):
         assert not [s for s in scans if f"{column}#" in s.split("Batched")[0]], column
+
+
+def test_tasks_stay_small_as_the_input_grows(spark, tmp_path):
+    """Shuffles begin with partitions by the size of the source; scans and shuffles give a task 16 MB at most."""
+    from emporium.operators.windows import SLICE, sliced
+    from emporium.plans.context import Ctx
+    names = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.files.maxPartitionBytes")
+    before = {n: spark.conf.get(n, None) for n in names}
+    try:
+        spark.conf.set(names[1], "64MB")
+        spark.conf.set(names[2], "1000")  # finer than ours: stays
+        with open(tmp_path / "lineitem.parquet", "wb") as f:
+            f.truncate(100 << 20)
+        Ctx(spark, str(tmp_path))
+        assert [spark.conf.get(n) for n in names] == ["25", str(16 << 20), "1000"]
+        Ctx(spark, str(tmp_path / "none"))
+        assert spark.conf.get(names[0]) == "25"
+        rows = spark.range(5000).selectExpr("id % 3 AS k", "id")
+        assert sliced(rows, "k", ["id"]).select(SLICE).distinct().count() == 25
+    finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
