@@ -1,4 +1,5 @@
 import math
+import pathlib
 import zlib
 from collections import Counter
 
@@ -6,6 +7,7 @@ import numpy as np
 
 from emporium.llm import suffix_tree
 from emporium.llm.common import read
+from emporium.session import ensure_checkpoint_dir
 from tests.llm.helpers import empty_documents, odd_documents, words
 
 
@@ -99,3 +101,34 @@ def test_a_phrase_seen_twice_is_learned_in_a_large_corpus(spark):
     assert got[0].score > got[0].base_score + 4
     full = {r.doc_id: r for r in suffix_tree.score_documents(docs, suffix_tree.Settings(), folds=1, held=1).collect()}
     assert all(math.isclose(full[i].score, got[i].score, rel_tol=1e-9) for i in full)
+
+
+def test_only_scores_stay_on_disk(spark, sf_dir):
+    """Tables and shuffle files go when no later step reads them."""
+    folder = pathlib.Path(ensure_checkpoint_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    setting = spark.conf.get(suffix_tree._FREE, None)
+    docs = read(spark, sf_dir, "documents")
+    assert suffix_tree.score_documents(docs).count() == docs.count()
+    left = [x.name for x in set(folder.iterdir()) - before if x.name.startswith("pst-")]
+    assert left and all(x.startswith("pst-scores-") for x in left)
+    assert spark.conf.get(suffix_tree._FREE, None) == setting
+
+
+def test_more_texts_a_task_than_a_place_has_numbers(spark):
+    rows = [(None if i % 9 == 0 else i // 2, f"a b{i % 70} c{i}") for i in range(140_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = suffix_tree.score_documents(docs, suffix_tree.Settings(entries=64)).collect()
+    counts = Counter()
+    for i, t in rows:
+        if zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 1:
+            counts.update([*t.split(), None])
+    n, v = sum(counts.values()), len(counts)
+    want = sorted((-1 if i is None else i, sum(counts[x] > 0 for x in (*t.split(), None)), round(sum(
+        math.log10((counts[x] + 0.5) / (n + 0.5 * (v + 1))) for x in (*t.split(), None)), 6)) for i, t in rows)
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_known, round(r.base_score, 6)) for r in got) == want
+
+
+def test_keys_come_back_from_their_differences():
+    for keys in (np.zeros(0, np.uint64), np.array([0, 1, 2**63, 2**64 - 1], np.uint64)):
+        assert suffix_tree._unpacked(suffix_tree._packed(keys)).tolist() == keys.tolist()
