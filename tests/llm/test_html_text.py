@@ -3,6 +3,8 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+
 from emporium.llm import html_text
 from emporium.llm.common import read
 
@@ -125,3 +127,78 @@ def test_repeated_ids_and_other_columns(spark):
     df = df.selectExpr("*", "1 AS row", "2 AS key", "3 AS text", "4 AS host")
     got = sorted((r.page_id is None, r.text) for r in html_text.extract(df).collect())
     assert got == [(False, "one"), (False, "two"), (True, "one")]
+
+
+def test_boilerplate_of_marked_articles_is_dropped(spark):
+    """Repetition decides marked pages too: what most pages of a host have in their article isn't of it."""
+    def page(head, *lines):
+        return f"<nav>{head}</nav><article>{''.join(f'<p>{x}</p>' for x in lines)}</article>"
+
+    def story(k):
+        return " ".join(f"w{k}x{j}" for j in range(30))
+
+    shell = "Follow our daily letter for more news of the town"
+    half = "This line stands on half of the pages of it"
+    rows = [(i, f"http://h/{i}", page(i, story(i), shell, *([half] if i < 3 else []))) for i in range(6)]
+    rows += [(10, "http://alone/", page("n", story(10), shell))]
+    rows += [(20 + i, f"http://copy/{i}", page(i, "One story", story(20), shell)) for i in range(4)]  # no lesser part
+    rows += [(30 + i, f"http://two/{i}", page(i, story(30 + i), shell)) for i in range(2)]  # fewer than PAGES
+    rows += [(40, "http://h/copy", rows[0][2]), (41, "http://empty/", None)]
+    got = {k: r.text.split("\n") for k, r in texts(spark, rows).items()}
+    assert all(got[i] == [story(i), *([half] if i < 3 else [])] for i in range(6))
+    assert got[10] == [story(10), shell] and got[40] == got[0] and got[41] == [""]
+    assert all(got[20 + i] == ["One story", story(20), shell] for i in range(4))
+    assert all(got[30 + i] == [story(30 + i), shell] for i in range(2))
+
+
+def test_all_blocks_of_marked_pages_are_in_the_array(spark):
+    rng = random.Random(11)
+
+    def line(least):
+        return " ".join(rng.choice("abc") for _ in range(rng.randint(least, 9)))
+
+    rows, on, pages, total = [], defaultdict(set), defaultdict(set), 0
+    for i in range(40):
+        runs = [[line(1)], [line(1), line(0), line(3)], [line(1), line(2)]]
+        rows.append((i, f"http://h{i % 2}/", "<nav>%s</nav><article><p>%s<p>%s<p>%s</article><footer>%s</footer>Loose %s" % (
+            runs[0][0], *runs[1], *runs[2])))
+        runs[2][1] = "loose " + runs[2][1]
+        pages[i % 2].add(rows[-1][2])
+        total += sum(len(x.split()) for run in runs for x in run)
+        for words in (" ".join(run).split() for run in runs):
+            n = html_text.SHARED
+            for run in [words[j:j + n] for j in range(len(words) - n + 1)] if len(words) >= n else [words]:
+                on[i % 2, tuple(run)].add(rows[-1][2])
+    want = sorted((len(x), len(pages[k[0]])) for k, x in on.items() if len(x) >= html_text.PAGES)
+    parsed = html_text._parsed(frame(spark, rows), "page_id", "url", "html")
+    assert parsed.agg({"tokens": "sum"}).first()[0] == total
+    assert sorted((r.pages, r.of) for r in html_text.repeats(parsed).collect()) == want and len(want) > 20
+
+
+def test_repeats_of_many_tokens(spark):
+    """More than a million tokens, so that slots are counted in several ranges."""
+    rng = random.Random(5)
+    words = [f"v{i}" for i in range(5000)]
+    phrases = [" ".join(rng.choices(words, k=7)) for _ in range(400)]
+    where = [rng.sample(range(24), rng.randint(1, 6)) for _ in phrases]
+    rows = []
+    for i in range(24):
+        parts = [" ".join(rng.choices(words, k=120)) for _ in range(380)]
+        parts += [p for p, pages in zip(phrases, where) if i in pages]
+        rng.shuffle(parts)
+        tag = ("article", "div")[i % 2]
+        rows.append((i, "http://h/", f"<{tag}>{' '.join(parts)}</{tag}>"))
+    on = defaultdict(int)
+    for _, _, page in rows:
+        own = re.sub("<[^>]*>", "", page).split()
+        for run in set(zip(*(own[j:] for j in range(html_text.SHARED)))):
+            on[run] += 1
+    want = sorted(n for n in on.values() if n >= html_text.PAGES)
+    got = html_text.repeats(html_text._parsed(frame(spark, rows), "page_id", "url", "html")).collect()
+    assert sum(len(r[2].split()) for r in rows) > 1 << 20 and len(want) > 500
+    assert sorted(r.pages for r in got) == want and all(r.of == 24 for r in got)
+
+
+def test_packed_numbers():
+    for x in ([], [0], [0, 255, 3], [256, 1], [1 << 16, 0, 7], [(1 << 32) - 1, 5]):
+        assert html_text._unpacked(html_text._packed(np.array(x, np.int64))).tolist() == x
