@@ -141,14 +141,14 @@ def test_boilerplate_of_marked_articles_is_dropped(spark):
     half = "This line stands on half of the pages of it"
     rows = [(i, f"http://h/{i}", page(i, story(i), shell, *([half] if i < 3 else []))) for i in range(6)]
     rows += [(10, "http://alone/", page("n", story(10), shell))]
-    rows += [(20 + i, f"http://copy/{i}", page(i, "One story", story(20), shell)) for i in range(4)]  # no lesser part
-    rows += [(30 + i, f"http://two/{i}", page(i, story(30 + i), shell)) for i in range(2)]  # fewer than PAGES
+    rows += [(20 + i, f"http://copy/{i}", page(i, "One story", story(20), shell)) for i in range(8)]  # no lesser part
+    rows += [(30 + i, f"http://few/{i}", page(i, story(30 + i), shell)) for i in range(html_text.MAIN_PAGES - 1)]
     rows += [(40, "http://h/copy", rows[0][2]), (41, "http://empty/", None)]
     got = {k: r.text.split("\n") for k, r in texts(spark, rows).items()}
     assert all(got[i] == [story(i), *([half] if i < 3 else [])] for i in range(6))
     assert got[10] == [story(10), shell] and got[40] == got[0] and got[41] == [""]
-    assert all(got[20 + i] == ["One story", story(20), shell] for i in range(4))
-    assert all(got[30 + i] == [story(30 + i), shell] for i in range(2))
+    assert all(got[20 + i] == ["One story", story(20), shell] for i in range(8))
+    assert all(got[30 + i] == [story(30 + i), shell] for i in range(html_text.MAIN_PAGES - 1))
 
 
 def test_all_blocks_of_marked_pages_are_in_the_array(spark):
