@@ -340,13 +340,13 @@ def headline_ratios(of: DataFrame, full: DataFrame, person: str = PERSON) -> Dat
                    F.sum("customers")).alias("buy_once_share"))
 
     def gap(df: DataFrame, n_labels: int, name: str, invert: bool) -> DataFrame:
-        first = F.max(F.when(F.col("bucket_order") == F.col("_lo"), F.col("reorder_rate")))
-        last = F.max(F.when(F.col("bucket_order") == F.col("_hi"), F.col("reorder_rate")))
-        b = attach_scalar(df, df.agg(F.min("bucket_order").alias("_lo"),
-                                     F.max("bucket_order").alias("_hi"), _cnt().alias("_n")))
+        order, rate = F.col("bucket_order"), F.col("reorder_rate")
+        known = order.isNotNull()
+        first = -F.min(F.when(known, F.struct(order, rate.isNull(), (-rate).alias("rate"))))["rate"]
+        last = F.max(F.when(known, F.struct(order, rate)))["reorder_rate"]
         ratio = X.safe_div(last, first)
         val = (F.lit(1.0) - ratio) if invert else (ratio - F.lit(1.0))
-        return b.agg(F.when(F.max("_n") >= 2, val).otherwise(F.lit(0.0)).alias(name))
+        return df.agg(F.when(_cnt() >= 2, val).otherwise(F.lit(0.0)).alias(name))
 
     rev = gap(reorder_by_review_bucket(full), 3, "review_reorder_gap", False)
     dlv = gap(reorder_by_delivery_bucket(full), 4, "delivery_reorder_gap", True)
